@@ -17,6 +17,8 @@ The pure operators (``upsert_type1``, ``append_new``, ``append_counts``,
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -157,22 +159,31 @@ class Warehouse:
         run is visible, and is otherwise a no-op."""
         _, pk = WAREHOUSE[name]
         merged = upsert_type1(self.table(name), batch, pk)
-        (merged.withColumn(VERSION_COL, F.lit(version))
+        # Versions sort by write time whatever the run id looks like.
+        stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+        (merged.withColumn(VERSION_COL, F.lit(f"{stamp}_{version}"))
          .write.mode("append").partitionBy(VERSION_COL).parquet(self.path(name)))
 
-    def append_fact(self, batch: DataFrame) -> DataFrame:
+    def append_fact(self, batch: DataFrame) -> dict:
         """L2 + L3: append the new rows, range-partitioned on
         ``(partition_key, study_id)`` so a month holding a third of the batch
         is split over many writers while each writer touches few folders.
-        Returns the counts (computed before the write)."""
+
+        Returns ``{records_in, inserted, skipped}``, taken (one row) before the
+        write: the write refreshes every plan that reads the fact folder, so a
+        lazy count evaluated afterwards would see the new rows as loaded."""
         fact = self.table("fact_radiology")
-        counts = append_counts(fact, batch).cache()
-        counts.count()
+        counts = append_counts(fact, batch).first().asDict()
         new = append_new(fact, batch)
         (new.repartitionByRange("partition_key", "study_id")
          .write.mode("append").partitionBy("partition_key").parquet(self.path("fact_radiology")))
         return counts
 
+    def counts_frame(self, counts: dict) -> DataFrame:
+        return self.spark.createDataFrame(
+            [(counts["records_in"], counts["inserted"], counts["skipped"])],
+            "records_in bigint, inserted bigint, skipped bigint")
+
     def append_audit(self, rows: DataFrame) -> None:
         logged = self.table("audit_log").select("log_id")
         rows.join(logged, "log_id", "left_anti").write.mode("append").parquet(self.path("audit_log"))
