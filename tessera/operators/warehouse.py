@@ -73,18 +73,30 @@ def audit_row(counts: DataFrame, run_id: str, run_ts: str, step: str = "LOAD",
 
 
 def orphan_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Fact rows per foreign key whose member is missing from its
-    dimension. The fact is first reduced to ``(key, rows)`` (partial
-    aggregation), so only distinct keys meet the dimension."""
-    out = None
+    """Per foreign key, fact rows (and distinct keys) whose member is
+    missing from its dimension.
+
+    One pass over the fact: each row is unpivoted into ``(fk_column, key)``
+    pairs and counted (partial aggregation keeps only distinct pairs per
+    task), then one anti-join against the union of the dimensions' keys."""
+    fks = list(dims)
+    pairs = fact.select(F.explode(F.array(*[
+        F.struct(F.lit(fk).alias("fk_column"), F.col(fk).cast("bigint").alias("_k"))
+        for fk in fks])).alias("p")).select("p.*")
+    per_key = pairs.groupBy("fk_column", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    members = None
     for fk, (dim, pk) in dims.items():
-        per_key = fact.groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        missing = per_key.join(dim.select(F.col(pk).alias("_k")), "_k", "left_anti")
-        row = missing.agg(F.lit(fk).alias("fk_column"),
-                          F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-                          F.count(F.lit(1)).alias("orphan_keys"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        m = dim.select(F.lit(fk).alias("fk_column"), F.col(pk).cast("bigint").alias("_k"))
+        members = m if members is None else members.unionByName(m)
+    missing = per_key.join(members, ["fk_column", "_k"], "left_anti")
+    names = fact.sparkSession.createDataFrame([(fk,) for fk in fks], "fk_column string")
+    found = missing.groupBy("fk_column").agg(F.sum("_n").cast("bigint").alias("orphan_rows"),
+                                             F.count(F.lit(1)).alias("orphan_keys"))
+    # every foreign key gets a row, zero when nothing is missing
+    return (F.broadcast(names).join(found, "fk_column", "left")
+            .select("fk_column",
+                    F.coalesce("orphan_rows", F.lit(0).cast("bigint")).alias("orphan_rows"),
+                    F.coalesce("orphan_keys", F.lit(0).cast("bigint")).alias("orphan_keys")))
 
 
 def duplicate_keys(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -78,13 +78,34 @@ class Job:
         return quality.rejects(self.flagged, list(self.ris.columns), self.cfg)
 
     @cached_property
-    def dims(self) -> dict[str, DataFrame]:
-        return star.star(self.valid, self.cfg)
+    def dims(self) -> "_LazyStar":
+        return _LazyStar(self)
 
     def fact(self, run_ts: str = FIRST_LOAD_TS) -> DataFrame:
         return star.with_load_columns(self.dims["fact_radiology"], run_ts)
 
 
+class _LazyStar(dict):
+    """Star tables built on first use (a KPI needs the fact and one dimension)."""
+
+    BUILDERS = {
+        "dim_date": lambda j: star.dim_date(j.valid, j.cfg.start_col),
+        "dim_modality": lambda j: star.dim_modality(j.valid, j.cfg),
+        "dim_radiologist": lambda j: star.dim_radiologist(j.valid, j.cfg),
+        "dim_location": lambda j: star.dim_location(j.valid, j.cfg),
+        "fact_radiology": lambda j: star.fact_radiology(j.valid, j.cfg),
+    }
+
+    def __init__(self, job: Job):
+        super().__init__()
+        self._job = job
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self.BUILDERS[name](self._job)
+        self[name] = df
+        return df
+
+
 def _job(spark, sf_dir, **kw) -> Job:
     return Job(spark, sf_dir, **kw)
 

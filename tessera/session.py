@@ -29,6 +29,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # One node, small inputs: let AQE keep several post-shuffle partitions
+        # per core instead of merging everything into one task (cluster
+        # sessions keep the default sizes).
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.sequence import next_in_group
 from tessera.session import table_path
 
 # Fixture value lists (positions are picked by ``1 + id % n``).
@@ -40,12 +41,20 @@ def _id9(c: Column) -> Column:
     return F.lpad(c.cast("string"), 9, "0")
 
 
-def studies(events: DataFrame) -> DataFrame:
-    """RIS stand-in: one study per event; ``row_ix`` is the source order."""
+def studies(events: DataFrame, skew_safe: bool = True) -> DataFrame:
+    """RIS stand-in: one study per event; ``row_ix`` is the source order.
+
+    The report time uses the user's next event. With ``skew_safe`` it comes
+    from :func:`next_in_group` (a user holding a third of all events is split
+    over many tasks); otherwise from a ``lead`` window, which is the same
+    result with one task per user."""
     eid, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    # Next event of the same user gives a realistic report time.
-    nxt = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    e = events.select("event_id", "user_id", "ts", nxt.alias("nxt"))
+    base = events.select("event_id", "user_id", "ts")
+    if skew_safe:
+        e = next_in_group(base, "user_id", ["ts", "event_id"], "ts", "nxt")
+    else:
+        nxt = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+        e = base.select("*", nxt.alias("nxt"))
     study_num = F.when((eid % 33 == 0) & (eid > 0), eid - 1).otherwise(eid)
     ten_min = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(10))
     return e.select(
