@@ -20,9 +20,18 @@ def test_extract_filter_is_pushed_into_scan(spark):
 
 
 def test_column_pruning_on_scan(spark):
-    p = plan(catalog.q_kpi_data_quality(spark, SF_SMALL))
-    # the KPI reads only the event columns the studies need, never props/value
-    assert "props" not in p.split("ReadSchema")[1].split("\n")[0]
+    p = plan(catalog.q_v06_orphans(spark, SF_SMALL))
+    schemas = [part.split("\n")[0] for part in p.split("ReadSchema")[1:]]
+    assert schemas and all("props" not in s and "event_type" not in s for s in schemas)
+
+
+def test_stand_in_is_staged_once(spark):
+    from tessera.sources import standins
+    ev = standins.read_table(spark, SF_SMALL, "events")
+    a, b = standins.studies(ev), standins.studies(ev)
+    # the second call reads the written copy of the first
+    assert "ExistingRDD" in plan(b) or "Scan" in plan(b)
+    assert a.exceptAll(b).count() == 0
 
 
 def test_keep_first_is_aggregate_and_join_not_window(spark):
