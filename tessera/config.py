@@ -116,6 +116,12 @@ KPI_CARDS = (
     ("Active Radiologists", "active_radiologists", ""),
 )
 
+# Error rule of this engine (not a source rule): rows the extract drops for a
+# missing or unparseable start time (H3).
+EXTRA_RULE_DESCRIPTIONS = MappingProxyType({
+    "E1": "Missing or unparseable exam start (dropped by extract)",
+})
+
 # ---------------------------------------------------------------------------
 # Run parameters.
 # ---------------------------------------------------------------------------

@@ -144,7 +144,7 @@ def rejects(flagged: DataFrame, ris_columns: list[str], cfg: JobConfig = C.DEFAU
 
 def error_table(reject_rows: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
     """Rows for the warehouse Error_Table (declared by the source, filled here)."""
-    desc = X.lookup(F.col("rule_id"), dict(C.RULE_DESCRIPTIONS))
+    desc = X.lookup(F.col("rule_id"), {**C.RULE_DESCRIPTIONS, **C.EXTRA_RULE_DESCRIPTIONS})
     return reject_rows.select(
         F.concat_ws("-", F.col("rule_id"), F.col(cfg.order_col).cast("string")).alias("error_id"),
         F.col(cfg.key_col).alias("study_id"),

@@ -111,10 +111,16 @@ def duplicate_keys(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def key_collisions(df: DataFrame, natural: str, key_expr) -> DataFrame:
-    """H5: surrogate keys shared by more than one natural value."""
-    return (df.where(F.col(natural).isNotNull()).groupBy(key_expr.alias("key"))
-            .agg(F.count_distinct(natural).alias("members")).where(F.col("members") > 1))
+def key_collisions(df: DataFrame, naturals: dict[str, str], key_fn) -> DataFrame:
+    """H5: surrogate keys shared by more than one natural value, per
+    dimension ``{dimension: natural column}``; one unpivot and one aggregate."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(dim).alias("dimension"), F.col(col).cast("string").alias("value"))
+        for dim, col in naturals.items()])).alias("p")).select("p.*").where(
+        F.col("value").isNotNull())
+    return (pairs.groupBy("dimension", key_fn(F.col("value")).alias("surrogate_key"))
+            .agg(F.count_distinct("value").alias("members"))
+            .where(F.col("members") > 1))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -196,6 +202,14 @@ class Warehouse:
             [(counts["records_in"], counts["inserted"], counts["skipped"])],
             "records_in bigint, inserted bigint, skipped bigint")
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """The current tables as temporary views for ad-hoc ``spark.sql``."""
+        names = []
+        for name in WAREHOUSE:
+            self.table(name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def append_audit(self, rows: DataFrame) -> None:
         logged = self.table("audit_log").select("log_id")
         rows.join(logged, "log_id", "left_anti").write.mode("append").parquet(self.path("audit_log"))

@@ -104,6 +104,10 @@ def run_batch(spark: SparkSession, studies: DataFrame, images: DataFrame, patien
             "overwrite").parquet(f"{stage_dir}/validated_pacs")
         rejects = _stage(quality.rejects(flagged, list(ris.columns), cfg), f"{stage_dir}/rejects")
         wh.append_errors(quality.error_table(rejects, cfg))
+        # H3: rows the extract dropped for a missing or unparseable start
+        if cfg.order_col in studies.columns:
+            bad_start = extract.unparseable_starts(studies, cfg.start_col, cfg)
+            wh.append_errors(quality.error_table(bad_start, cfg))
         report = quality.quality_report(flagged, quality.pacs_flagged(pacs, valid, cfg))
         report.write.mode("overwrite").parquet(f"{stage_dir}/quality_report")
     with steps.step("transform_load"):

@@ -339,6 +339,29 @@ def q_duplicate_keys(spark, d):
     })
 
 
+def q_key_collisions(spark, d):
+    from tessera.functions import exprs as X
+    j = _job(spark, d)
+    return warehouse.key_collisions(j.valid, {
+        "dim_modality": "modality_standard", "dim_radiologist": j.cfg.radiologist_col,
+        "dim_location": j.cfg.site_col}, X.surrogate_key)
+
+
+def q_stream_fact(spark, d):
+    """A3: the studies arrive as files in source order; the streaming job
+    loads them micro-batch by micro-batch; the result is the fact table."""
+    from tessera.session import scratch_path
+    from tessera.streaming.incremental import start_incremental_load, write_in_order
+    root = scratch_path(spark, "stream_fact")
+    write_in_order(_job(spark, d).studies, f"{root}/inbox", "row_ix", 2)
+    schema = spark.read.parquet(f"{root}/inbox").schema
+    q = start_incremental_load(spark, f"{root}/inbox", schema, f"{root}/warehouse",
+                               f"{root}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/warehouse/fact_radiology").select(
+        *star.with_load_columns(_job(spark, d).dims["fact_radiology"], FIRST_LOAD_TS).columns)
+
+
 def _audit_log(j: Job) -> DataFrame:
     ext = extract.access_events(j.ris, j.pacs, j.epr)
     ext_rows = ext.select(
@@ -470,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_append_counts": q_fact_append_counts,
     "partition_counts": q_partition_counts,
     "fk_orphans": q_fk_orphans,
+    "key_collisions": q_key_collisions,
     "duplicate_keys": q_duplicate_keys,
     "warehouse_counts": q_warehouse_counts,
     "audit_row": q_audit_row,
@@ -487,4 +511,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_fact_sample": q_kpi_fact_sample,
     "access_review": q_access_review,
     "run_summary": q_run_summary,
+    "stream_fact": q_stream_fact,
 }

@@ -361,6 +361,13 @@ def oracle_sql() -> dict[str, str]:
             f"CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows FROM "
             f"(SELECT {pk}, count(*) AS n FROM {table} GROUP BY {pk} HAVING count(*) > 1) d")
     out["duplicate_keys"] = sql(R, " UNION ALL ".join(dup_rows))
+    out["key_collisions"] = sql(R, (
+        f"SELECT dimension, {_key('value')} AS surrogate_key, count(DISTINCT value) AS members FROM ("
+        f"SELECT 'dim_modality' AS dimension, modality_standard AS value FROM valid UNION ALL "
+        f"SELECT 'dim_radiologist', radiologist_id FROM valid UNION ALL "
+        f"SELECT 'dim_location', site_code FROM valid) u WHERE value IS NOT NULL "
+        f"GROUP BY 1, 2 HAVING count(DISTINCT value) > 1"))
+    out["stream_fact"] = sql(R, "SELECT * FROM fact")
     audit = (
         f"audit AS (SELECT '{Q.FIRST_RUN_ID}-EXTRACT-' || source AS log_id, event_time, "
         f"'EXTRACT' AS pipeline_step, action, record_count AS records_in, record_count AS records_out, "

@@ -81,3 +81,36 @@ def test_stream_equals_batch(spark, scratch):
                                 f"{scratch}/ckpt")
     q2.awaitTermination()
     assert spark.read.parquet(f"{scratch}/wh/fact_radiology").count() == want.count()
+
+
+def test_warehouse_views_and_history(spark, scratch):
+    from tessera.operators import runs
+    ev = standins.read_table(spark, SF_SMALL, "events")
+    s, i, p = standins.studies(ev), standins.images(ev), standins.patients(ev)
+    r = run_batch(spark, s, i, p, scratch, run_ts="2024-02-01 05:00:00")
+    wh = warehouse.Warehouse(spark, f"{scratch}/warehouse")
+    wh.register_views(prefix="wh_")
+    top = spark.sql("""
+        SELECT m.modality_name, COUNT(*) AS study_count
+        FROM wh_fact_radiology f JOIN wh_dim_modality m ON f.modality_key = m.modality_key
+        GROUP BY m.modality_name ORDER BY study_count DESC, m.modality_name LIMIT 10""").collect()
+    want = catalog.q_kpi_top_modalities(spark, SF_SMALL).collect()
+    assert [(t.modality_name, t.study_count) for t in top] == [
+        (w.modality_name, w.study_count) for w in want]
+    hist = spark.read.parquet(f"{scratch}/_state/run_history")
+    assert {x.status for x in runs.status_counts(hist).collect()} == {"SUCCESS"}
+    slow = runs.slowest_steps(hist).collect()
+    assert len(slow) == 1 and slow[0].run_id == r["run_id"]
+
+
+def test_unparseable_starts_reach_error_table(spark, scratch):
+    ev = standins.read_table(spark, SF_SMALL, "events")
+    s = standins.studies(ev)
+    broken = s.withColumn("exam_start_dt", F.when(F.col("row_ix") % 100 == 1, F.lit(None))
+                          .otherwise(F.col("exam_start_dt")))
+    run_batch(spark, broken, standins.images(ev), standins.patients(ev), scratch,
+              run_ts="2024-02-01 05:00:00")
+    errs = warehouse.Warehouse(spark, f"{scratch}/warehouse").table("error_table")
+    e1 = errs.where(F.col("error_rule") == "E1")
+    assert e1.count() == broken.where(F.col("exam_start_dt").isNull()).count() > 0
+    assert e1.where(F.col("error_detail").isNull()).count() == 0
