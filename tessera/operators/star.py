@@ -1,10 +1,10 @@
 """Star schema: four dimensions and the study fact.
 
-Dimensions are built from distinct natural values with one aggregate each:
-``groupBy(surrogate_key(v)).agg(min(v))`` both removes duplicates (partial
-aggregation does most of it map-side) and applies T6, "one member per key", with
-a deterministic survivor (the smallest natural value) if two values ever hash to
-the same 32-bit key. The fact needs no join: its keys are hashes of the same
+Dimensions are built from distinct natural values: a hash-aggregated distinct
+of ``(surrogate_key(v), v)`` removes duplicates (mostly map-side), then
+``groupBy(key).agg(min(v))`` over those pairs applies T6, "one member per key",
+with a deterministic survivor (the smallest natural value) if two values ever
+hash to the same 32-bit key. The fact needs no join: its keys are hashes of the same
 natural values, so the fact is a single projection over the validated rows.
 """
 
@@ -40,10 +40,13 @@ def dim_date(df: DataFrame, ts_col: str = "exam_start_dt") -> DataFrame:
 
 
 def _members(df: DataFrame, natural: str, key_name: str, value_name: str) -> DataFrame:
+    """Distinct ``(key, value)`` pairs by hash aggregation (map-side partial
+    aggregation leaves one row per pair per task), then one value per key; the
+    ``min`` over text is sort-based, so it only ever sees the distinct pairs."""
     v = F.col(natural)
-    return (df.where(v.isNotNull())
-            .groupBy(X.surrogate_key(v).alias(key_name))
-            .agg(F.min(v).alias(value_name)))
+    pairs = (df.where(v.isNotNull())
+             .select(X.surrogate_key(v).alias(key_name), v.alias(value_name)).distinct())
+    return pairs.groupBy(key_name).agg(F.min(value_name).alias(value_name))
 
 
 def dim_modality(valid: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
