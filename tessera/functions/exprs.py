@@ -55,12 +55,21 @@ def is_digits(c: str | Column, length: int) -> Column:
     return col_of(c).rlike(r"\A[0-9]{%d}\z" % length)
 
 
+_MAPS: dict[tuple, Column] = {}
+
+
 def map_literal(mapping: Mapping[str, str]) -> Column:
-    """A constant map column from a small fixed dictionary."""
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.create_map(*items)
+    """A constant map column from a small fixed dictionary. Built once per
+    Spark context: a Column is an unresolved expression and can be reused."""
+    from pyspark import SparkContext
+    key = (id(SparkContext._active_spark_context), tuple(mapping.items()))
+    cached = _MAPS.get(key)
+    if cached is None:
+        items = []
+        for k, v in mapping.items():
+            items += [F.lit(k), F.lit(v)]
+        cached = _MAPS[key] = F.create_map(*items)
+    return cached
 
 
 def lookup(c: str | Column, mapping: Mapping[str, str], default=None) -> Column:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tessera import config as C
 from tessera.config import JobConfig
 from tessera.functions import exprs as X
-from tessera.schemas import FACT_COLUMNS
 
 
 def dim_date(df: DataFrame, ts_col: str = "exam_start_dt") -> DataFrame:
@@ -115,7 +114,7 @@ def fact_radiology(valid: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
         F.col("priority"),
         F.col("referral_source"),
         F.col("tat_flag"),
-    ).select(*FACT_COLUMNS)
+    )
 
 
 def with_load_columns(fact: DataFrame, run_ts: str) -> DataFrame:
