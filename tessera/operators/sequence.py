@@ -20,8 +20,7 @@ partitioning instead:
    That table has at most one row per partition, a bound set by the job's
    partition count and not by the data, so it is broadcast to patch the
    marked rows.
-4. The result is written (``checkpoint``) and reused by later calls on the
-   same input in the session, as a staged table.
+
 
 Null groups count as one group and nulls sort first, as in the window form.
 """
@@ -37,14 +36,6 @@ from tessera.session import shared_dir
 
 PID, LAST = "_pid", "_last"
 
-# Written results, reused within a session for the same input plan: like a
-# staged table, later queries over the same source read the written copy.
-_DONE: dict[tuple, DataFrame] = {}
-
-
-def clear_staged() -> None:
-    """Forget the staged results (the next call computes and writes again)."""
-    _DONE.clear()
 
 
 def _stream_next(group: str, value: str, out: str):
@@ -76,10 +67,6 @@ def next_in_group(df: DataFrame, group: str, order: list[str], value: str, out:
     keys = [group, *order]
     shared_dir(df.sparkSession)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    memo = (id(df.sparkSession), df.semanticHash(), tuple(keys), value, out, n)
-    done = _DONE.get(memo)
-    if done is not None:
-        return done
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .checkpoint(eager=True))
     with_pid = ranged.withColumn(PID, F.spark_partition_id())
@@ -101,6 +88,4 @@ def next_in_group(df: DataFrame, group: str, order: list[str], value: str, out:
     j = marked.join(F.broadcast(links), PID, "left")
     patched = F.when(F.col(LAST) & F.col(group).eqNullSafe(F.col("_ng")), F.col("_nv")) \
         .otherwise(F.col(out))
-    result = j.select(*df.columns, patched.alias(out)).checkpoint(eager=True)
-    _DONE[memo] = result
-    return result
+    return j.select(*df.columns, patched.alias(out))

@@ -39,7 +39,9 @@ class Job:
 
     @cached_property
     def studies(self) -> DataFrame:
-        return self._studies if self._studies is not None else standins.studies(self.events)
+        if self._studies is not None:
+            return self._studies
+        return standins.staged_studies(self.events)
 
     @cached_property
     def images(self) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.sequence import next_in_group
-from tessera.session import table_path
+from tessera.session import scratch_path, table_path
 
 # Fixture value lists (positions are picked by ``1 + id % n``).
 MODALITY_CODES = ("XR|XRAY|x-ray|CT|ct|CAT|MRI|mri|MR|US|ULTR|NM|NMED|FL|FLURO|"
@@ -81,6 +81,30 @@ def studies(events: DataFrame, skew_safe: bool = True) -> DataFrame:
     )
 
 
+# Staged copies of the RIS stand-in, per session and input plan.
+_STAGED: dict[tuple, str] = {}
+
+
+def clear_staged() -> None:
+    """Forget staged stand-ins (the next call computes and writes again)."""
+    _STAGED.clear()
+
+
+def staged_studies(events: DataFrame) -> DataFrame:
+    """The RIS stand-in written once as parquet to the shared folder and read
+    back, like the staging export of a source system: later queries scan it
+    (column pruning, pushed filters, size statistics) instead of recomputing
+    the next-event step."""
+    spark = events.sparkSession
+    key = (id(spark), events.semanticHash())
+    path = _STAGED.get(key)
+    if path is None:
+        path = scratch_path(spark, "staged-studies")
+        studies(events).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(path)
+
+
 def images(events: DataFrame) -> DataFrame:
     """PACS stand-in: image metadata per event, some with orphan study ids."""
     eid = F.col("event_id")
