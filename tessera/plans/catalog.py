@@ -221,6 +221,22 @@ def q_validated(spark, d):
     return _job(spark, d).valid
 
 
+def q_validated_from_csv(spark, d):
+    """S1 end to end: the studies exported as text CSV (empty field = null),
+    read back with every column as text, typed, extracted and validated."""
+    from tessera.session import scratch_path
+    from tessera.sources import exports
+    from tessera.schemas import RIS_COLUMNS
+    studies = _job(spark, d).studies
+    path = scratch_path(spark, "ris_csv")
+    studies.select(*[F.col(c).cast("string").alias(c) for c in studies.columns]) \
+        .write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    text = exports.read_csv_export(spark, path, ["row_ix", *RIS_COLUMNS])
+    typed = exports.type_ris(text).withColumn("row_ix", F.col("row_ix").cast("bigint"))
+    return _job(spark, d, studies=typed.select(*studies.columns)).valid
+
+
 def q_quality_report(spark, d):
     j = _job(spark, d)
     return quality.quality_report(j.flagged, j.pacs_linked)
@@ -477,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v06_orphans": q_v06_orphans,
     "v07_pseudonym": q_v07_pseudonym,
     "validated": q_validated,
+    "validated_from_csv": q_validated_from_csv,
     "quality_report": q_quality_report,
     "quality_samples": q_quality_samples,
     "error_records": q_error_records,

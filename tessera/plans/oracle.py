@@ -259,6 +259,7 @@ def oracle_sql() -> dict[str, str]:
                                  "WHERE v.study_id IS NOT DISTINCT FROM i.pacs_study_id)"))
     out["v07_pseudonym"] = sql(R, "SELECT row_ix, study_id, patient_id_pseudo FROM valid")
     out["validated"] = sql(R, "SELECT * FROM valid")
+    out["validated_from_csv"] = out["validated"]
 
     counts = (
         "c AS (SELECT count(*) FILTER (WHERE NOT v01_fail) AS v01_p, count(*) FILTER (WHERE v01_fail) AS v01_f, "

@@ -24,6 +24,8 @@ def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str]) -> D
     """
     df = (spark.read.schema(text_schema(columns))
           .option("header", True).option("mode", "PERMISSIVE")
+          # text is kept as written: " CT " is not "CT" for the vocabulary
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("multiLine", False).csv(path))
     return df.select(*[X.null_tokens_to_null(c).alias(c) for c in columns])
 
