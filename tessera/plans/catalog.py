@@ -29,9 +29,14 @@ class Job:
     """The lazily built batch plan over one set of driver tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: JobConfig = C.DEFAULT,
-                 watermark: str = C.INITIAL_WATERMARK, studies: DataFrame | None = None):
+                 watermark: str = C.INITIAL_WATERMARK, studies: DataFrame | None = None,
+                 stage_valid: bool = False):
         self.spark, self.sf_dir, self.cfg, self.watermark = spark, sf_dir, cfg, watermark
         self._studies = studies
+        # Outputs that derive several tables from one validation write the
+        # validated rows once (checkpoint to the shared folder) instead of
+        # re-running V02 in every branch, as the batch job's staging does.
+        self.stage_valid = stage_valid
 
     @cached_property
     def events(self) -> DataFrame:
@@ -69,7 +74,12 @@ class Job:
 
     @cached_property
     def valid(self) -> DataFrame:
-        return quality.validated(self.flagged, self.cfg)
+        v = quality.validated(self.flagged, self.cfg)
+        if self.stage_valid:
+            from tessera.session import shared_dir
+            shared_dir(self.spark)
+            v = v.checkpoint(eager=True)
+        return v
 
     @cached_property
     def pacs_linked(self) -> DataFrame:
@@ -334,7 +344,7 @@ def q_partition_counts(spark, d):
 
 
 def q_fk_orphans(spark, d):
-    j = _job(spark, d)
+    j = _job(spark, d, stage_valid=True)
     dims = j.dims
     return warehouse.orphan_keys(j.fact(), {
         "date_key": (dims["dim_date"], "date_key"),
@@ -345,7 +355,7 @@ def q_fk_orphans(spark, d):
 
 
 def q_duplicate_keys(spark, d):
-    j = _job(spark, d)
+    j = _job(spark, d, stage_valid=True)
     dims = j.dims
     return warehouse.duplicate_keys({
         "staging_ris": (j.ris, "study_id"),
@@ -396,7 +406,7 @@ def _audit_log(j: Job) -> DataFrame:
 
 
 def q_warehouse_counts(spark, d):
-    j = _job(spark, d)
+    j = _job(spark, d, stage_valid=True)
     dims = j.dims
     return warehouse.table_counts({
         "fact_radiology": j.fact(), "dim_date": dims["dim_date"],
