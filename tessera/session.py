@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # No Python call-site capture on every API call (error context only).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # One node, small inputs: let AQE keep several post-shuffle partitions
         # per core instead of merging everything into one task (cluster
         # sessions keep the default sizes).
