@@ -54,17 +54,22 @@ def apply_job_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a scratch
+    Read from the session, and registered as the checkpoint folder if the
+    context has none yet. Only when it is unset (local tests) a scratch
     folder is created and registered, so checkpoint() works as well.
     """
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+    if path:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(path)
         return path
+    path = sc.getCheckpointDir()
+    if path:
+        return path
+    path = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", path)
+    sc.setCheckpointDir(path)
     return path
 
 
