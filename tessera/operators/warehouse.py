@@ -187,12 +187,21 @@ class Warehouse:
         ``(partition_key, study_id)`` so a month holding a third of the batch
         is split over many writers while each writer touches few folders.
 
-        Returns ``{records_in, inserted, skipped}``, taken (one row) before the
-        write: the write refreshes every plan that reads the fact folder, so a
-        lazy count evaluated afterwards would see the new rows as loaded."""
+        The loaded keys are read once: the batch is left-joined to them
+        (keys are unique, the fact's primary key) and that batch-sized result
+        is checkpointed; counts and new rows both come from it. Returns
+        ``{records_in, inserted, skipped}``, taken before the write (the write
+        refreshes every plan that reads the fact folder)."""
+        from tessera.session import shared_dir
+        shared_dir(self.spark)
         fact = self.table("fact_radiology")
-        counts = append_counts(fact, batch).first().asDict()
-        new = append_new(fact, batch)
+        loaded = fact.select("study_id", F.lit(True).alias("_loaded"))
+        marked = batch.join(loaded, "study_id", "left").checkpoint(eager=True)
+        counts = marked.agg(F.count(F.lit(1)).alias("records_in"),
+                            F.count_if(F.col("_loaded").isNull()).alias("inserted"),
+                            F.count_if(F.col("_loaded").isNotNull()).alias("skipped")
+                            ).first().asDict()
+        new = marked.where(F.col("_loaded").isNull()).select(*batch.columns)
         (new.repartitionByRange("partition_key", "study_id")
          .write.mode("append").partitionBy("partition_key").parquet(self.path("fact_radiology")))
         return counts
