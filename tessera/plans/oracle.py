@@ -62,10 +62,6 @@ RIS_COLS = ("row_ix, study_id, patient_id, exam_start_dt, exam_end_dt, report_is
 VALID_COLS = ("row_ix, study_id, exam_start_dt, exam_end_dt, report_issued_dt, modality_raw, "
               "radiologist_id, site_code, priority, referral_source, modality_standard, "
               "turnaround_mins, tat_flag, patient_id_pseudo")
-FACT_COLS = ("study_id, date_key, modality_key, radiologist_key, location_key, patient_id_pseudo, "
-             "turnaround_mins, study_count, report_issued_flag, tat_band, priority, "
-             "referral_source, tat_flag, load_timestamp, partition_key")
-
 
 def dim_date_cte(name: str, src: str, ts_col: str) -> str:
     fy = "(year(d) - CASE WHEN month(d) < 4 THEN 1 ELSE 0 END)"
