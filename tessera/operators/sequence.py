@@ -2,8 +2,9 @@
 
 ``lead(v) OVER (PARTITION BY g ORDER BY o)`` puts every row of a group into
 one task: a group holding a third of all rows becomes a third of the job on
-one core. :func:`next_in_group` gives the same result from a range
-partitioning instead:
+one core. :func:`next_in_group` counts rows per group first (partial
+aggregation); groups above ``total / (4 * partitions)`` rows are hot. Only
+those take the range path below, every other group keeps the plain window:
 
 1. ``repartitionByRange(g, o...)``: boundaries come from a sample, so a hot
    group is cut over many partitions; partition ids follow the global order.
@@ -61,12 +62,33 @@ def _stream_next(group: str, value: str, out: str):
 
 
 def next_in_group(df: DataFrame, group: str, order: list[str], value: str, out: str,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, split_hot: bool = True) -> DataFrame:
     """``df`` plus ``out`` = ``value`` of the next row of the same ``group`` in
-    ``order`` (null for a group's last row). ``order`` must make rows unique."""
+    ``order`` (null for a group's last row). ``order`` must make rows unique.
+
+    With ``split_hot``, only hot groups take the range path: a group is hot
+    when it holds more than ``total / (4 * partitions)`` rows, so there are
+    fewer than ``4 * partitions`` of them (a bound set by the partition count,
+    which makes broadcasting their keys safe). All other groups use the plain
+    ``lead`` window; none of them is larger than that share."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not split_hot:
+        return _ranged_next(df, group, order, value, out, n)
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    limit = counts.select((F.sum("_n") / F.lit(4 * n)).alias("_l")).scalar()
+    hot = F.broadcast(counts.where(F.col("_n") > limit).select(F.col(group).alias("_hot")))
+    is_hot = df[group].eqNullSafe(hot["_hot"])
+    cold = df.join(hot, is_hot, "left_anti")
+    w = Window.partitionBy(group).orderBy(*order)
+    cold_out = cold.select(*df.columns, F.lead(value).over(w).alias(out))
+    hot_out = _ranged_next(df.join(hot, is_hot, "left_semi"), group, order, value, out, n)
+    return cold_out.unionByName(hot_out)
+
+
+def _ranged_next(df: DataFrame, group: str, order: list[str], value: str, out: str,
+                 n: int) -> DataFrame:
     keys = [group, *order]
     shared_dir(df.sparkSession)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .checkpoint(eager=True))
     with_pid = ranged.withColumn(PID, F.spark_partition_id())

@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -21,14 +23,16 @@ def _fixture(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
 
 
-def test_hot_group_matches_window(spark):
+@pytest.mark.parametrize("split_hot", [True, False])
+def test_hot_group_matches_window(spark, split_hot):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     try:
         df = _fixture(spark)
         w = Window.partitionBy("user_id").orderBy("ts", "event_id")
         want = df.select("*", F.lead("ts").over(w).alias("nxt"))
-        got = next_in_group(df, "user_id", ["ts", "event_id"], "ts", "nxt", num_partitions=16)
+        got = next_in_group(df, "user_id", ["ts", "event_id"], "ts", "nxt", num_partitions=16,
+                            split_hot=split_hot)
         assert got.count() == df.count()
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
         # the hot user is spread over many partitions, not one
@@ -44,5 +48,14 @@ def test_more_partitions_than_rows(spark):
     df = _fixture(spark, n=20, seed=3)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     want = df.select("*", F.lead("ts").over(w).alias("nxt"))
-    got = next_in_group(df, "user_id", ["ts", "event_id"], "ts", "nxt", num_partitions=64)
+    got = next_in_group(df, "user_id", ["ts", "event_id"], "ts", "nxt", num_partitions=64,
+                        split_hot=False)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_hot_split_uses_window_only_for_cold_groups(spark):
+    df = _fixture(spark)
+    got = next_in_group(df, "user_id", ["ts", "event_id"], "ts", "nxt", num_partitions=16)
+    p = got._jdf.queryExecution().executedPlan().toString()
+    # the cold part is a window over hashed users; the hot keys are broadcast
+    assert "Window [" in p and "Broadcast" in p
