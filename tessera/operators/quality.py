@@ -43,7 +43,11 @@ def keep_first_flag(df: DataFrame, key: str, order: str, eligible: Column | None
                     flag: str = FLAG_V02) -> DataFrame:
     """V02 as a general operator: ``flag`` is true for every eligible row that is
     not the first (smallest ``order``) of its ``key``; null keys count as equal.
-    Ineligible rows get a null flag."""
+    Ineligible rows get a null flag.
+
+    ``order`` is the row's position in its source and must be unique per row
+    (``event_id`` for the stand-in, file name + row index for files): two rows
+    with the same key *and* the same position would both count as first."""
     base = df if eligible is None else df.withColumn("_eligible", eligible)
     elig = F.lit(True) if eligible is None else F.col("_eligible")
     firsts = (base.where(elig).groupBy(F.col(key).alias("_fk"))

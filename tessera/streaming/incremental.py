@@ -8,10 +8,13 @@ dimension upserts are idempotent and audit rows carry the epoch id, so a
 micro-batch replayed after a failure changes nothing.
 
 ``Trigger.AvailableNow`` processes what is there and stops (the daily run);
-drop it for a continuously running query. Optionally, exact copies arriving
+drop it for a continuously running query. Optionally, copies arriving
 within ``dedupe_within`` of each other are removed in the stream with an
 event-time watermark and ``dropDuplicatesWithinWatermark`` (the event time
-is cast from TIMESTAMP_NTZ, which the watermark does not accept).
+is cast from TIMESTAMP_NTZ, which the watermark does not accept). That keeps
+the first *arrival* of a study id, so it is meant for exact copies: when two
+different rows share an id, the batch rule (first by source order, after V01)
+may keep the other one.
 """
 
 from __future__ import annotations
