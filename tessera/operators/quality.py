@@ -182,8 +182,9 @@ def _report_rows(counts: DataFrame, rules: list[tuple[str, str, str]]) -> DataFr
 
 
 def quality_report(flagged: DataFrame, pacs_linked: DataFrame) -> DataFrame:
-    """V-REP: ``(rule_id, description, passed, failed, pass_rate)`` in rule order,
-    from one aggregate over the flagged studies and one over the images."""
+    """V-REP: ``(rule_id, description, passed, failed, pass_rate, total_failed)``
+    in rule order (``total_failed`` is the running sum), from one aggregate over
+    the flagged studies and one over the images."""
     v01, v02 = F.col(FLAG_V01), F.col(FLAG_V02)
     ok2 = ~v01 & ~v02
     ris_counts = flagged.agg(
@@ -205,12 +206,18 @@ def quality_report(flagged: DataFrame, pacs_linked: DataFrame) -> DataFrame:
                                   F.count_if(~F.col("_v06_linked")).alias("v06_f"))
     pacs_rows = _report_rows(pacs_counts, [("V06", "v06_p", "v06_f")])
     rows = ris_rows.unionByName(pacs_rows)
+    # running total of failures in rule order: a window over the seven report
+    # rows (a bounded table, so one partition is fine)
+    from pyspark.sql import Window
+    pos = F.array_position(F.array(*[F.lit(r) for r in C.RULE_ORDER]), F.col("rule_id"))
+    running = Window.orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.select(
         "rule_id",
         X.lookup(F.col("rule_id"), dict(C.RULE_DESCRIPTIONS)).alias("description"),
         F.col("passed").cast("bigint").alias("passed"),
         F.col("failed").cast("bigint").alias("failed"),
         X.percent_text("passed", "failed").alias("pass_rate"),
+        F.sum(F.col("failed").cast("bigint")).over(running).cast("bigint").alias("total_failed"),
     )
 
 

@@ -275,10 +275,12 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{r}' AS rule_id, {r.lower()}_p AS passed, {r.lower()}_f AS failed FROM "
         f"{'pc' if r == 'V06' else 'c'}" for r in C.RULE_ORDER)
     desc = _case("rule_id", C.RULE_DESCRIPTIONS)
+    pos = _case("rule_id", {r: str(i) for i, r in enumerate(C.RULE_ORDER, 1)}, "99")
     out["quality_report"] = sql(R + [counts, pc], (
         f"SELECT rule_id, {desc} AS description, CAST(passed AS BIGINT) AS passed, "
-        f"CAST(failed AS BIGINT) AS failed, {_pct_text('passed', 'failed')} AS pass_rate "
-        f"FROM ({rows}) x"))
+        f"CAST(failed AS BIGINT) AS failed, {_pct_text('passed', 'failed')} AS pass_rate, "
+        f"CAST(sum(failed) OVER (ORDER BY {pos} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+        f"AS BIGINT) AS total_failed FROM ({rows}) x"))
     samples = (
         "SELECT 'V01' AS rule_id, study_id AS sample, row_ix AS ord FROM flagged WHERE v01_fail "
         "UNION ALL SELECT 'V02', study_id, row_ix FROM flagged WHERE NOT v01_fail AND v02_dup "
