@@ -172,15 +172,19 @@ class Warehouse:
             return df.where(F.col(VERSION_COL) == latest).drop(VERSION_COL)
         return df.select(*schema.fieldNames())
 
-    def upsert_dimension(self, name: str, batch: DataFrame, version: str) -> None:
-        """L1 as a new version; an empty batch still writes the version so the
-        run is visible, and is otherwise a no-op."""
+    def upsert_dimension(self, name: str, batch: DataFrame, version: str) -> int:
+        """L1 as a new version; returns the batch rows upserted. An empty
+        batch is a no-op (no version is written) and returns 0."""
         _, pk = WAREHOUSE[name]
+        n = batch.count()
+        if n == 0:
+            return 0
         merged = upsert_type1(self.table(name), batch, pk)
         # Versions sort by write time whatever the run id looks like.
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
         (merged.withColumn(VERSION_COL, F.lit(f"{stamp}_{version}"))
          .write.mode("append").partitionBy(VERSION_COL).parquet(self.path(name)))
+        return n
 
     def append_fact(self, batch: DataFrame) -> dict:
         """L2 + L3: append the new rows, range-partitioned on

@@ -147,3 +147,18 @@ def test_stream_dedupe_within_watermark(spark, scratch):
                                          .cast("long"))).first()[0]
     # exact copies: the fact append skips them, or the stream never lets them in
     assert skipped["plain"] > 0 and skipped["dedupe"] == 0
+
+
+def test_dimension_upsert_versions(spark, scratch):
+    wh = warehouse.Warehouse(spark, f"{scratch}/wh")
+    wh.initialise()
+    schema = "location_key bigint, site_code string, department string, trust string, region string"
+    a = spark.createDataFrame([(1, "A", "A", "t", "r"), (2, "B", "B", "t", "r")], schema)
+    b = spark.createDataFrame([(2, "B", "B2", "t", "r"), (3, "C", "C", "t", "r")], schema)
+    assert wh.upsert_dimension("dim_location", a, "RUN_1") == 2
+    assert wh.upsert_dimension("dim_location", b, "RUN_2") == 2
+    assert wh.upsert_dimension("dim_location", b.limit(0), "RUN_3") == 0
+    cur = sorted((r.location_key, r.department) for r in wh.table("dim_location").collect())
+    assert cur == [(1, "A"), (2, "B2"), (3, "C")]
+    versions = spark.read.parquet(wh.path("dim_location")).select("version").distinct().count()
+    assert versions == 2  # one per non-empty load; the empty batch wrote none
