@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +27,7 @@ WINDOW = 10
 BLOCK_BYTES = 8 << 20
 #: Bytes of text that are split into words at once.
 SEGMENT = 1 << 20
+RUNS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
 class Tables:
@@ -151,18 +152,21 @@ def hit_runs(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", t
     for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
         shared = spark.sparkContext.broadcast(items)
 
-        def search(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def search(frames: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             tables, ids = build(shared.value, window)
             for f in frames:
-                out = [match(t, tables) for t in f["t"]]
-                yield f.assign(
-                    n_words=[n for n, _, _ in out],
-                    runs=[[{"a": a, "b": b} for a, b in merged([(x["a"], x["b"]) for x in old] + r)]
-                          for old, (_, r, _) in zip(f["runs"], out)],
-                    items=[sorted({*old, *(ids[k] for k in s)}) for old, (_, _, s) in zip(f["items"], out)])
+                n, runs, found = [], [], []
+                for text, old_runs, old in zip(*(f.column(c).to_pylist() for c in ("t", "runs", "items"))):
+                    count, new, numbers = match(text, tables)
+                    n.append(count)
+                    runs.append([{"a": a, "b": b} for a, b in merged([(x["a"], x["b"]) for x in old_runs] + new)])
+                    found.append(sorted({*old, *(ids[k] for k in numbers)}))
+                yield pa.RecordBatch.from_arrays(
+                    [f.column("doc_id"), f.column("t"), pa.array(n, pa.int64()), pa.array(runs, RUNS),
+                     pa.array(found, pa.list_(pa.string()))], ["doc_id", "t", "n_words", "runs", "items"])
 
         # A further block of items takes the rows that the block before has written.
-        rows = (rows if first else stage(spark, rows, "decontaminate")).mapInPandas(search, schema)
+        rows = (rows if first else stage(spark, rows, "decontaminate")).mapInArrow(search, schema)
         first = False
     return rows.drop("t")
 
