@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, exact_dedup, secret_scan, token_store
+from tessera.llm import decontaminate, exact_dedup, secret_scan, token_store, toxicity
 
-MODULES = (exact_dedup, decontaminate, token_store, secret_scan)
+MODULES = (exact_dedup, decontaminate, token_store, secret_scan, toxicity)
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
