@@ -32,6 +32,8 @@ STATE_CONF = {
     # One bounded cache per executor instead of one per open partition.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Many small stores: without this each one reserves megabytes of disk ahead.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Rows of one digest that one task compares with the retained text.
 ROWS_PER_SALT = 5000
