@@ -136,7 +136,8 @@ def exact_dedup(spark: SparkSession, path: str, state_dir: str, *, id_col: str =
     update_state(spark, path, schema, state_dir, id_col=id_col, text_col=text_col, digest=digest,
                  max_bytes_per_trigger=max_bytes_per_trigger,
                  max_files_per_trigger=max_files_per_trigger)
-    state = read_state(spark, state_dir, schema, id_col)
+    # A table of its own, so that a hot digest's rows can be split in the join.
+    state = stage(spark, read_state(spark, state_dir, schema, id_col), "exact-ledger")
     docs = _located(spark.read.schema(schema).parquet(path), id_col, text_col, digest)
 
     # Narrow join on the digest: ids and positions only, no text.

@@ -44,10 +44,6 @@ RULES = (
 LEDGER = "blob string, kind string, version int, spans array<struct<start:long, end:long>>"
 
 
-def _lit(pattern: str) -> Column:
-    return F.lit(pattern)
-
-
 def scan(todo: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """Scan (blob, text, kinds): one ledger row per blob and kind in ``kinds``.
 
@@ -55,18 +51,20 @@ def scan(todo: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     gaps between the matches that ``regexp_extract_all`` returns; a running sum
     of both lengths gives each match's start in code points.
     """
-    parts = None
-    for r in rules:
-        hit = F.array_contains("kinds", r.kind) & F.col("text").rlike(r.pattern)
-        one = todo.where(hit).select(
-            "blob", F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"),
-            F.posexplode(F.arrays_zip(
-                F.transform(F.split("text", r.pattern, -1), F.length).alias("gap"),
-                F.transform(F.regexp_extract_all("text", _lit(r.pattern), F.lit(0)), F.length).alias("len"),
-                F.transform(F.regexp_extract_all("text", _lit(r.pattern), F.lit(r.group)), F.length).alias("val"),
-            )).alias("pos", "m"))
-        one = one.select("blob", "kind", "least", "pos", "m.gap", "m.len", "m.val")
-        parts = one if parts is None else parts.unionByName(one)
+    def lengths(r: Rule) -> Column:
+        found = F.arrays_zip(
+            F.transform(F.split("text", r.pattern, -1), F.length).alias("gap"),
+            F.transform(F.regexp_extract_all("text", F.lit(r.pattern), F.lit(0)), F.length).alias("len"),
+            F.transform(F.regexp_extract_all("text", F.lit(r.pattern), F.lit(r.group)), F.length).alias("val"))
+        # Both columns in one condition: the regex stays above the join that leaves out
+        # what the ledger already holds.
+        todo_and_hit = F.when(F.array_contains("kinds", r.kind), F.col("text").rlike(r.pattern)).otherwise(False)
+        return F.struct(F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"),
+                        F.when(todo_and_hit, found).alias("m"))
+
+    parts = (todo.select("blob", F.explode(F.array(*[lengths(r) for r in rules])).alias("r"))
+             .select("blob", "r.kind", "r.least", F.posexplode("r.m").alias("pos", "m"))
+             .select("blob", "kind", "least", "pos", "m.gap", "m.len", "m.val"))
     # One blob and kind per window group: as many rows as that one text has matches.
     upto = "sum(gap + coalesce(len, 0)) OVER (PARTITION BY blob, kind ORDER BY pos)"
     found = (parts.withColumn("end", F.expr(upto).cast("long"))

@@ -35,7 +35,7 @@ from tessera.session import scratch_path
 MAGIC = b"EFTOKEN1"
 SAMPLE = 256
 #: Pieces of text whose ids a worker remembers; other pieces are encoded each time.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 150_000
 READ_BYTES = 8 << 20
 
 
