@@ -8,7 +8,7 @@ inverse Gram matrix G = sum n p p',
 
     r <- max(0, r - p' G^-1 e)
 
-Each step is one distributed sum of as many numbers as there are domains. A
+with Nesterov's momentum, should the bound at 0 keep one step from the goal. Each step is one distributed sum of as many numbers as there are domains. A
 rate depends on its document's p and the steps so far only, so rates are an
 expression over p and no state is kept per document.
 """
@@ -124,16 +124,28 @@ def memberships(docs: DataFrame, shared, k: int, text_col: str = "text") -> Data
                                               *(T.StructField(f"p_{i}", T.DoubleType()) for i in range(k))]))
 
 
-def rate(steps: list[np.ndarray]) -> Column:
+def _after(steps: list[tuple[float, np.ndarray]]) -> Column:
+    """(r, q) of a document after the steps: r <- max(0, q - p' y), q <- r + beta (r - old r)."""
+    one = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("q"))
+    if not steps:
+        return one
+    k = len(steps[0][1])
+    todo = F.array(*[F.struct(F.lit(float(b)).alias("b"), F.array(*[F.lit(float(v)) for v in y]).alias("y")) for b, y in steps])
+
+    def step(s: Column, x: Column) -> Column:
+        r = F.greatest(F.lit(0.0), s["q"] - sum((F.col(f"p_{i}") * x["y"][i] for i in range(k)), F.lit(0.0)))
+        return F.struct(r.alias("r"), (r + x["b"] * (r - s["r"])).alias("q"))
+
+    return F.aggregate(todo, one, step)
+
+
+def rate(steps: list[tuple[float, np.ndarray]]) -> Column:
     """A document's rate after the given steps, from its p columns."""
-    r = F.lit(1.0)
-    for y in steps:
-        r = F.greatest(F.lit(0.0), r - sum((F.col(f"p_{i}") * float(v) for i, v in enumerate(y)), F.lit(0.0)))
-    return r
+    return _after(steps)["r"]
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, budget: float | None = None, *,
-              max_steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[np.ndarray], np.ndarray]:
+              max_steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[tuple[float, np.ndarray]], np.ndarray]:
     """(steps, target tokens) that bring the expected domain tokens of ``members`` to their targets.
 
     Without a ``budget`` the total is the least for which no domain has to shrink.
@@ -147,12 +159,15 @@ def fit_rates(members: DataFrame, targets: np.ndarray, budget: float | None = No
     gram = np.array([[sums[f"g_{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
     share = targets / targets.sum()
     total = float(budget) if budget is not None else float((now[share > 0] / share[share > 0]).max(initial=0.0))
-    goal, inverse, steps = share * total, np.linalg.pinv(gram), []
+    goal, inverse, steps, t = share * total, np.linalg.pinv(gram), [], 1.0
+    look = now
     while len(steps) < max_steps and np.abs(now - goal).max() > tolerance * max(total, 1.0):
-        steps.append(inverse @ (now - goal))
-        r = rate(steps)
-        got = members.agg(*(F.sum(r * n * p[i]).alias(f"a_{i}") for i in range(k))).first()
-        now = np.array([got[f"a_{i}"] or 0.0 for i in range(k)])
+        t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        steps.append(((t - 1) / t_next, inverse @ (look - goal)))
+        t = t_next
+        state = members.select("n_tokens", *(f"p_{i}" for i in range(k)), _after(steps).alias("s"))
+        got = state.agg(*(F.sum(F.col(f"s.{v}") * n * p[i]).alias(f"{v}_{i}") for v in "rq" for i in range(k))).first()
+        now, look = (np.array([got[f"{v}_{i}"] or 0.0 for i in range(k)]) for v in "rq")
     return steps, goal
 
 
