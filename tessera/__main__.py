@@ -1,5 +1,6 @@
 """Command line: run the whole job, or show the KPI tables of a warehouse.
 
+    python -m tessera run  --ris ris.csv --pacs pacs.csv --epr epr.csv --root /shared/radiology
     python -m tessera run  --tables /root/testdata/sf0.01 --root /shared/radiology
     python -m tessera kpis --root /shared/radiology
 
@@ -29,7 +30,9 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tessera")
     sub = ap.add_subparsers(dest="cmd", required=True)
     run = sub.add_parser("run", help="extract, validate, transform, load and report once")
-    run.add_argument("--tables", required=True, help="folder with events.parquet")
+    run.add_argument("--tables", help="folder with events.parquet, from which stand-in exports are derived")
+    for source in ("ris", "pacs", "epr"):
+        run.add_argument(f"--{source}", help=f"{source.upper()} export: a header CSV file or folder")
     run.add_argument("--root", required=True, help="shared output folder")
     run.add_argument("--run-ts", default=None, help="run time stamp (default: now, UTC)")
     show = sub.add_parser("kpis", help="print the KPI tables of a warehouse")
@@ -42,10 +45,16 @@ def main(argv=None) -> None:
 
     if args.cmd == "run":
         from tessera.plans.batch import run_batch
-        from tessera.sources import standins
-        ev = standins.read_table(spark, args.tables, "events")
-        out = run_batch(spark, standins.studies(ev), standins.images(ev), standins.patients(ev),
-                        args.root, run_ts=args.run_ts)
+        from tessera.sources import exports, standins
+        if args.tables:
+            ev = standins.read_table(spark, args.tables, "events")
+            sources = standins.studies(ev), standins.images(ev), standins.patients(ev)
+        elif args.ris and args.pacs and args.epr:
+            sources = (exports.read_ris_csv(spark, args.ris), exports.read_pacs_csv(spark, args.pacs),
+                       exports.read_epr_csv(spark, args.epr))
+        else:
+            ap.error("give --ris, --pacs and --epr, or --tables")
+        out = run_batch(spark, *sources, args.root, run_ts=args.run_ts)
         print(json.dumps(out, default=str, indent=1))
     else:
         from tessera.operators.warehouse import Warehouse

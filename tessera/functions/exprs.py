@@ -22,8 +22,9 @@ NULL_TOKENS = (
     "nan", "null",
 )
 
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
-                     "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy HH:mm", "yyyy-MM-dd")
+# Optional parts in brackets; a zone moves the time to UTC (the session's zone).
+TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm[:ss][.SSSSSS][.SSS]", "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][.SSS][XXX]",
+                     "dd/MM/yyyy HH:mm[:ss]", "yyyy-MM-dd", "dd/MM/yyyy")
 
 
 def col_of(c: str | Column) -> Column:
@@ -46,8 +47,9 @@ def any_null(cols: Iterable[str]) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """strip leading/trailing whitespace including tabs and newlines."""
-    return F.regexp_replace(col_of(c), r"^\s+|\s+$", "")
+    """strip leading/trailing white space of any script (no-break and wide
+    spaces, tabs, line ends, information separators)."""
+    return F.regexp_replace(col_of(c), r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
 
 
 def is_digits(c: str | Column, length: int) -> Column:
@@ -81,9 +83,10 @@ def lookup(c: str | Column, mapping: Mapping[str, str], default=None) -> Column:
     return F.coalesce(found, default if isinstance(default, Column) else F.lit(default))
 
 
-def surrogate_key(c: str | Column) -> Column:
-    """First 8 hex digits of MD5 as a non-negative bigint."""
-    return F.conv(F.substring(F.md5(col_of(c).cast("string")), 1, 8), 16, 10).cast("bigint")
+def surrogate_key(c: str | Column, digits: int = 8) -> Column:
+    """First ``digits`` hex digits of MD5 as a non-negative bigint. 8 are the
+    source's 32-bit key; up to 15 fit a bigint where members are too many for 32 bits."""
+    return F.conv(F.substring(F.md5(col_of(c).cast("string")), 1, digits), 16, 10).cast("bigint")
 
 
 def member_key(c: str | Column) -> Column:
@@ -165,12 +168,10 @@ def tat_flag(micros: str | Column, min_mins: int, max_mins: int) -> Column:
 
 
 def round_half_up(c: str | Column, digits: int) -> Column:
-    """round half up as ``floor(x * 10^d + 0.5) / 10^d``.
-
-    Written as plain double arithmetic so every engine computes the same bits;
-    SQL ROUND differs between engines at decimal ties (1.005)."""
-    scale = 10 ** digits
-    return F.floor(col_of(c) * F.lit(float(scale)) + F.lit(0.5)) / F.lit(float(scale))
+    """round half away from zero, on the double scaled by ``10^d``."""
+    scale, x = float(10 ** digits), col_of(c)
+    size = F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.when(x < 0, -size).otherwise(size)
 
 
 def percent_text(passed: str | Column, failed: str | Column) -> Column:

@@ -40,6 +40,16 @@ def review_summary(requests: DataFrame, permissions: DataFrame) -> DataFrame:
                                              "request_count")
 
 
+def audit_rows(refused: DataFrame, run_id: str, run_ts: str) -> DataFrame:
+    """Audit-log rows of refused requests; the id carries the run and the request."""
+    return refused.select(
+        F.concat(F.lit(f"{run_id}-ACCESS-"), F.col("request_id").cast("string")).alias("log_id"),
+        F.lit(run_ts).cast("timestamp_ntz").alias("event_time"), F.lit("ACCESS").alias("pipeline_step"),
+        F.col("required_permission").alias("action"), F.lit(1).cast("bigint").alias("records_in"),
+        F.lit(0).cast("bigint").alias("records_out"), F.col("role").alias("user_account"),
+        F.lit("DENIED").alias("status"), F.concat(F.lit("role="), F.col("role")).alias("notes"))
+
+
 def denied(requests: DataFrame, permissions: DataFrame) -> DataFrame:
     """Denied requests, the rows that go to the audit log."""
     return review(requests, permissions).where(~F.col("granted"))

@@ -53,11 +53,19 @@ def extract_epr(patients: DataFrame, ris: DataFrame, cfg: JobConfig = C.DEFAULT)
     return patients.join(ids, patients[cfg.key_col] == ids["_sid"], "left_semi")
 
 
+def masked_epr(epr: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
+    """EPR rows with pseudonyms in place of the patient and national ids."""
+    raw = {cfg.patient_col: "patient_id_pseudo", "nhs_number": "nhs_number_pseudo"}
+    return epr.select(*[X.pseudonym(c, cfg.pseudonym_salt).alias(raw[c]) if c in raw else F.col(c) for c in epr.columns])
+
+
 def extract_counts(studies: DataFrame, images: DataFrame, patients: DataFrame,
                    ris_wm: str, pacs_wm: str, cfg: JobConfig = C.DEFAULT) -> DataFrame:
     """``(source, total_records, new_records)``, one aggregate per source."""
     def counts(df, time_col, wm, name):
         t = F.col(time_col)
+        if dict(df.dtypes)[time_col] == "string":
+            t = X.parse_timestamp(t)
         return df.agg(F.lit(name).alias("source"),
                       F.count(F.lit(1)).alias("total_records"),
                       F.count_if(t > watermark_literal(wm)).alias("new_records"))

@@ -7,20 +7,19 @@ then V06 on the image metadata.
 
 Scale notes
 -----------
-* V02 "keep first" is a ``min(row_ix)`` aggregate per key (partial aggregation
-  collapses a hot key map-side) joined back on ``(key, row_ix)``; the join's
-  hash partitioning includes ``row_ix``, so one key holding a third of all rows
-  still spreads over every task. A ``row_number`` window would send that key to
-  one task.
+* V02 passing rows are ``row_number() = 1`` per key: Spark limits each task's
+  group to its first row before the shuffle, so a key holding a third of all
+  rows sends one row per task. One scan, one exchange.
+* V02 flags on all rows join the few keys that occur more than once (from one
+  hash aggregate) back to the rows; AQE broadcasts them if small and splits a
+  hot key's rows otherwise.
 * V06 is a semi/anti join on the study key; only the key column of the studies
   side is read.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import config as C
@@ -32,6 +31,7 @@ FLAG_V02 = "_v02_dup"
 FLAG_V03 = "_v03_unmapped"
 FLAG_V04 = "_v04_invalid"
 TAT_US = "_tat_us"
+PATIENT_PSEUDO = "_patient_pseudo"
 
 
 def v01_null_timestamps(df: DataFrame, cfg: JobConfig = C.DEFAULT) -> Column:
@@ -46,17 +46,16 @@ def keep_first_flag(df: DataFrame, key: str, order: str, eligible: Column | None
     Ineligible rows get a null flag.
 
     ``order`` is the row's position in its source and must be unique per row
-    (``event_id`` for the stand-in, file name + row index for files): two rows
+    (``event_id`` for the stand-in, file and place in it for files): two rows
     with the same key *and* the same position would both count as first."""
     base = df if eligible is None else df.withColumn("_eligible", eligible)
     elig = F.lit(True) if eligible is None else F.col("_eligible")
     firsts = (base.where(elig).groupBy(F.col(key).alias("_fk"))
-              .agg(F.min(order).alias("_first_ix")))
-    joined = base.join(
-        firsts,
-        on=base[key].eqNullSafe(firsts["_fk"]) & (base[order] == firsts["_first_ix"]),
-        how="left")
-    out = joined.withColumn(flag, F.when(elig, F.col("_first_ix").isNull()))
+              .agg(F.min(order).alias("_first_ix"), F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > 1).drop("_n"))
+    joined = base.join(firsts, base[key].eqNullSafe(firsts["_fk"]), "left")
+    later = F.coalesce(F.col(order) > F.col("_first_ix"), F.lit(False))
+    out = joined.withColumn(flag, F.when(elig, later))
     drop = ["_fk", "_first_ix"] + ([] if eligible is None else ["_eligible"])
     return out.drop(*drop)
 
@@ -88,6 +87,12 @@ def pseudonymised(c: str | Column, cfg: JobConfig = C.DEFAULT) -> Column:
     return F.when(bad, F.lit(C.INVALID_PSEUDONYM)).otherwise(X.pseudonym(c, cfg.pseudonym_salt))
 
 
+def first_rows(df: DataFrame, key: str, order: str) -> DataFrame:
+    """V02 passing rows: the first (smallest ``order``) of each ``key``; null keys are one group."""
+    w = Window.partitionBy(key).orderBy(order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 def flag_rules(ris: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
     """All RIS rule outcomes as columns, one row per extracted row.
 
@@ -96,7 +101,16 @@ def flag_rules(ris: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
     ``turnaround_mins``, ``tat_flag`` and ``patient_id_pseudo``.
     """
     df = ris.withColumn(FLAG_V01, v01_null_timestamps(ris, cfg))
-    df = keep_first_flag(df, cfg.key_col, cfg.order_col, eligible=~F.col(FLAG_V01))
+    return _rule_columns(keep_first_flag(df, cfg.key_col, cfg.order_col, eligible=~F.col(FLAG_V01)), cfg)
+
+
+def flag_passing(ris: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
+    """The rows of :func:`flag_rules` that pass V01 and V02, without flagging the others."""
+    df = first_rows(ris.where(~v01_null_timestamps(ris, cfg)), cfg.key_col, cfg.order_col)
+    return _rule_columns(df.withColumn(FLAG_V01, F.lit(False)).withColumn(FLAG_V02, F.lit(False)), cfg)
+
+
+def _rule_columns(df: DataFrame, cfg: JobConfig) -> DataFrame:
     std = standard_modality(cfg.modality_col, cfg)
     checked = checked_patient_id(cfg.patient_col, cfg)
     tat_us = X.diff_micros(cfg.end_col, cfg.report_col)
@@ -110,9 +124,15 @@ def flag_rules(ris: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
         X.micros_to_minutes(tat_us).alias("turnaround_mins"),
         X.tat_flag(tat_us, cfg.min_tat_mins, cfg.max_tat_mins).alias("tat_flag"),
         pseudonymised(checked, cfg).alias("patient_id_pseudo"),
+        pseudonymised(cfg.patient_col, cfg).alias(PATIENT_PSEUDO),
     )
 
 
+def masked(flagged: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
+    """Flagged rows without any raw patient id, for outputs that outlive the run."""
+    return flagged.drop(cfg.patient_col, "patient_id_checked")
+
+
 def passes_v01(flagged: DataFrame) -> DataFrame:
     return flagged.where(~F.col(FLAG_V01))
 
@@ -138,7 +158,7 @@ def rejects(flagged: DataFrame, ris_columns: list[str], cfg: JobConfig = C.DEFAU
     cols = []
     for c in ris_columns:
         if c == cfg.patient_col:
-            cols.append(pseudonymised(F.col(c), cfg).alias("patient_id_pseudo"))
+            cols.append(F.col(PATIENT_PSEUDO).alias("patient_id_pseudo"))
         else:
             cols.append(F.col(c))
     return (flagged.where(F.col(FLAG_V01) | F.col(FLAG_V02))
@@ -146,11 +166,12 @@ def rejects(flagged: DataFrame, ris_columns: list[str], cfg: JobConfig = C.DEFAU
                     F.lit(cfg.run_ts).cast("timestamp_ntz").alias("captured_at")))
 
 
-def error_table(reject_rows: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
-    """Rows for the warehouse Error_Table (declared by the source, filled here)."""
+def error_table(reject_rows: DataFrame, run_id: str, cfg: JobConfig = C.DEFAULT) -> DataFrame:
+    """Rows for the warehouse Error_Table (declared by the source, filled here).
+    Positions restart with every export, so the id carries the run."""
     desc = X.lookup(F.col("rule_id"), {**C.RULE_DESCRIPTIONS, **C.EXTRA_RULE_DESCRIPTIONS})
     return reject_rows.select(
-        F.concat_ws("-", F.col("rule_id"), F.col(cfg.order_col).cast("string")).alias("error_id"),
+        F.concat_ws("-", F.lit(run_id), F.col("rule_id"), F.col(cfg.order_col).cast("string")).alias("error_id"),
         F.col(cfg.key_col).alias("study_id"),
         F.col("rule_id").alias("error_rule"),
         desc.alias("error_detail"),
@@ -181,10 +202,10 @@ def _report_rows(counts: DataFrame, rules: list[tuple[str, str, str]]) -> DataFr
     return counts.selectExpr(f"stack({n}, {args}) AS (rule_id, passed, failed)")
 
 
-def quality_report(flagged: DataFrame, pacs_linked: DataFrame) -> DataFrame:
+def quality_report(flagged: DataFrame, pacs_linked: DataFrame | None) -> DataFrame:
     """V-REP: ``(rule_id, description, passed, failed, pass_rate, total_failed)``
     in rule order (``total_failed`` is the running sum), from one aggregate over
-    the flagged studies and one over the images."""
+    the flagged studies and one over the images (without images, no V06 row)."""
     v01, v02 = F.col(FLAG_V01), F.col(FLAG_V02)
     ok2 = ~v01 & ~v02
     ris_counts = flagged.agg(
@@ -202,13 +223,13 @@ def quality_report(flagged: DataFrame, pacs_linked: DataFrame) -> DataFrame:
     ris_rows = _report_rows(ris_counts, [
         ("V01", "v01_p", "v01_f"), ("V02", "v02_p", "v02_f"), ("V03", "v03_p", "v03_f"),
         ("V04", "v04_p", "v04_f"), ("V05", "v05_p", "v05_f"), ("V07", "v07_p", "v07_f")])
-    pacs_counts = pacs_linked.agg(F.count_if("_v06_linked").alias("v06_p"),
-                                  F.count_if(~F.col("_v06_linked")).alias("v06_f"))
-    pacs_rows = _report_rows(pacs_counts, [("V06", "v06_p", "v06_f")])
-    rows = ris_rows.unionByName(pacs_rows)
+    rows = ris_rows
+    if pacs_linked is not None:
+        pacs_counts = pacs_linked.agg(F.count_if("_v06_linked").alias("v06_p"),
+                                      F.count_if(~F.col("_v06_linked")).alias("v06_f"))
+        rows = rows.unionByName(_report_rows(pacs_counts, [("V06", "v06_p", "v06_f")]))
     # running total of failures in rule order: a window over the seven report
     # rows (a bounded table, so one partition is fine)
-    from pyspark.sql import Window
     pos = F.array_position(F.array(*[F.lit(r) for r in C.RULE_ORDER]), F.col("rule_id"))
     running = Window.orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.select(
@@ -227,10 +248,9 @@ def quality_samples(flagged: DataFrame, pacs_linked: DataFrame, cfg: JobConfig =
     source order. ``row_number() <= k`` lets Spark insert a partial
     WindowGroupLimit before the shuffle, so each rule ships at most k rows per
     task however many rows fail."""
-    from pyspark.sql import Window
     v01, v02 = F.col(FLAG_V01), F.col(FLAG_V02)
     ok2 = ~v01 & ~v02
-    ord_col = F.col(cfg.order_col).cast("bigint")
+    ord_col, ord_type = F.col(cfg.order_col), flagged.schema[cfg.order_col].dataType
     def sample(rule: str, value: Column) -> Column:
         return F.struct(F.lit(rule).alias("rule_id"), value.cast("string").alias("sample"),
                         ord_col.alias("ord"))
@@ -244,34 +264,9 @@ def quality_samples(flagged: DataFrame, pacs_linked: DataFrame, cfg: JobConfig =
         )).alias("s")).where(F.col("s").isNotNull()).select("s.*")
     pacs = (pacs_linked.where(~F.col("_v06_linked"))
             .select(F.lit("V06").alias("rule_id"), F.col(cfg.pacs_key_col).alias("sample"),
-                    F.lit(None).cast("bigint").alias("ord")))
+                    F.lit(None).cast(ord_type).alias("ord")))
     both = ris.unionByName(pacs)
     w = Window.partitionBy("rule_id").orderBy(F.col("ord").asc_nulls_last(),
                                               F.col("sample").asc_nulls_first())
     return (both.withColumn("sample_no", F.row_number().over(w))
             .where(F.col("sample_no") <= k).select("rule_id", "sample_no", "sample"))
-
-
-@dataclass
-class Validation:
-    flagged: DataFrame
-    valid: DataFrame
-    rejects: DataFrame
-    pacs_valid: DataFrame
-    pacs_orphans: DataFrame
-    report: DataFrame
-
-
-def validate(ris: DataFrame, pacs: DataFrame, cfg: JobConfig = C.DEFAULT) -> Validation:
-    """The whole validation stage as lazy DataFrames."""
-    flagged = flag_rules(ris, cfg)
-    valid = validated(flagged, cfg)
-    linked = pacs_flagged(pacs, valid, cfg)
-    return Validation(
-        flagged=flagged,
-        valid=valid,
-        rejects=rejects(flagged, [c for c in ris.columns], cfg),
-        pacs_valid=referential_integrity(pacs, valid, cfg, "left_semi"),
-        pacs_orphans=referential_integrity(pacs, valid, cfg, "left_anti"),
-        report=quality_report(flagged, linked),
-    )

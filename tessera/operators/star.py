@@ -97,23 +97,33 @@ def dim_location(valid: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
 
 
 def fact_radiology(valid: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:
-    """One row per validated study, 13 columns in fixed order. Null
-    members get key -1 (the source hashes the text ``nan`` for a null site)."""
-    tat = F.col("turnaround_mins")
-    return valid.select(
+    """One row per validated study, up to 13 columns in fixed order. Null
+    members get key -1 (the source hashes the text ``nan`` for a null site).
+
+    F19: attributes that ``valid`` lacks are left out. Without ``turnaround_mins``
+    it is computed from the times, without a report column the flag is 0."""
+    has = set(valid.columns)
+    if "turnaround_mins" in has:
+        tat = F.col("turnaround_mins")
+    else:
+        tat = X.micros_to_minutes(X.diff_micros(cfg.end_col, X.parse_timestamp(cfg.report_col)))
+    out = valid.select("*", tat.cast("double").alias("_tat"))
+    tat = F.col("_tat")
+    issued = F.col(cfg.report_col).isNotNull().cast("int") if cfg.report_col in has else F.lit(0)
+    kept = [F.col(c) for c in ("priority", "referral_source", "tat_flag") if c in has]
+    pseudo = [F.col("patient_id_pseudo")] if "patient_id_pseudo" in has else []
+    return out.select(
         F.col(cfg.key_col).alias("study_id"),
         X.date_key(cfg.start_col).alias("date_key"),
         X.member_key("modality_standard").alias("modality_key"),
         X.member_key(cfg.radiologist_col).alias("radiologist_key"),
         X.member_key(cfg.site_col).alias("location_key"),
-        F.col("patient_id_pseudo"),
-        tat.cast("double").alias("turnaround_mins"),
+        *pseudo,
+        tat.alias("turnaround_mins"),
         F.lit(1).alias("study_count"),
-        F.col(cfg.report_col).isNotNull().cast("int").alias("report_issued_flag"),
+        issued.alias("report_issued_flag"),
         X.tat_band(tat).alias("tat_band"),
-        F.col("priority"),
-        F.col("referral_source"),
-        F.col("tat_flag"),
+        *kept,
     )
 
 

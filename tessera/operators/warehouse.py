@@ -2,8 +2,9 @@
 
 * Dimensions are type-1 upserted (L1) into a **new version**: each dimension
   is one parquet table partitioned by ``version``; a load appends the next
-  version and readers take the highest one. The path being read is never
-  overwritten, and a failed write leaves the previous version current.
+  version, then publishes it in a one-column table beside it; readers take the
+  last published one. The path being read is never overwritten, and a write that
+  dies half way leaves the previous version current.
 * The fact is append-only (L2): a batch is anti-joined with the study keys
   already loaded (only that column is read), so replaying a batch inserts
   nothing. It is written partitioned by ``partition_key`` (L3).
@@ -27,6 +28,7 @@ from tessera import config as C
 from tessera.schemas import WAREHOUSE
 
 VERSION_COL = "version"
+PUBLISHED = "_published"
 
 
 def upsert_type1(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -37,15 +39,18 @@ def upsert_type1(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def append_new(fact: DataFrame, batch: DataFrame, key: str = "study_id") -> DataFrame:
-    """L2: batch rows whose key is not loaded yet."""
-    return batch.join(fact.select(key), key, "left_anti")
+    """L2: batch rows whose key is not loaded yet; a null key equals a null key."""
+    return batch.join(_loaded_keys(fact, key), batch[key].eqNullSafe(F.col("_lk")), "left_anti")
+
+
+def _loaded_keys(fact: DataFrame, key: str) -> DataFrame:
+    return fact.select(F.col(key).alias("_lk"), F.lit(True).alias("_loaded"))
 
 
 def append_counts(fact: DataFrame, batch: DataFrame, key: str = "study_id") -> DataFrame:
     """L2 counts ``(records_in, inserted, skipped)`` in one pass: the batch
     left-joined to the loaded keys (unique, they are the primary key)."""
-    loaded = fact.select(F.col(key), F.lit(True).alias("_loaded"))
-    j = batch.select(key).join(loaded, key, "left")
+    j = batch.select(key).join(_loaded_keys(fact, key), F.col(key).eqNullSafe(F.col("_lk")), "left")
     return j.agg(F.count(F.lit(1)).alias("records_in"),
                  F.count_if(F.col("_loaded").isNull()).alias("inserted"),
                  F.count_if(F.col("_loaded").isNotNull()).alias("skipped"))
@@ -93,7 +98,7 @@ def orphan_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Data
     found = missing.groupBy("fk_column").agg(F.sum("_n").cast("bigint").alias("orphan_rows"),
                                              F.count(F.lit(1)).alias("orphan_keys"))
     # every foreign key gets a row, zero when nothing is missing
-    return (F.broadcast(names).join(found, "fk_column", "left")
+    return (names.join(found, "fk_column", "left")
             .select("fk_column",
                     F.coalesce("orphan_rows", F.lit(0).cast("bigint")).alias("orphan_rows"),
                     F.coalesce("orphan_keys", F.lit(0).cast("bigint")).alias("orphan_keys")))
@@ -156,6 +161,7 @@ class Warehouse:
                 if name.startswith("dim_"):
                     empty = empty.withColumn(VERSION_COL, F.lit("0"))
                     empty.write.mode("append").partitionBy(VERSION_COL).parquet(self.path(name))
+                    self._publish(name, "0")
                 elif name == "fact_radiology":
                     empty.write.mode("append").partitionBy("partition_key").parquet(self.path(name))
                 else:
@@ -168,7 +174,7 @@ class Warehouse:
         if df is None:
             return self.spark.createDataFrame([], schema)
         if name.startswith("dim_"):
-            latest = df.select(F.max(VERSION_COL)).scalar()
+            latest = self.spark.read.parquet(self.path(f"{name}{PUBLISHED}")).select(F.max(VERSION_COL)).scalar()
             return df.where(F.col(VERSION_COL) == latest).drop(VERSION_COL)
         return df.select(*schema.fieldNames())
 
@@ -176,16 +182,26 @@ class Warehouse:
         """L1 as a new version; returns the batch rows upserted. An empty
         batch is a no-op (no version is written) and returns 0."""
         _, pk = WAREHOUSE[name]
+        from tessera.session import shared_dir
+        shared_dir(self.spark)
+        batch = batch.checkpoint(eager=True)  # counted and merged from one computation
         n = batch.count()
         if n == 0:
             return 0
         merged = upsert_type1(self.table(name), batch, pk)
         # Versions sort by write time whatever the run id looks like.
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-        (merged.withColumn(VERSION_COL, F.lit(f"{stamp}_{version}"))
+        new = f"{stamp}_{version}"
+        (merged.withColumn(VERSION_COL, F.lit(new))
          .write.mode("append").partitionBy(VERSION_COL).parquet(self.path(name)))
+        self._publish(name, new)
         return n
 
+    def _publish(self, name: str, version: str) -> None:
+        """Make a fully written version the one that readers take."""
+        (self.spark.range(1).select(F.lit(version).alias(VERSION_COL)).coalesce(1)
+         .write.mode("append").parquet(self.path(f"{name}{PUBLISHED}")))
+
     def append_fact(self, batch: DataFrame) -> dict:
         """L2 + L3: append the new rows, range-partitioned on
         ``(partition_key, study_id)`` so a month holding a third of the batch
@@ -199,8 +215,8 @@ class Warehouse:
         from tessera.session import shared_dir
         shared_dir(self.spark)
         fact = self.table("fact_radiology")
-        loaded = fact.select("study_id", F.lit(True).alias("_loaded"))
-        marked = batch.join(loaded, "study_id", "left").checkpoint(eager=True)
+        marked = (batch.join(_loaded_keys(fact, "study_id"), F.col("study_id").eqNullSafe(F.col("_lk")), "left")
+                  .checkpoint(eager=True))
         counts = marked.agg(F.count(F.lit(1)).alias("records_in"),
                             F.count_if(F.col("_loaded").isNull()).alias("inserted"),
                             F.count_if(F.col("_loaded").isNotNull()).alias("skipped")

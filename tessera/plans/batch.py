@@ -7,7 +7,7 @@ tasks, not of the job; nothing passes through the driver except row counts.
 
 Layout under ``root`` (a folder of the shared file system)::
 
-    _staging/<run_id>/{ris,pacs,epr,validated_ris,validated_pacs,rejects}
+    _staging/<run_id>/{ris,pacs,epr,validated_ris,validated_pacs,validated_epr,rejects}
     star/<run_id>/{dim_*,fact_radiology}
     warehouse/{dim_* (versioned), fact_radiology (by partition_key), audit_log, error_table}
     kpi/<run_id>/<kpi name>
@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,11 @@ from tessera import config as C
 from tessera.config import JobConfig
 from tessera.operators import extract, quality, runs, star, warehouse
 from tessera.plans import kpis
+from tessera.sources import exports
 from tessera.sources.state import WatermarkState
 
+STEPS = ("extract", "validate", "transform_load", "report")
+
 
 class _Steps:
     def __init__(self):
@@ -49,7 +53,7 @@ class _Steps:
             rec["seconds"] = round(time.time() - t0, 3)
 
 
-def _stage(df: DataFrame, path: str) -> DataFrame:
+def stage_output(df: DataFrame, path: str) -> DataFrame:
     """Write a stage output and continue from the written copy."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -61,7 +65,7 @@ def load_batch(spark: SparkSession, valid: DataFrame, wh: warehouse.Warehouse, r
     Shared by the batch job and each streaming micro-batch."""
     tables = star.star(valid, cfg)
     if star_dir:
-        tables = {k: _stage(v, f"{star_dir}/{k}") for k, v in tables.items()}
+        tables = {k: stage_output(v, f"{star_dir}/{k}") for k, v in tables.items()}
     for name in ("dim_date", "dim_modality", "dim_radiologist", "dim_location"):
         wh.upsert_dimension(name, tables[name], version=run_id)
     fact = star.with_load_columns(tables["fact_radiology"], run_ts)
@@ -82,46 +86,56 @@ def run_batch(spark: SparkSession, studies: DataFrame, images: DataFrame, patien
     wh = warehouse.Warehouse(spark, f"{root}/warehouse")
     state = WatermarkState(spark, f"{root}/_state/watermark")
     steps = _Steps()
-    cfg = JobConfig(**{**cfg.__dict__, "run_ts": run_ts})
+    cfg = replace(cfg, run_ts=run_ts)
     out: dict = {"run_id": run_id, "run_ts": run_ts}
-
-    wh.initialise()
-    marks = state.current()
-    with steps.step("extract"):
-        ris = _stage(extract.extract_ris(studies, marks["ris"], cfg), f"{stage_dir}/ris")
-        pacs = _stage(extract.extract_pacs(images, marks["pacs"], cfg), f"{stage_dir}/pacs")
-        epr = _stage(extract.extract_epr(patients, ris, cfg), f"{stage_dir}/epr")
-        events = extract.access_events(ris, pacs, epr, cfg)
-        wh.append_audit(events.select(
-            F.concat(F.lit(run_id + "-EXTRACT-"), F.col("source")).alias("log_id"),
-            "event_time", F.lit("EXTRACT").alias("pipeline_step"), "action",
-            F.col("record_count").alias("records_in"), F.col("record_count").alias("records_out"),
-            "user_account", "status", F.concat(F.lit("source="), F.col("source")).alias("notes")))
-    with steps.step("validate"):
-        flagged = _stage(quality.flag_rules(ris, cfg), f"{stage_dir}/flagged")
-        valid = _stage(quality.validated(flagged, cfg), f"{stage_dir}/validated_ris")
-        quality.referential_integrity(pacs, valid, cfg, "left_semi").write.mode(
-            "overwrite").parquet(f"{stage_dir}/validated_pacs")
-        rejects = _stage(quality.rejects(flagged, list(ris.columns), cfg), f"{stage_dir}/rejects")
-        wh.append_errors(quality.error_table(rejects, cfg))
-        # H3: rows the extract dropped for a missing or unparseable start
-        if cfg.order_col in studies.columns:
+    if cfg.order_col not in studies.columns:
+        raise ValueError(f"studies need a source position column {cfg.order_col!r} (see sources.exports)")
+    studies, images, patients = exports.type_ris(studies), exports.type_pacs(images), exports.type_epr(patients)
+
+    try:
+        with steps.step("extract"):
+            wh.initialise()
+            marks = state.current()
+            ris = extract.extract_ris(studies, marks["ris"], cfg)
+            pacs = stage_output(extract.extract_pacs(images, marks["pacs"], cfg), f"{stage_dir}/pacs")
+            # No raw id reaches an output that outlives the run: studies are staged with
+            # their rule flags and pseudonyms, patients with pseudonyms.
+            flagged = stage_output(quality.masked(quality.flag_rules(ris, cfg), cfg), f"{stage_dir}/ris")
+            epr = stage_output(extract.masked_epr(extract.extract_epr(patients, flagged, cfg), cfg), f"{stage_dir}/epr")
+            events = extract.access_events(flagged, pacs, epr, cfg)
+            wh.append_audit(events.select(
+                F.concat(F.lit(run_id + "-EXTRACT-"), F.col("source")).alias("log_id"),
+                "event_time", F.lit("EXTRACT").alias("pipeline_step"), "action",
+                F.col("record_count").alias("records_in"), F.col("record_count").alias("records_out"),
+                "user_account", "status", F.concat(F.lit("source="), F.col("source")).alias("notes")))
+        with steps.step("validate"):
+            valid = stage_output(quality.validated(flagged, cfg), f"{stage_dir}/validated_ris")
+            quality.referential_integrity(pacs, valid, cfg, "left_semi").write.mode(
+                "overwrite").parquet(f"{stage_dir}/validated_pacs")
+            epr.write.mode("overwrite").parquet(f"{stage_dir}/validated_epr")
+            rejects = stage_output(quality.rejects(flagged, list(studies.columns), cfg), f"{stage_dir}/rejects")
+            wh.append_errors(quality.error_table(rejects, run_id, cfg))
+            # H3: rows the extract dropped for a missing or unparseable start
             bad_start = extract.unparseable_starts(studies, cfg.start_col, cfg)
-            wh.append_errors(quality.error_table(bad_start, cfg))
-        report = quality.quality_report(flagged, quality.pacs_flagged(pacs, valid, cfg))
-        report.write.mode("overwrite").parquet(f"{stage_dir}/quality_report")
-    with steps.step("transform_load"):
-        out["load"] = load_batch(spark, valid, wh, run_id, run_ts, cfg, star_dir=star_dir)
-    # H2: the next marks are the latest event times of this batch, saved only
-    # after the load succeeded.
-    state.save(extract.next_watermark(ris, pacs, marks, cfg), run_id)
-    with steps.step("report"):
-        fact = wh.table("fact_radiology")
-        for name, df in kpis.all_kpis(fact, wh.table("dim_modality"),
-                                      wh.table("dim_location")).items():
-            df.write.mode("overwrite").parquet(f"{root}/kpi/{run_id}/{name}")
-    runs.history_rows(spark, run_id, steps.tasks).write.mode("append").parquet(
-        f"{root}/_state/run_history")
+            wh.append_errors(quality.error_table(bad_start, run_id, cfg))
+            report = quality.quality_report(flagged, quality.pacs_flagged(pacs, valid, cfg))
+            report.write.mode("overwrite").parquet(f"{stage_dir}/quality_report")
+        with steps.step("transform_load"):
+            out["load"] = load_batch(spark, valid, wh, run_id, run_ts, cfg, star_dir=star_dir)
+            # H2: the next marks are the latest event times of this batch, saved only
+            # after the load succeeded.
+            state.save(extract.next_watermark(flagged, pacs, marks, cfg), run_id)
+        with steps.step("report"):
+            fact = wh.table("fact_radiology")
+            for name, df in kpis.all_kpis(fact, wh.table("dim_modality"),
+                                          wh.table("dim_location")).items():
+                df.write.mode("overwrite").parquet(f"{root}/kpi/{run_id}/{name}")
+    finally:
+        # Failed runs are recorded too, with the steps they never reached.
+        reached = {t["task_id"] for t in steps.tasks}
+        steps.tasks += [{"task_id": s, "status": "SKIPPED", "attempts": 0} for s in STEPS if s not in reached]
+        runs.history_rows(spark, run_id, steps.tasks).write.mode("append").parquet(
+            f"{root}/_state/run_history")
     out["tasks"] = steps.tasks
     out["quality_report"] = [r.asDict() for r in spark.read.parquet(
         f"{stage_dir}/quality_report").collect()]

@@ -8,6 +8,7 @@ texts are in :mod:`tessera.plans.oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,7 @@ class Job:
     def studies(self) -> DataFrame:
         if self._studies is not None:
             return self._studies
-        return standins.staged_studies(self.events)
+        return standins.studies(self.events)
 
     @cached_property
     def images(self) -> DataFrame:
@@ -74,7 +75,7 @@ class Job:
 
     @cached_property
     def valid(self) -> DataFrame:
-        v = quality.validated(self.flagged, self.cfg)
+        v = quality.validated(quality.flag_passing(self.ris, self.cfg), self.cfg)
         if self.stage_valid:
             from tessera.session import shared_dir
             shared_dir(self.spark)
@@ -125,12 +126,16 @@ def _job(spark, sf_dir, **kw) -> Job:
 def _split_jobs(spark: SparkSession, sf_dir: str) -> tuple[Job, Job]:
     """Two loads: rows in the first half of the source order, then rows from
     the last two thirds (they overlap, so both match and no-match run).
-    The bounds come from the row count as scalar subqueries."""
+    The bounds come from the least and greatest position as scalar subqueries.
+    The second load grades ``DR`` radiologists by two letters, so members that
+    both loads hold differ in an attribute."""
     base = _job(spark, sf_dir)
-    n = base.studies.select(F.count(F.lit(1)).cast("double")).scalar()
-    first = base.studies.where(F.col("row_ix") < n / 2)
-    second = base.studies.where(F.col("row_ix") >= n / 3)
-    return _job(spark, sf_dir, studies=first), _job(spark, sf_dir, studies=second)
+    lo = base.studies.select(F.min("row_ix").cast("double")).scalar()
+    hi = base.studies.select(F.max("row_ix").cast("double")).scalar()
+    first = base.studies.where(F.col("row_ix") < lo + (hi - lo) / 2)
+    second = base.studies.where(F.col("row_ix") >= lo + (hi - lo) / 3)
+    return (_job(spark, sf_dir, studies=first),
+            _job(spark, sf_dir, studies=second, cfg=replace(C.DEFAULT, fix_dr_grade=True)))
 
 
 # ---------------------------------------------------------------- extraction
@@ -183,7 +188,7 @@ def q_v01_reject(spark, d):
 
 def q_v02_pass(spark, d):
     j = _job(spark, d)
-    return _ris_out(quality.passes_v02(j.flagged), j.ris.columns)
+    return _ris_out(quality.flag_passing(j.ris), j.ris.columns)
 
 
 def q_v02_reject(spark, d):
@@ -194,21 +199,21 @@ def q_v02_reject(spark, d):
 
 def q_v03_modality(spark, d):
     j = _job(spark, d)
-    return quality.passes_v02(j.flagged).select(
+    return quality.flag_passing(j.ris).select(
         "row_ix", "study_id", "modality_raw", "modality_standard",
         F.col(quality.FLAG_V03).alias("unmapped"))
 
 
 def q_v04_patient_id(spark, d):
     j = _job(spark, d)
-    return quality.passes_v02(j.flagged).select(
+    return quality.flag_passing(j.ris).select(
         "row_ix", "study_id", F.col("patient_id_checked").alias("patient_id"),
         (~F.col(quality.FLAG_V04)).alias("patient_id_valid"))
 
 
 def q_v05_turnaround(spark, d):
     j = _job(spark, d)
-    return quality.passes_v02(j.flagged).select("row_ix", "study_id", "turnaround_mins",
+    return quality.flag_passing(j.ris).select("row_ix", "study_id", "turnaround_mins",
                                                 "tat_flag")
 
 
@@ -232,19 +237,39 @@ def q_validated(spark, d):
 
 
 def q_validated_from_csv(spark, d):
-    """S1 end to end: the studies exported as text CSV (empty field = null),
-    read back with every column as text, typed, extracted and validated."""
+    """S1 end to end: the studies exported as text CSV with the ten export columns
+    in source order, read back as text with the position in the files, typed,
+    extracted and validated."""
     from tessera.session import scratch_path
     from tessera.sources import exports
-    from tessera.schemas import RIS_COLUMNS
-    studies = _job(spark, d).studies
     path = scratch_path(spark, "ris_csv")
-    studies.select(*[F.col(c).cast("string").alias(c) for c in studies.columns]) \
-        .write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
-        .option("ignoreTrailingWhiteSpace", False).csv(path)
-    text = exports.read_csv_export(spark, path, ["row_ix", *RIS_COLUMNS])
-    typed = exports.type_ris(text).withColumn("row_ix", F.col("row_ix").cast("bigint"))
-    return _job(spark, d, studies=typed.select(*studies.columns)).valid
+    _write_csv(_job(spark, d).studies.repartitionByRange("row_ix").sortWithinPartitions("row_ix").drop("row_ix"), path)
+    typed = exports.type_ris(exports.read_ris_csv(spark, path))
+    return _job(spark, d, studies=typed).valid.drop("row_ix")
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    (df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+     .write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def q_pacs_from_csv(spark, d):
+    """S1 + F15: the image export as text, typed and extracted."""
+    from tessera.session import scratch_path
+    from tessera.sources import exports
+    path = scratch_path(spark, "pacs_csv")
+    _write_csv(_job(spark, d).images, path)
+    return extract.extract_pacs(exports.type_pacs(exports.read_pacs_csv(spark, path)), C.CHECK_WATERMARK)
+
+
+def q_epr_from_csv(spark, d):
+    """The patient export as text, typed, with pseudonyms."""
+    from tessera.session import scratch_path
+    from tessera.sources import exports
+    path = scratch_path(spark, "epr_csv")
+    _write_csv(_job(spark, d).patients, path)
+    return extract.masked_epr(exports.type_epr(exports.read_epr_csv(spark, path)))
 
 
 def q_quality_report(spark, d):
@@ -262,7 +287,17 @@ def q_error_records(spark, d):
 
 
 def q_error_table(spark, d):
-    return quality.error_table(_job(spark, d).rejects)
+    return quality.error_table(_job(spark, d).rejects, FIRST_RUN_ID)
+
+
+def q_error_table_two_runs(spark, d):
+    """V-ERR: two loads whose source positions repeat, appended to one error table."""
+    from tessera.session import scratch_path
+    wh = warehouse.Warehouse(spark, scratch_path(spark, "errors"))
+    wh.initialise()
+    for run_id in (FIRST_RUN_ID, SECOND_RUN_ID, SECOND_RUN_ID):  # the last is a replay
+        wh.append_errors(quality.error_table(_job(spark, d).rejects, run_id))
+    return wh.table("error_table")
 
 
 # ---------------------------------------------------------------- star schema
@@ -300,6 +335,11 @@ def q_fact(spark, d):
     return _job(spark, d).fact()
 
 
+def q_fact_without_tat(spark, d):
+    """Validated rows without the computed minutes and one attribute."""
+    return star.fact_radiology(_job(spark, d).valid.drop("turnaround_mins", "priority"))
+
+
 def q_tat_band(spark, d):
     j = _job(spark, d)
     return j.dims["fact_radiology"].groupBy("tat_band").agg(
@@ -330,6 +370,14 @@ def q_fact_append_counts(spark, d):
     return warehouse.append_counts(a.fact(FIRST_LOAD_TS), b.fact(SECOND_LOAD_TS))
 
 
+def q_fact_append_null_ids(spark, d):
+    """L2: a batch that holds a null id, appended and replayed."""
+    a, b = _split_jobs(spark, d)
+    once = warehouse.append_fact(a.fact(FIRST_LOAD_TS), b.fact(SECOND_LOAD_TS))
+    return warehouse.append_counts(once, b.fact(SECOND_LOAD_TS)).unionByName(
+        warehouse.append_counts(a.fact(FIRST_LOAD_TS), b.fact(SECOND_LOAD_TS).where("study_id IS NULL")))
+
+
 def q_audit_row(spark, d):
     a, b = _split_jobs(spark, d)
     counts = warehouse.append_counts(a.fact(FIRST_LOAD_TS), b.fact(SECOND_LOAD_TS))
@@ -368,11 +416,12 @@ def q_duplicate_keys(spark, d):
 
 
 def q_key_collisions(spark, d):
+    """H5 on keys of two hex digits, which do collide."""
     from tessera.functions import exprs as X
     j = _job(spark, d)
     return warehouse.key_collisions(j.valid, {
         "dim_modality": "modality_standard", "dim_radiologist": j.cfg.radiologist_col,
-        "dim_location": j.cfg.site_col}, X.surrogate_key)
+        "dim_location": j.cfg.site_col}, lambda v: X.surrogate_key(v, digits=2))
 
 
 def q_stream_fact(spark, d):
@@ -381,10 +430,10 @@ def q_stream_fact(spark, d):
     from tessera.session import scratch_path
     from tessera.streaming.incremental import start_incremental_load, write_in_order
     root = scratch_path(spark, "stream_fact")
-    write_in_order(_job(spark, d).studies, f"{root}/inbox", "row_ix", 2)
+    write_in_order(_job(spark, d).studies, f"{root}/inbox", "row_ix", steps=4, files=4)
     schema = spark.read.parquet(f"{root}/inbox").schema
     q = start_incremental_load(spark, f"{root}/inbox", schema, f"{root}/warehouse",
-                               f"{root}/checkpoint")
+                               f"{root}/checkpoint", max_files_per_trigger=4, run_ts=FIRST_LOAD_TS)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/warehouse/fact_radiology").select(
         *star.with_load_columns(_job(spark, d).dims["fact_radiology"], FIRST_LOAD_TS).columns)
@@ -422,7 +471,12 @@ def q_audit_log(spark, d):
 
 # ---------------------------------------------------------------- KPIs
 def _kpi_inputs(spark, d):
-    j = _job(spark, d)
+    return _job(spark, d).fact(), None, None
+
+
+def _kpi_star(spark, d):
+    """Fact and dimensions from one validated table, written once, as the loaded warehouse has them."""
+    j = _job(spark, d, stage_valid=True)
     return j.fact(), j.dims["dim_modality"], j.dims["dim_location"]
 
 
@@ -431,12 +485,12 @@ def q_kpi_summary(spark, d):
 
 
 def q_kpi_by_modality(spark, d):
-    f, m, _ = _kpi_inputs(spark, d)
+    f, m, _ = _kpi_star(spark, d)
     return kpis.by_modality(f, m)
 
 
 def q_kpi_by_site(spark, d):
-    f, _, loc = _kpi_inputs(spark, d)
+    f, _, loc = _kpi_star(spark, d)
     return kpis.by_site(f, loc)
 
 
@@ -457,12 +511,12 @@ def q_kpi_data_quality(spark, d):
 
 
 def q_kpi_top_modalities(spark, d):
-    f, m, _ = _kpi_inputs(spark, d)
+    f, m, _ = _kpi_star(spark, d)
     return kpis.top_modalities(f, m)
 
 
 def q_kpi_modality_head(spark, d):
-    f, m, _ = _kpi_inputs(spark, d)
+    f, m, _ = _kpi_star(spark, d)
     return kpis.modality_head(f, m)
 
 
@@ -480,6 +534,55 @@ def q_access_review(spark, d):
     return access.review_summary(standins.access_requests(ev), access.role_permissions(spark))
 
 
+def q_access_denied_audit(spark, d):
+    """A1: refused requests as audit rows."""
+    ev = standins.read_table(spark, d, "events")
+    refused = access.denied(standins.access_requests(ev), access.role_permissions(spark))
+    return access.audit_rows(refused, FIRST_RUN_ID, FIRST_LOAD_TS)
+
+
+# ---------------------------------------------------------------- the whole job
+def _ran(spark, d) -> str:
+    """Root folder of one finished run of the job."""
+    from tessera.plans.batch import run_batch
+    from tessera.session import scratch_path
+    root, j = scratch_path(spark, "job"), _job(spark, d)
+    run_batch(spark, j.studies, j.images, j.patients, root, run_ts=FIRST_LOAD_TS, run_id=FIRST_RUN_ID)
+    return root
+
+
+def q_warehouse_sql(spark, d):
+    """Ad-hoc SQL over the tables that a run created and loaded."""
+    names = warehouse.Warehouse(spark, f"{_ran(spark, d)}/warehouse").register_views("wh_")
+    return spark.sql(" UNION ALL ".join(f"SELECT '{n[3:]}' AS table_name, count(*) AS row_count FROM {n}" for n in names))
+
+
+def q_watermark_saved(spark, d):
+    """The marks that a run saved, read back."""
+    from tessera.sources.state import WatermarkState
+    marks = WatermarkState(spark, f"{_ran(spark, d)}/_state/watermark").current()
+    return spark.createDataFrame(sorted(marks.items()), "source string, last_extracted string").select(
+        "source", F.col("last_extracted").cast("timestamp_ntz").alias("last_extracted"))
+
+
+def q_staged_outputs(spark, d):
+    """Rows of the staged and validated outputs of a run, re-read."""
+    root = _ran(spark, d)
+    out = None
+    for name in ("ris", "pacs", "epr", "validated_ris", "validated_pacs", "validated_epr", "rejects"):
+        df = spark.read.parquet(f"{root}/_staging/{FIRST_RUN_ID}/{name}")
+        raw = sum(c in df.columns for c in ("patient_id", "nhs_number"))
+        row = df.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("row_count")).withColumn("raw_id_columns", F.lit(raw))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_run_history(spark, d):
+    """A2: steps of a finished run by status."""
+    history = spark.read.parquet(f"{_ran(spark, d)}/_state/run_history")
+    return history.select("run_id", "task_id", "status")
+
+
 def q_run_summary(spark, d):
     j = _job(spark, d)
     return runs.step_counts(j.studies, j.flagged)
@@ -541,4 +644,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "access_review": q_access_review,
     "run_summary": q_run_summary,
     "stream_fact": q_stream_fact,
+    "pacs_from_csv": q_pacs_from_csv,
+    "epr_from_csv": q_epr_from_csv,
+    "error_table_two_runs": q_error_table_two_runs,
+    "fact_without_tat": q_fact_without_tat,
+    "fact_append_null_ids": q_fact_append_null_ids,
+    "access_denied_audit": q_access_denied_audit,
+    "warehouse_sql": q_warehouse_sql,
+    "watermark_saved": q_watermark_saved,
+    "staged_outputs": q_staged_outputs,
+    "run_history": q_run_history,
 }

@@ -70,7 +70,7 @@ def by_modality(fact: DataFrame, dim_modality: DataFrame, ok_only: bool = True)
     """Q2: volume, TAT and report rate per modality (inner join)."""
     src = fact.where(_ok()) if ok_only else fact
     per_key = src.groupBy("modality_key").agg(*_parts())
-    dims = F.broadcast(dim_modality.select("modality_key", "modality_name", "modality_group"))
+    dims = dim_modality.select("modality_key", "modality_name", "modality_group")
     g = per_key.join(dims, "modality_key").groupBy("modality_name", "modality_group") \
         .agg(*_merge_parts())
     return g.select(
@@ -151,7 +151,7 @@ def cards(summary_df: DataFrame) -> DataFrame:
 
 def fact_sample(fact: DataFrame, k: int = 10) -> DataFrame:
     """Q11: the first k fact rows by study id."""
-    return fact.orderBy("study_id").limit(k)
+    return fact.orderBy(F.asc_nulls_last("study_id")).limit(k)
 
 
 def all_kpis(fact: DataFrame, dim_modality: DataFrame, dim_location: DataFrame) -> dict:

@@ -13,7 +13,10 @@ from tessera import config as C
 from tessera.plans import catalog as Q
 from tessera.sources import standins
 
-STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+# White space of any script, as a list of characters.
+_SPACE = " || ".join(f"chr({c})" for c in (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233,
+                                            8239, 8287, 12288))
+STRIP = f"trim({{x}}, {_SPACE})"
 
 
 def _q(s: str) -> str:
@@ -25,8 +28,8 @@ def _case(expr: str, mapping, default: str = "NULL") -> str:
     return f"CASE {expr} {whens} ELSE {default} END"
 
 
-def _key(x: str) -> str:
-    return f"CAST(('0x' || substr(md5({x}), 1, 8)) AS BIGINT)"
+def _key(x: str, digits: int = 8) -> str:
+    return f"CAST(('0x' || substr(md5({x}), 1, {digits})) AS BIGINT)"
 
 
 def _member(x: str) -> str:
@@ -38,8 +41,7 @@ def _sha(x: str) -> str:
 
 
 def _rhu(x: str, d: int) -> str:
-    s = 10 ** d
-    return f"(floor(({x}) * CAST({s} AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST({s} AS DOUBLE))"
+    return f"round({x}, {d})"
 
 
 def _date_key(x: str) -> str:
@@ -76,7 +78,8 @@ def dim_date_cte(name: str, src: str, ts_col: str) -> str:
         f"WHERE {ts_col} IS NOT NULL) x)")
 
 
-def chain(p: str, src: str, wm: str = C.INITIAL_WATERMARK, run_ts: str = Q.FIRST_LOAD_TS) -> list[str]:
+def chain(p: str, src: str, wm: str = C.INITIAL_WATERMARK, run_ts: str = Q.FIRST_LOAD_TS,
+          fix_dr: bool = False) -> list[str]:
     """CTEs of one batch run over the studies CTE ``src``, names prefixed ``p``."""
     std = _case(STRIP.format(x="modality_raw"), C.MODALITY_VOCABULARY)
     pid_ok = (f"coalesce(regexp_full_match({STRIP.format(x='patient_id')}, "
@@ -86,6 +89,9 @@ def chain(p: str, src: str, wm: str = C.INITIAL_WATERMARK, run_ts: str = Q.FIRST
     trusts = {k: v[1] for k, v in C.SITE_DEPARTMENTS.items()}
     grade = _case("upper(substr(radiologist_id, 1, 3))", C.RADIOLOGIST_GRADES,
                   _q(C.RADIOLOGIST_GRADE_DEFAULT))
+    if fix_dr:
+        two = _case("upper(substr(radiologist_id, 1, 2))", C.RADIOLOGIST_GRADES, _q(C.RADIOLOGIST_GRADE_DEFAULT))
+        grade = _case("upper(substr(radiologist_id, 1, 3))", C.RADIOLOGIST_GRADES, two)
     dk = "CAST(date_key AS VARCHAR)"
     return [
         f"{p}ris AS (SELECT * FROM {src} WHERE exam_start_dt > {_ts(wm)})",
@@ -149,12 +155,12 @@ def run_ctes() -> list[str]:
 
 
 def split_ctes() -> list[str]:
-    n = "(SELECT CAST(count(*) AS DOUBLE) FROM studies)"
+    lo, span = "(SELECT min(row_ix) FROM studies)", "(SELECT CAST(max(row_ix) - min(row_ix) AS DOUBLE) FROM studies)"
     return (base_ctes()
-            + [f"first_src AS (SELECT * FROM studies WHERE row_ix < {n} / 2)",
-               f"second_src AS (SELECT * FROM studies WHERE row_ix >= {n} / 3)"]
+            + [f"first_src AS (SELECT * FROM studies WHERE row_ix < {lo} + {span} / 2)",
+               f"second_src AS (SELECT * FROM studies WHERE row_ix >= {lo} + {span} / 3)"]
             + chain("a_", "first_src", run_ts=Q.FIRST_LOAD_TS)
-            + chain("b_", "second_src", run_ts=Q.SECOND_LOAD_TS))
+            + chain("b_", "second_src", run_ts=Q.SECOND_LOAD_TS, fix_dr=True))
 
 
 def sql(ctes: list[str], body: str) -> str:
@@ -255,7 +261,11 @@ def oracle_sql() -> dict[str, str]:
                                  "WHERE v.study_id IS NOT DISTINCT FROM i.pacs_study_id)"))
     out["v07_pseudonym"] = sql(R, "SELECT row_ix, study_id, patient_id_pseudo FROM valid")
     out["validated"] = sql(R, "SELECT * FROM valid")
-    out["validated_from_csv"] = out["validated"]
+    out["validated_from_csv"] = sql(R, "SELECT * EXCLUDE (row_ix) FROM valid")
+    out["pacs_from_csv"] = out["extract_pacs"]
+    out["epr_from_csv"] = sql(base_ctes(), (
+        f"SELECT study_id, {_sha('patient_id')} AS patient_id_pseudo, CAST(date_of_birth AS DATE) AS date_of_birth, gender, "
+        f"gp_practice, trust_code, {_sha('nhs_number')} AS nhs_number_pseudo, ethnicity FROM patients"))
 
     counts = (
         "c AS (SELECT count(*) FILTER (WHERE NOT v01_fail) AS v01_p, count(*) FILTER (WHERE v01_fail) AS v01_f, "
@@ -300,9 +310,11 @@ def oracle_sql() -> dict[str, str]:
         f"CASE WHEN v01_fail THEN 'V01' ELSE 'V02' END AS rule_id, {_ts(C.DEFAULT_RUN_TS)} AS captured_at "
         f"FROM flagged WHERE v01_fail OR v02_dup)")
     out["error_records"] = sql(R + [rejects], "SELECT * FROM rejects")
-    out["error_table"] = sql(R + [rejects], (
-        f"SELECT rule_id || '-' || CAST(row_ix AS VARCHAR) AS error_id, study_id, rule_id AS error_rule, "
-        f"{desc} AS error_detail, captured_at FROM rejects"))
+    errors = lambda run: (
+        f"SELECT '{run}-' || rule_id || '-' || CAST(row_ix AS VARCHAR) AS error_id, study_id, rule_id AS error_rule, "
+        f"{desc} AS error_detail, captured_at FROM rejects")
+    out["error_table"] = sql(R + [rejects], errors(Q.FIRST_RUN_ID))
+    out["error_table_two_runs"] = sql(R + [rejects], f"{errors(Q.FIRST_RUN_ID)} UNION ALL {errors(Q.SECOND_RUN_ID)}")
 
     out["surrogate_key"] = sql(R, (
         f"SELECT value, {_key('value')} AS surrogate_key FROM (SELECT DISTINCT value FROM ("
@@ -315,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
     out["dim_radiologist"] = sql(R, "SELECT * FROM dim_radiologist")
     out["dim_location"] = sql(R, "SELECT * FROM dim_location")
     out["fact"] = sql(R, "SELECT * FROM fact")
+    out["fact_without_tat"] = sql(R, "SELECT * EXCLUDE (priority, load_timestamp, partition_key) FROM fact")
     out["tat_band"] = sql(R, ("SELECT tat_band, count(*) AS study_count, min(turnaround_mins) AS min_mins, "
                               "max(turnaround_mins) AS max_mins FROM fact GROUP BY tat_band"))
 
@@ -325,10 +338,16 @@ def oracle_sql() -> dict[str, str]:
         "SELECT * FROM a_dim_date a WHERE NOT EXISTS (SELECT 1 FROM b_dim_date b "
         "WHERE b.date_key = a.date_key) UNION ALL SELECT * FROM b_dim_date"))
     appended = ("appended AS (SELECT * FROM a_fact UNION ALL SELECT * FROM b_fact b WHERE NOT EXISTS "
-                "(SELECT 1 FROM a_fact a WHERE a.study_id = b.study_id))")
-    cnt = ("cnt AS (SELECT count(*) AS records_in, count(*) FILTER (WHERE a.study_id IS NULL) AS inserted, "
-           "count(*) FILTER (WHERE a.study_id IS NOT NULL) AS skipped FROM b_fact b "
-           "LEFT JOIN (SELECT study_id FROM a_fact) a ON a.study_id = b.study_id)")
+                "(SELECT 1 FROM a_fact a WHERE a.study_id IS NOT DISTINCT FROM b.study_id))")
+    def counted(name: str, loaded: str, where: str = "") -> str:
+        return (f"{name} AS (SELECT count(*) AS records_in, count(*) FILTER (NOT known) AS inserted, "
+                f"count(*) FILTER (known) AS skipped FROM (SELECT EXISTS (SELECT 1 FROM {loaded} a "
+                f"WHERE a.study_id IS NOT DISTINCT FROM b.study_id) AS known FROM b_fact b {where}))")
+
+    cnt = counted("cnt", "a_fact")
+    out["fact_append_null_ids"] = sql(S + [appended, counted("again", "appended"),
+                                           counted("nulls", "a_fact", "WHERE b.study_id IS NULL")],
+                                      "SELECT * FROM again UNION ALL SELECT * FROM nulls")
     out["fact_append"] = sql(S + [appended], "SELECT * FROM appended")
     out["fact_append_counts"] = sql(S + [cnt], "SELECT * FROM cnt")
     out["audit_row"] = sql(S + [cnt], (
@@ -361,7 +380,7 @@ def oracle_sql() -> dict[str, str]:
             f"(SELECT {pk}, count(*) AS n FROM {table} GROUP BY {pk} HAVING count(*) > 1) d")
     out["duplicate_keys"] = sql(R, " UNION ALL ".join(dup_rows))
     out["key_collisions"] = sql(R, (
-        f"SELECT dimension, {_key('value')} AS surrogate_key, count(DISTINCT value) AS members FROM ("
+        f"SELECT dimension, {_key('value', 2)} AS surrogate_key, count(DISTINCT value) AS members FROM ("
         f"SELECT 'dim_modality' AS dimension, modality_standard AS value FROM valid UNION ALL "
         f"SELECT 'dim_radiologist', radiologist_id FROM valid UNION ALL "
         f"SELECT 'dim_location', site_code FROM valid) u WHERE value IS NOT NULL "
@@ -374,6 +393,20 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{Q.FIRST_RUN_ID}-001', {_ts(Q.FIRST_LOAD_TS)}, 'LOAD', 'FACT_APPEND', count(*), count(*), "
         f"{_q(C.SERVICE_ACCOUNT)}, 'SUCCESS', 'skipped=0' FROM fact)")
     out["audit_log"] = sql(R + [epr, audit], "SELECT * FROM audit")
+    out["warehouse_sql"] = sql(R + [epr, audit, rejects], _counts_table({
+        "dim_date": "dim_date", "dim_modality": "dim_modality", "dim_radiologist": "dim_radiologist",
+        "dim_location": "dim_location", "fact_radiology": "fact", "audit_log": "audit", "error_table": "rejects"}))
+    out["watermark_saved"] = sql(R, (
+        "SELECT 'ris' AS source, max(exam_start_dt) AS last_extracted FROM ris UNION ALL "
+        "SELECT 'epr', max(exam_start_dt) FROM ris UNION ALL SELECT 'pacs', max(acquisition_dt) FROM pacs"))
+    linked = ("linked AS (SELECT * FROM pacs_linked WHERE v06_linked)")
+    out["staged_outputs"] = sql(R + [epr, rejects, linked], " UNION ALL ".join(
+        f"SELECT '{n}' AS output, count(*) AS row_count, 0 AS raw_id_columns FROM {t}" for n, t in (
+            ("ris", "ris"), ("pacs", "pacs"), ("epr", "epr"), ("validated_ris", "valid"), ("validated_pacs", "linked"),
+            ("validated_epr", "epr"), ("rejects", "rejects"))))
+    out["run_history"] = " UNION ALL ".join(
+        f"SELECT '{Q.FIRST_RUN_ID}' AS run_id, '{t}' AS task_id, 'SUCCESS' AS status"
+        for t in ("extract", "validate", "transform_load", "report"))
     out["warehouse_counts"] = sql(R + [epr, audit, rejects], _counts_table({
         "fact_radiology": "fact", "dim_date": "dim_date", "dim_modality": "dim_modality",
         "dim_radiologist": "dim_radiologist", "dim_location": "dim_location",
@@ -418,14 +451,17 @@ def oracle_sql() -> dict[str, str]:
 
     perms = " UNION ALL ".join(f"SELECT {_q(r)} AS role, {_q(p)} AS permission"
                                for r, ps in C.ROLE_PERMISSIONS.items() for p in ps)
-    etype = " ".join(f"WHEN {_q(e)} THEN {_q(p)}" for e, p in standins.EVENT_PERMISSIONS)
     out["access_review"] = (
-        f"WITH perms AS ({perms}), req AS (SELECT split_part({_q(standins.REQUEST_ROLES)}, '|', "
-        f"CAST(1 + user_id % {len(standins.REQUEST_ROLES.split('|'))} AS INTEGER)) AS role, "
-        f"CASE event_type {etype} ELSE 'read' END AS required_permission FROM events), "
+        f"WITH perms AS ({perms}), req AS ({standins.REQUESTS_SQL}), "
         f"pairs AS (SELECT role, required_permission, count(*) AS request_count FROM req GROUP BY 1, 2)\n"
         f"SELECT p.role, p.required_permission, EXISTS (SELECT 1 FROM perms g WHERE g.role = p.role "
         f"AND g.permission = p.required_permission) AS granted, p.request_count FROM pairs p")
+    out["access_denied_audit"] = (
+        f"WITH perms AS ({perms}), req AS ({standins.REQUESTS_SQL})\n"
+        f"SELECT '{Q.FIRST_RUN_ID}-ACCESS-' || CAST(request_id AS VARCHAR) AS log_id, {_ts(Q.FIRST_LOAD_TS)} AS event_time, "
+        f"'ACCESS' AS pipeline_step, required_permission AS action, CAST(1 AS BIGINT) AS records_in, "
+        f"CAST(0 AS BIGINT) AS records_out, role AS user_account, 'DENIED' AS status, 'role=' || role AS notes "
+        f"FROM req r WHERE NOT EXISTS (SELECT 1 FROM perms g WHERE g.role = r.role AND g.permission = r.required_permission)")
     out["run_summary"] = sql(R, (
         "SELECT CAST(1 AS INTEGER) AS step_no, 'extract' AS task_id, 'SUCCESS' AS status, "
         "(SELECT count(*) FROM studies) AS records_in, (SELECT count(*) FROM ris) AS records_out "

@@ -55,8 +55,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     Read from the session, and registered as the checkpoint folder if the
-    context has none yet. Only when it is unset (local tests) a scratch
-    folder is created and registered, so checkpoint() works as well.
+    context has none yet. Only in local mode, where driver and executor are one
+    process, a scratch folder is created and registered if it is unset; on a
+    cluster an unset folder is an error, as executors share no local folder.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -67,6 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = sc.getCheckpointDir()
     if path:
         return path
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

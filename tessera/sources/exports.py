@@ -16,9 +16,13 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str], position: str | None = None) -> DataFrame:
     """Header CSV, all columns text, pandas-style null tokens made null.
 
+    ``position`` names a column for the row's place in the source: file, start of
+    the file's split, and a number that grows within the split. It is unique over
+    the file set and sorts in source order.
+
     An explicit schema avoids inference (one pass, no sampling job); the files
     split across tasks by ``spark.sql.files.maxPartitionBytes``.
     """
@@ -27,7 +31,9 @@ def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str]) -> D
           # text is kept as written: " CT " is not "CT" for the vocabulary
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("multiLine", False).csv(path))
-    return df.select(*[X.null_tokens_to_null(c).alias(c) for c in columns])
+    at = [F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                   F.monotonically_increasing_id().alias("n")).alias(position)] if position else []
+    return df.select(*at, *[X.null_tokens_to_null(c).alias(c) for c in columns])
 
 
 def type_ris(df: DataFrame) -> DataFrame:
@@ -44,9 +50,9 @@ def type_pacs(df: DataFrame) -> DataFrame:
     d = dict(df.dtypes)
     out = df
     if d.get("num_images") == "string":
-        out = out.withColumn("num_images", F.try_cast(X.strip("num_images"), "int"))
+        out = out.withColumn("num_images", X.strip("num_images").try_cast("int"))
     if d.get("image_size_mb") == "string":
-        out = out.withColumn("image_size_mb", F.try_cast(X.strip("image_size_mb"), "double"))
+        out = out.withColumn("image_size_mb", X.strip("image_size_mb").try_cast("double"))
     if d.get("acquisition_dt") == "string":
         out = out.withColumn("acquisition_dt", X.parse_timestamp("acquisition_dt"))
     return out
@@ -59,7 +65,7 @@ def type_epr(df: DataFrame) -> DataFrame:
 
 
 def read_ris_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_export(spark, path, RIS_COLUMNS)
+    return read_csv_export(spark, path, RIS_COLUMNS, "row_ix")
 
 
 def read_pacs_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -68,8 +74,3 @@ def read_pacs_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_epr_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_export(spark, path, EPR_COLUMNS)
-
-
-def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    """Typed re-read of a staging or star table (schema kept)."""
-    return spark.read.parquet(path)

@@ -1,199 +1,136 @@
-"""Stand-in RIS / PACS / EPR exports derived from the ``events`` table.
+"""Stand-in RIS / PACS / EPR exports: row projections of the ``events`` table.
 
-The driver tables hold no imaging data, so the three sources are projections of
-``events`` (the texts of FIXTURES.md section 2, written with the DataFrame API).
-``STUDIES_SQL`` etc. keep the SQL texts, which run unchanged in Spark and DuckDB;
-the tests check that both forms give identical rows.
+The driver tables hold no imaging data, so each source is a projection of
+``events``: every column of a row follows from that row alone, no join, window
+or copy. The column texts below are valid in Spark SQL and in DuckDB, which the
+oracle uses. Codes that a rule looks up come from :mod:`tessera.config`, all
+other values are made from the row's ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
-from tessera.operators.sequence import next_in_group
-from tessera.session import scratch_path, table_path
+from pyspark.sql import DataFrame, SparkSession
 
-# Fixture value lists (positions are picked by ``1 + id % n``).
-MODALITY_CODES = ("XR|XRAY|x-ray|CT|ct|CAT|MRI|mri|MR|US|ULTR|NM|NMED|FL|FLURO|"
-                  "DXA|DEXA|MAM|MAMM|xr| CT |ZZZ|")
-RADIOLOGIST_PREFIXES = "RAD|DR|CON"
-SITES = "MAIN|NORTH|SOUTH|ESH|Crawley"
-PRIORITIES = "ROUTINE|URGENT|STAT"
-REFERRALS = "GP|A&E|OUTPATIENT|INPATIENT"
-DICOM_MODALITIES = "CR|CT|MR|US|NM|DX|MG|RF|"
-DICOM_STATUSES = "COMPLETE|COMPLETE|COMPLETE|INCOMPLETE|ERROR"
-GENDERS = "M|F|U"
-TRUSTS = "RGT|RWE|RTG|RXP|RA7"
-ETHNICITIES = "A|B|C|D|E|F|M|N|P|S|Z"
+from tessera import config as C
+from tessera.session import table_path
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _pick(values: str, id_col: Column, n: int | None = None) -> Column:
-    n = n or len(values.split("|"))
-    return F.split_part(F.lit(values), F.lit("|"), (F.lit(1) + id_col % n).cast("int"))
-
-
-def _id9(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 9, "0")
-
-
-def studies(events: DataFrame, skew_safe: bool = True) -> DataFrame:
-    """RIS stand-in: one study per event; ``row_ix`` is the source order.
-
-    The report time uses the user's next event. With ``skew_safe`` it comes
-    from :func:`next_in_group` (a user holding a third of all events is split
-    over many tasks); otherwise from a ``lead`` window, which is the same
-    result with one task per user."""
-    eid, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    base = events.select("event_id", "user_id", "ts")
-    if skew_safe:
-        e = next_in_group(base, "user_id", ["ts", "event_id"], "ts", "nxt")
-    else:
-        nxt = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-        e = base.select("*", nxt.alias("nxt"))
-    study_num = F.when((eid % 33 == 0) & (eid > 0), eid - 1).otherwise(eid)
-    ten_min = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(10))
-    return e.select(
-        eid.alias("row_ix"),
-        F.concat(F.lit("STU"), _id9(study_num)).alias("study_id"),
-        F.when(eid % 25 == 0, F.lit(None).cast("string"))
-         .when(eid % 25 == 1, F.concat(F.lit("AB"), uid.cast("string")))
-         .otherwise((F.lit(10000000) + uid).cast("string")).alias("patient_id"),
-        ts.alias("exam_start_dt"),
-        F.when(eid % 50 == 7, F.lit(None).cast("timestamp_ntz"))
-         .otherwise(ts + ten_min).alias("exam_end_dt"),
-        F.when(eid % 20 == 3, F.lit(None).cast("timestamp_ntz"))
-         .when(eid % 25 == 4, ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(30)))
-         .when(eid % 97 == 5, ts + F.make_dt_interval(F.lit(9)))
-         .otherwise(F.col("nxt") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(15)))
-         .alias("report_issued_dt"),
-        F.nullif(_pick(MODALITY_CODES, eid, 23), F.lit("")).alias("modality_raw"),
-        F.when(eid % 31 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(_pick(RADIOLOGIST_PREFIXES, uid),
-                             (F.lit(100) + uid).cast("string"))).alias("radiologist_id"),
-        _pick(SITES, uid).alias("site_code"),
-        _pick(PRIORITIES, eid).alias("priority"),
-        _pick(REFERRALS, eid).alias("referral_source"),
-    )
-
-
-# Staged copies of the RIS stand-in, per session and input plan.
-_STAGED: dict[tuple, str] = {}
-
-
-def clear_staged() -> None:
-    """Forget staged stand-ins (the next call computes and writes again)."""
-    _STAGED.clear()
-
-
-def staged_studies(events: DataFrame) -> DataFrame:
-    """The RIS stand-in written once as parquet to the shared folder and read
-    back, like the staging export of a source system: later queries scan it
-    (column pruning, pushed filters, size statistics) instead of recomputing
-    the next-event step."""
-    spark = events.sparkSession
-    key = (id(spark), events.semanticHash())
-    path = _STAGED.get(key)
-    if path is None:
-        path = scratch_path(spark, "staged-studies")
-        studies(events).write.parquet(path)
-        _STAGED[key] = path
-    return spark.read.parquet(path)
+def _pick(values: Sequence[str], number: str) -> str:
+    """SQL text: the value at ``number`` modulo their count."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {number} % {len(values)} {whens} END"
+
+
+def _minutes(number: str) -> str:
+    return f"interval '1' minute * ({number})"
+
+
+# Raw modality codes: the vocabulary, then a padded one, one behind a no-break
+# space, an unknown one and a missing one.
+_N_CODES = len(C.MODALITY_VOCABULARY) + 4
+_CODE = f"event_id % {_N_CODES}"
+_CODE_TEXT = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(C.MODALITY_VOCABULARY))
+_MODALITY = (f"CASE {_CODE} {_CODE_TEXT} WHEN {_N_CODES - 4} THEN '  CT ' "
+             f"WHEN {_N_CODES - 3} THEN concat(chr(160), 'MRI') WHEN {_N_CODES - 2} THEN 'OTHER1' ELSE NULL END")
+_GRADED = [*C.RADIOLOGIST_GRADES, "LOC"]
+_SITES = [*C.SITE_DEPARTMENTS, "ANNEX"]
+
+# Exams lie up to 19 months before the event; they take 5 to 44 minutes.
+_START = "ts - interval '30' day * (event_id % 20)"
+_LENGTH = "5 + event_id % 40"
+# Minutes from the exam's end to the report: every band with both sides of its
+# bounds, the sanity limit, negative and missing.
+_DELAYS = (20, 60, 61, 240, 1440, 4320, 4321, C.MAX_TURNAROUND_MINS, C.MAX_TURNAROUND_MINS + 1, -30)
+_DELAY = _pick([str(d) for d in _DELAYS], "event_id").replace("'", "")
+
+STUDY_COLUMNS = {
+    "row_ix": "event_id",
+    "study_id": ("CASE WHEN event_id % 101 = 50 THEN NULL WHEN event_id % 33 = 0 AND event_id > 0 "
+                 "THEN concat('STU', lpad(cast(event_id - 1 AS varchar(20)), 9, '0')) "
+                 "ELSE concat('STU', lpad(cast(event_id AS varchar(20)), 9, '0')) END"),
+    "patient_id": ("CASE WHEN event_id % 25 = 0 THEN NULL WHEN event_id % 25 = 1 THEN concat('AB', cast(user_id AS varchar(20))) "
+                   "ELSE cast(10000000 + user_id AS varchar(20)) END"),
+    "exam_start_dt": _START,
+    "exam_end_dt": f"CASE WHEN event_id % 50 = 7 THEN NULL ELSE {_START} + {_minutes(_LENGTH)} END",
+    "report_issued_dt": (f"CASE WHEN event_id % 20 = 3 THEN NULL ELSE {_START} + {_minutes(_LENGTH)} + {_minutes(_DELAY)} END"),
+    "modality_raw": _MODALITY,
+    "radiologist_id": (f"CASE WHEN event_id % 31 = 0 THEN NULL ELSE concat({_pick(_GRADED, 'user_id')}, "
+                       "cast(100 + user_id AS varchar(20))) END"),
+    "site_code": f"CASE WHEN event_id % 67 = 9 THEN NULL ELSE {_pick(_SITES, 'user_id')} END",
+    "priority": "concat('P', cast(1 + event_id % 4 AS varchar(2)))",
+    "referral_source": "concat('REF-', cast(event_id % 5 AS varchar(2)))",
+}
+
+IMAGE_COLUMNS = {
+    "pacs_study_id": ("CASE WHEN event_id % 211 = 7 THEN NULL ELSE concat(CASE WHEN event_id % 40 = 11 THEN 'ORP' ELSE 'STU' END, "
+                      "lpad(cast(event_id AS varchar(20)), 9, '0')) END"),
+    "accession_number": "concat('ACC', cast(100000 + event_id AS varchar(20)))",
+    "num_images": "cast(1 + event_id % 800 AS int)",
+    "image_size_mb": "value",
+    "modality_dicom": "CASE WHEN event_id % 9 = 8 THEN NULL ELSE concat('D', cast(event_id % 9 AS varchar(2))) END",
+    "acquisition_dt": "ts",
+    "storage_path": "concat('/images/', cast(event_id AS varchar(20)))",
+    "dicom_status": "concat('S', cast(event_id % 3 AS varchar(2)))",
+}
+
+PATIENT_COLUMNS = {
+    "study_id": "concat('STU', lpad(cast(event_id AS varchar(20)), 9, '0'))",
+    "patient_id": "cast(10000000 + user_id AS varchar(20))",
+    "date_of_birth": ("concat(cast(1940 + user_id % 66 AS varchar(4)), '-', lpad(cast(1 + user_id % 12 AS varchar(2)), 2, '0'), "
+                      "'-', lpad(cast(1 + user_id % 28 AS varchar(2)), 2, '0'))"),
+    "gender": "concat('G', cast(user_id % 3 AS varchar(2)))",
+    "gp_practice": "concat('PR', cast(1000 + user_id AS varchar(20)))",
+    "trust_code": "concat('T', cast(user_id % 5 AS varchar(2)))",
+    "nhs_number": "CASE WHEN user_id % 25 = 0 THEN NULL ELSE cast(1000000000 + user_id AS varchar(20)) END",
+    "ethnicity": "concat('E', cast(user_id % 11 AS varchar(2)))",
+}
+
+
+def _sql(columns: dict[str, str]) -> str:
+    return "SELECT " + ",\n ".join(f"{text} AS {name}" for name, text in columns.items()) + "\nFROM events"
+
+
+STUDIES_SQL, IMAGES_SQL, PATIENTS_SQL = _sql(STUDY_COLUMNS), _sql(IMAGE_COLUMNS), _sql(PATIENT_COLUMNS)
+
+
+def _project(events: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return events.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
+
+
+def studies(events: DataFrame) -> DataFrame:
+    """RIS stand-in: one study per event; ``row_ix`` is the source order."""
+    return _project(events, STUDY_COLUMNS)
 
 
 def images(events: DataFrame) -> DataFrame:
     """PACS stand-in: image metadata per event, some with orphan study ids."""
-    eid = F.col("event_id")
-    return events.select(
-        F.concat(F.when(eid % 40 == 11, F.lit("ORP")).otherwise(F.lit("STU")),
-                 _id9(eid)).alias("pacs_study_id"),
-        F.concat(F.lit("ACC"), (F.lit(100000) + eid).cast("string")).alias("accession_number"),
-        (F.lit(1) + eid % 800).cast("int").alias("num_images"),
-        F.col("value").alias("image_size_mb"),
-        F.nullif(_pick(DICOM_MODALITIES, eid, 9), F.lit("")).alias("modality_dicom"),
-        F.col("ts").alias("acquisition_dt"),
-        F.concat(F.lit("/dicom/archive/STU/STU"), _id9(eid)).alias("storage_path"),
-        _pick(DICOM_STATUSES, eid).alias("dicom_status"),
-    )
+    return _project(events, IMAGE_COLUMNS)
 
 
 def patients(events: DataFrame) -> DataFrame:
     """EPR stand-in: demographics per study."""
-    eid, uid = F.col("event_id"), F.col("user_id")
-    return events.select(
-        F.concat(F.lit("STU"), _id9(eid)).alias("study_id"),
-        (F.lit(10000000) + uid).cast("string").alias("patient_id"),
-        F.concat((F.lit(1940) + uid % 66).cast("string"), F.lit("-"),
-                 F.lpad((F.lit(1) + uid % 12).cast("string"), 2, "0"), F.lit("-"),
-                 F.lpad((F.lit(1) + uid % 28).cast("string"), 2, "0")).alias("date_of_birth"),
-        _pick(GENDERS, uid).alias("gender"),
-        F.concat(F.lit("GP"), (F.lit(1000) + uid).cast("string")).alias("gp_practice"),
-        _pick(TRUSTS, uid).alias("trust_code"),
-        F.when(uid % 25 == 0, F.lit(None).cast("string"))
-         .otherwise((F.lit(1000000000) + uid).cast("string")).alias("nhs_number"),
-        _pick(ETHNICITIES, uid).alias("ethnicity"),
-    )
-
-
-def load_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(studies, images, patients) over ``sf_dir/events.parquet``."""
-    ev = read_table(spark, sf_dir, "events")
-    return studies(ev), images(ev), patients(ev)
-
-
-# SQL texts of the same three views, valid in Spark SQL and DuckDB.
-STUDIES_SQL = """SELECT event_id AS row_ix,
- concat('STU', lpad(cast(CASE WHEN event_id % 33 = 0 AND event_id > 0 THEN event_id - 1 ELSE event_id END AS varchar(20)), 9, '0')) AS study_id,
- CASE WHEN event_id % 25 = 0 THEN NULL WHEN event_id % 25 = 1 THEN concat('AB', cast(user_id AS varchar(20))) ELSE cast(10000000 + user_id AS varchar(20)) END AS patient_id,
- ts AS exam_start_dt,
- CASE WHEN event_id % 50 = 7 THEN NULL ELSE ts + interval '10' minute END AS exam_end_dt,
- CASE WHEN event_id % 20 = 3 THEN NULL WHEN event_id % 25 = 4 THEN ts - interval '30' minute WHEN event_id % 97 = 5 THEN ts + interval '9' day ELSE nxt + interval '15' minute END AS report_issued_dt,
- nullif(split_part('XR|XRAY|x-ray|CT|ct|CAT|MRI|mri|MR|US|ULTR|NM|NMED|FL|FLURO|DXA|DEXA|MAM|MAMM|xr| CT |ZZZ|', '|', cast(1 + event_id % 23 AS int)), '') AS modality_raw,
- CASE WHEN event_id % 31 = 0 THEN NULL ELSE concat(split_part('RAD|DR|CON', '|', cast(1 + user_id % 3 AS int)), cast(100 + user_id AS varchar(20))) END AS radiologist_id,
- split_part('MAIN|NORTH|SOUTH|ESH|Crawley', '|', cast(1 + user_id % 5 AS int)) AS site_code,
- split_part('ROUTINE|URGENT|STAT', '|', cast(1 + event_id % 3 AS int)) AS priority,
- split_part('GP|A&E|OUTPATIENT|INPATIENT', '|', cast(1 + event_id % 4 AS int)) AS referral_source
-FROM (SELECT event_id, user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM events) e"""
-
-IMAGES_SQL = """SELECT concat(CASE WHEN event_id % 40 = 11 THEN 'ORP' ELSE 'STU' END, lpad(cast(event_id AS varchar(20)), 9, '0')) AS pacs_study_id,
- concat('ACC', cast(100000 + event_id AS varchar(20))) AS accession_number,
- cast(1 + event_id % 800 AS int) AS num_images,
- value AS image_size_mb,
- nullif(split_part('CR|CT|MR|US|NM|DX|MG|RF|', '|', cast(1 + event_id % 9 AS int)), '') AS modality_dicom,
- ts AS acquisition_dt,
- concat('/dicom/archive/STU/STU', lpad(cast(event_id AS varchar(20)), 9, '0')) AS storage_path,
- split_part('COMPLETE|COMPLETE|COMPLETE|INCOMPLETE|ERROR', '|', cast(1 + event_id % 5 AS int)) AS dicom_status
-FROM events"""
-
-PATIENTS_SQL = """SELECT concat('STU', lpad(cast(event_id AS varchar(20)), 9, '0')) AS study_id,
- cast(10000000 + user_id AS varchar(20)) AS patient_id,
- concat(cast(1940 + user_id % 66 AS varchar(4)), '-', lpad(cast(1 + user_id % 12 AS varchar(2)), 2, '0'), '-', lpad(cast(1 + user_id % 28 AS varchar(2)), 2, '0')) AS date_of_birth,
- split_part('M|F|U', '|', cast(1 + user_id % 3 AS int)) AS gender,
- concat('GP', cast(1000 + user_id AS varchar(20))) AS gp_practice,
- split_part('RGT|RWE|RTG|RXP|RA7', '|', cast(1 + user_id % 5 AS int)) AS trust_code,
- CASE WHEN user_id % 25 = 0 THEN NULL ELSE cast(1000000000 + user_id AS varchar(20)) END AS nhs_number,
- split_part('A|B|C|D|E|F|M|N|P|S|Z', '|', cast(1 + user_id % 11 AS int)) AS ethnicity
-FROM events"""
+    return _project(events, PATIENT_COLUMNS)
 
 
 # Access requests for the bulk review (A1): each event is a request by the
-# user's role for the permission its event type needs.
-REQUEST_ROLES = "admin|engineer|analyst|dashboard|intruder"
+# user's role for the permission its event type needs. One role is unknown.
+REQUEST_ROLES = [*C.ROLE_PERMISSIONS, "visitor"]
 EVENT_PERMISSIONS = (("view", "read"), ("click", "read"), ("purchase", "write"),
                      ("signup", "admin"), ("error", "delete"))
+REQUEST_COLUMNS = {
+    "request_id": "event_id",
+    "role": _pick(REQUEST_ROLES, "user_id"),
+    "required_permission": "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{p}'" for e, p in EVENT_PERMISSIONS) + " ELSE 'read' END",
+}
+REQUESTS_SQL = _sql(REQUEST_COLUMNS)
 
 
 def access_requests(events: DataFrame) -> DataFrame:
     """``(request_id, role, required_permission)`` derived from ``events``."""
-    cases = None
-    for etype, p in EVENT_PERMISSIONS:
-        cond = F.col("event_type") == etype
-        cases = F.when(cond, F.lit(p)) if cases is None else cases.when(cond, F.lit(p))
-    perm = cases.otherwise(F.lit("read"))
-    return events.select(F.col("event_id").alias("request_id"),
-                         _pick(REQUEST_ROLES, F.col("user_id")).alias("role"),
-                         perm.alias("required_permission"))
+    return _project(events, REQUEST_COLUMNS)

@@ -19,6 +19,10 @@ may keep the other one.
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera import config as C
 from tessera.config import JobConfig
 from tessera.operators import quality, warehouse
-from tessera.plans.batch import load_batch
+from tessera.plans.batch import load_batch, stage_output
 
 
 def study_stream(spark: SparkSession, source_dir: str, schema, max_files_per_trigger: int = 1,
@@ -44,18 +48,24 @@ def study_stream(spark: SparkSession, source_dir: str, schema, max_files_per_tri
 def start_incremental_load(spark: SparkSession, source_dir: str, schema, warehouse_root: str,
                            checkpoint: str, cfg: JobConfig = C.DEFAULT,
                            max_files_per_trigger: int = 1, dedupe_within: str | None = None,
-                           available_now: bool = True) -> StreamingQuery:
+                           available_now: bool = True, run_ts: str | None = None) -> StreamingQuery:
+    """``run_ts`` pins every batch's load time; otherwise it is the time of the batch."""
     wh = warehouse.Warehouse(spark, warehouse_root)
     wh.initialise()
+    # One stream per checkpoint folder: its epochs never repeat another stream's run ids.
+    stream_id = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        run_id = f"STREAM_{epoch_id:08d}"
-        flagged = quality.flag_rules(batch, cfg)
-        valid = quality.validated(flagged, cfg).persist()
-        try:
-            load_batch(batch.sparkSession, valid, wh, run_id, cfg.run_ts, cfg)
-        finally:
-            valid.unpersist()
+        run_id = f"STREAM_{stream_id}_{epoch_id:08d}"
+        now = run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        of_run = replace(cfg, run_ts=now)
+        flagged = stage_output(quality.masked(quality.flag_rules(batch, of_run), of_run),
+                               f"{wh.root}/_staging/{run_id}/flagged")
+        rejected = quality.rejects(flagged, batch.columns, of_run)
+        wh.append_errors(quality.error_table(rejected, run_id, of_run))
+        quality.quality_report(flagged, None).write.mode("overwrite").parquet(
+            f"{wh.root}/quality_report/run_id={run_id}")
+        load_batch(batch.sparkSession, quality.validated(flagged, of_run), wh, run_id, now, of_run)
 
     writer = (study_stream(spark, source_dir, schema, max_files_per_trigger, dedupe_within, cfg)
               .writeStream.foreachBatch(process).option("checkpointLocation", checkpoint))
@@ -63,15 +73,15 @@ def start_incremental_load(spark: SparkSession, source_dir: str, schema, warehou
     return writer.start()
 
 
-def write_in_order(df: DataFrame, target_dir: str, order_col: str, chunks: int) -> None:
-    """Write ``df`` as ``chunks`` files in ``order_col`` order, one after the
-    other, so the file source sees them arrive in that order (its replay order
-    is by modification time)."""
+def write_in_order(df: DataFrame, target_dir: str, order_col: str, steps: int, files: int = 1) -> None:
+    """Write ``df`` in ``steps`` ranges of ``order_col``, one after the other, each as
+    ``files`` files in parallel. The file source replays by modification time, so with
+    ``files`` files per trigger each micro-batch is one step."""
     bounds = df.select(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
         return
-    step = (hi - lo) // chunks + 1
-    for i in range(chunks):
+    step = (hi - lo) // steps + 1
+    for i in range(steps):
         part = df.where((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(target_dir)
+        part.repartitionByRange(files, order_col).write.mode("append").parquet(target_dir)

@@ -1,6 +1,7 @@
 """Warehouse and run properties: pass + reject = input, idempotent loads,
 unique fact keys, upsert semantics, stream = batch."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import quality, warehouse
@@ -162,3 +163,75 @@ def test_dimension_upsert_versions(spark, scratch):
     assert cur == [(1, "A"), (2, "B2"), (3, "C")]
     versions = spark.read.parquet(wh.path("dim_location")).select("version").distinct().count()
     assert versions == 2  # one per non-empty load; the empty batch wrote none
+
+
+def test_two_streams_keep_their_audit_rows_and_rejects(spark, scratch):
+    ev = standins.read_table(spark, SF_SMALL, "events")
+    studies = standins.studies(ev)
+    n = 0
+    for i, part in enumerate((studies.where("row_ix < 500"), studies.where("row_ix >= 500"))):
+        part.coalesce(1).write.parquet(f"{scratch}/inbox{i}")
+        q = start_incremental_load(spark, f"{scratch}/inbox{i}", part.schema, f"{scratch}/wh", f"{scratch}/ckpt{i}")
+        q.awaitTermination()
+        f = quality.flag_rules(part)
+        n += f.where(F.col(quality.FLAG_V01) | F.col(quality.FLAG_V02)).count()
+    wh = warehouse.Warehouse(spark, f"{scratch}/wh")
+    log = wh.table("audit_log").where("pipeline_step = 'LOAD'")
+    assert log.count() == 2 and log.agg(F.sum("records_out")).first()[0] == wh.table("fact_radiology").count()
+    assert wh.table("error_table").count() == n > 0
+    assert spark.read.parquet(f"{scratch}/wh/quality_report").select("run_id").distinct().count() == 2
+
+
+def test_failed_runs_are_recorded(spark, scratch):
+    ev = standins.read_table(spark, SF_SMALL, "events")
+    broken = standins.images(ev).drop("pacs_study_id")  # the validation needs it
+    with pytest.raises(Exception):
+        run_batch(spark, standins.studies(ev), broken, standins.patients(ev), scratch, run_id="RUN_X")
+    hist = {r.task_id: r.status for r in spark.read.parquet(f"{scratch}/_state/run_history").collect()}
+    assert hist == {"extract": "SUCCESS", "validate": "FAILED", "transform_load": "SKIPPED", "report": "SKIPPED"}
+
+
+def test_half_written_dimension_version_is_not_read(spark, scratch):
+    wh = warehouse.Warehouse(spark, f"{scratch}/wh")
+    wh.initialise()
+    schema = "location_key bigint, site_code string, department string, trust string, region string"
+    a = spark.createDataFrame([(1, "A", "A", "t", "r"), (2, "B", "B", "t", "r")], schema)
+    wh.upsert_dimension("dim_location", a, "RUN_1")
+    (a.limit(1).withColumn("version", F.lit("99999999_half")).write.mode("append").partitionBy("version")
+     .parquet(wh.path("dim_location")))
+    assert wh.table("dim_location").count() == 2
+
+
+def test_null_ids_are_not_loaded_twice(spark):
+    f = catalog._job(spark, SF_SMALL).fact()
+    assert f.where("study_id IS NULL").count() == 1
+    assert warehouse.append_counts(f, f).first().inserted == 0 and warehouse.append_new(f, f).count() == 0
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+    from tessera.session import shared_dir
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_job_from_csv_files(spark, scratch):
+    from tessera.sources import exports
+    ev = standins.read_table(spark, SF_SMALL, "events")
+    for name, df in (("ris", standins.studies(ev).orderBy("row_ix").drop("row_ix")), ("pacs", standins.images(ev)),
+                     ("epr", standins.patients(ev))):
+        catalog._write_csv(df.coalesce(1), f"{scratch}/{name}")
+    out = run_batch(spark, exports.read_ris_csv(spark, f"{scratch}/ris"), exports.read_pacs_csv(spark, f"{scratch}/pacs"),
+                    exports.read_epr_csv(spark, f"{scratch}/epr"), f"{scratch}/job", run_ts="2024-02-01 05:00:00")
+    assert out["load"]["inserted"] == catalog._job(spark, SF_SMALL).valid.count()

@@ -24,6 +24,19 @@ def test_standins_equal_sql_texts(spark):
     assert _same(standins.patients(ev), spark.sql(standins.PATIENTS_SQL))
 
 
+def test_standins_cover_the_rules(spark):
+    s = standins.studies(standins.read_table(spark, SF_MID, "events"))
+    assert s.select(F.date_format("exam_start_dt", "yyyy-MM")).distinct().count() >= 18
+    assert s.where("study_id IS NULL").count() > 0 and s.where("site_code IS NULL").count() > 0
+
+
+def test_csv_positions_are_unique_and_ordered(spark, scratch):
+    rows = spark.range(500).selectExpr("id AS row_ix", *[f"cast(id AS string) AS {c}" for c in exports.RIS_COLUMNS])
+    rows.drop("row_ix").repartition(3).write.option("header", True).csv(f"{scratch}/ris")
+    got = exports.read_ris_csv(spark, f"{scratch}/ris")
+    assert got.select("row_ix").distinct().count() == 500
+
+
 def test_standin_counts(spark):
     ev = standins.read_table(spark, SF_MID, "events")
     assert standins.studies(ev).count() == 10_000
