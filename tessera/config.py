@@ -160,6 +160,9 @@ class JobConfig:
     fix_dr_grade: bool = False
     pseudonym_salt: str = ""
     run_ts: str = DEFAULT_RUN_TS
+    # Hours before the watermark that an extract reads again, for rows that arrive
+    # late or tie with the mark; rows already loaded are skipped by the fact append.
+    lookback_hours: int = 0
 
 
 DEFAULT = JobConfig()

@@ -7,6 +7,8 @@ extracted studies by a left-semi join rather than a collected id list.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +21,16 @@ def watermark_literal(wm: str):
     return F.lit(wm).cast("timestamp_ntz")
 
 
-def since_watermark(df: DataFrame, time_col: str, watermark: str) -> DataFrame:
+def since_watermark(df: DataFrame, time_col: str, watermark: str, lookback_hours: int = 0) -> DataFrame:
     """Rows with ``time_col > watermark`` (strict); text time stamps are
-    parsed first and unparseable ones drop out, as in the source."""
+    parsed first and unparseable ones drop out, as in the source. H2: with a
+    look-back the mark is that many hours earlier."""
     t = F.col(time_col)
     if dict(df.dtypes)[time_col] == "string":
         t = X.parse_timestamp(t)
+    if lookback_hours:
+        mark = dt.datetime.fromisoformat(watermark) - dt.timedelta(hours=lookback_hours)
+        watermark = mark.isoformat(sep=" ")
     return df.where(t > watermark_literal(watermark))
 
 
@@ -40,11 +46,11 @@ def unparseable_starts(df: DataFrame, time_col: str, cfg: JobConfig = C.DEFAULT)
 
 
 def extract_ris(studies: DataFrame, watermark: str, cfg: JobConfig = C.DEFAULT) -> DataFrame:
-    return since_watermark(studies, cfg.start_col, watermark)
+    return since_watermark(studies, cfg.start_col, watermark, cfg.lookback_hours)
 
 
 def extract_pacs(images: DataFrame, watermark: str, cfg: JobConfig = C.DEFAULT) -> DataFrame:
-    return since_watermark(images, cfg.pacs_time_col, watermark)
+    return since_watermark(images, cfg.pacs_time_col, watermark, cfg.lookback_hours)
 
 
 def extract_epr(patients: DataFrame, ris: DataFrame, cfg: JobConfig = C.DEFAULT) -> DataFrame:

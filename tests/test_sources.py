@@ -78,6 +78,12 @@ def test_extract_strict_and_text_input(spark):
     assert extract.unparseable_starts(df, "exam_start_dt").count() == 1
 
 
+def test_lookback_rereads_ties_and_late_rows(spark):
+    df = spark.createDataFrame([("2024-01-14 22:00:00",), ("2024-01-14 23:30:00",), ("2024-01-15 00:00:00",)], "t string")
+    assert extract.since_watermark(df, "t", "2024-01-15 00:00:00").count() == 0
+    assert extract.since_watermark(df, "t", "2024-01-15 00:00:00", lookback_hours=1).count() == 2
+
+
 def test_watermark_state(spark, scratch):
     st = WatermarkState(spark, f"{scratch}/wm")
     assert st.current()["ris"] == "1900-01-01 00:00:00"
