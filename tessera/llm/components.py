@@ -23,8 +23,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     while True:
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+            return stage(spark, now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct(), "classes")
         before = seen
         # Large star: neighbours above a node go to the least of its neighbourhood.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -9,9 +9,8 @@ their probability Jaccard similarity J_P, also for weighted shingles.
 Texts with the same words are one content. Contents that agree on a whole band
 of registers share a bucket. In each bucket all are compared with one hub, with
 J_P computed exactly; then contents still in different classes are compared
-with a second hub, and at last with each other, unless the triangle inequality
-of 1 - J_P (a collision probability's complement) rules the pair out. Pairs of
-one class need no comparison, so no group is expanded into all its pairs.
+with a second hub, and at last with each other, in blocks inside tasks that return
+links only. Pairs of one class need no comparison, and no pairs are expanded.
 """
 
 from __future__ import annotations
@@ -34,6 +33,8 @@ BANDS, ROWS = 40, 7
 #: Shingles whose processes run together.
 BATCH_SHINGLES = 60_000
 MEMO_WORDS = 200_000
+#: Contents of a bucket that one task compares with as many others.
+BLOCK = 256
 _G = 0x9E3779B97F4A7C15
 _WORD_HASH: dict[bytes, int] = {}
 
@@ -165,6 +166,45 @@ def _verify(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([f.column("a"), f.column("b"), pa.array(out, pa.float64())], ["a", "b", "sim"])
 
 
+def _links(block: pa.Table, threshold: float) -> pa.Table:
+    """Links between members of different classes within one pair of blocks of a bucket."""
+    side, lo, hi = (np.array(block.column(c).to_pylist()) for c in ("side", "lo", "hi"))
+    content, root = (block.column(c).to_pylist() for c in ("content", "root"))
+    sets = [shingles(words(t)) for t in block.column("text").to_pylist()]
+    size = np.array([len(h) for h, _ in sets])
+    plain = np.array([bool((n == n[0]).all()) for _, n in sets])  # J_P is then the sets' Jaccard
+    _, cls = np.unique(np.array([r.hex() for r in root]), return_inverse=True)
+    # Only shingles that occur twice can be shared.
+    every, at, n = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
+    column = np.cumsum(n > 1) - 1
+    row = np.repeat(np.arange(len(sets)), size)
+    used = n[at] > 1
+    share = np.concatenate([w / w.sum() for _, w in sets])
+    has = np.zeros((len(sets), int((n > 1).sum())), np.float32)
+    has[row[used], column[at[used]]] = 1
+    mass = np.zeros(has.shape, np.float32)
+    mass[row[used], column[at[used]]] = share[used]
+    out = []
+    for i in range(len(sets)):
+        with_i = (cls != cls[i]) & ((side != side[i]) if lo[0] != hi[0] else (np.arange(len(sets)) > i))
+        if side[i] != lo[0] or not with_i.any():
+            continue
+        j = np.flatnonzero(with_i)
+        both = has[j] @ has[i]
+        sure = plain[j] & plain[i]
+        jaccard = both / (size[j] + size[i] - both)
+        keep = sure & (jaccard >= threshold - 1e-6)
+        if (~sure).any():  # J_P is at most the sum of the lesser shares
+            mine = np.flatnonzero(mass[i])
+            keep |= ~sure & (np.minimum(mass[j][:, mine], mass[i][mine]).sum(1) >= threshold - 1e-3)
+        for k in j[keep]:
+            sim = similarity(sets[i], sets[k])
+            if sim >= threshold:
+                out.append((*sorted((content[i], content[k])), sim))
+    cols = list(zip(*out)) or [(), (), ()]
+    return pa.table({"a": pa.array(cols[0], pa.binary()), "b": pa.array(cols[1], pa.binary()), "sim": pa.array(cols[2], pa.float64())})
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, class_size, kept.
@@ -205,9 +245,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return stage(spark, pairs.join(side("b", "tb"), "b").join(side("a", "ta"), "a").select("a", "b", "ta", "tb")
                      .mapInArrow(_verify, "a binary, b binary, sim double"), name)
 
-    def classes(tested: DataFrame) -> DataFrame:
-        links = tested.where(F.col("sim") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        return components(spark, links)
+    def classes(new: DataFrame, root: DataFrame | None = None) -> DataFrame:
+        """Classes after the new links; each class so far enters as one star."""
+        links = new.where(F.col("sim") >= threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        if root is None:
+            return components(spark, links)
+        if links.isEmpty():
+            return root
+        return components(spark, links.unionByName(root.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
     def placed(root: DataFrame) -> DataFrame:
         """Bucket rows with their class, of buckets that hold several classes."""
@@ -216,7 +261,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                             F.min(F.struct(F.xxhash64("content", "key"), "content")).alias("second"))
         return stage(spark, labelled.join(mixed.where("lo != hi"), "key")
-                     .select("key", "content", "hub", "root", F.col("second.content").alias("second")), "near-mixed")
+                     .select("key", "content", "root", F.col("second.content").alias("second")), "near-mixed")
 
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # 1. Everything against the hub of its bucket.
@@ -228,21 +273,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     seconds = mixed.where("content = second").select("key", F.col("root").alias("second_root"))
     pairs = (mixed.join(seconds, "key").where("root != second_root")
              .select(*ordered("content", "second")).distinct().join(tested, ["a", "b"], "left_anti"))
-    tested = tested.unionByName(verified(pairs, "near-second"))
-    root = classes(tested)
-    # 3. What is in different classes still, member by member.
+    new = verified(pairs, "near-second")
+    tested, root = tested.unionByName(new), classes(new, root)
+    # 3. What is in different classes still: whole buckets, in blocks, inside tasks that
+    #    return links only. Pairs have been compared, and buckets of the same members need one look.
     mixed = placed(root)
-    far = (mixed.join(tested.withColumnRenamed("sim", "s"), (F.col("hub") == F.col("a")) & (F.col("content") == F.col("b")), "left")
-           .select("key", "content", "root", (1 - F.when(F.col("content") == F.col("hub"), 1.0).otherwise(F.col("s"))).alias("d")))
-    roots = far.select("key", "root").distinct()
-    across = (roots.withColumnRenamed("root", "ra").join(roots.withColumnRenamed("root", "rb"), "key").where("ra < rb"))
-    one = far.select("key", F.col("root").alias("ra"), F.col("content").alias("x"), F.col("d").alias("dx"))
-    two = far.select("key", F.col("root").alias("rb"), F.col("content").alias("y"), F.col("d").alias("dy"))
-    close = F.abs(F.col("dx") - F.col("dy")) <= (1 - threshold) + 1e-9
-    pairs = (across.join(one, ["key", "ra"]).join(two, ["key", "rb"]).where(close)
-             .select(*ordered("x", "y")).distinct().join(tested, ["a", "b"], "left_anti"))
-    tested = tested.unionByName(verified(pairs, "near-rest"))
-    root = classes(tested)
+    members = (mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("content").cast("decimal(38,0)")).alias("set"))
+               .where("n > 2").groupBy("n", "set").agg(F.min("key").alias("key")))
+    side = F.pmod(F.xxhash64("content"), F.col("blocks"))
+    blocks = (mixed.join(members.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")), "key")
+              .withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("content", "root", "key", "side", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
+              .join(texts, "content"))
+    links = (blocks.groupBy("key", "lo", "hi").applyInArrow(lambda t: _links(t, threshold), "a binary, b binary, sim double"))
+    root = classes(stage(spark, links.distinct(), "near-rest"), root)
 
     grouped = (contents.join(root, contents["content"] == root["node"], "left")
                .select("content", "rep", "copies", F.coalesce("root", "content").alias("root")))

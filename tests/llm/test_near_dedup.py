@@ -70,7 +70,9 @@ def edited(r, w, n):
     return " ".join(w)
 
 
-def test_classes_match_brute_force(spark, frame):
+@pytest.mark.parametrize("block", [2, 256])
+def test_classes_match_brute_force(spark, frame, monkeypatch, block):
+    monkeypatch.setattr(op, "BLOCK", block)
     r = random.Random(6)
     base = [f"w{r.randrange(400)}" for _ in range(150)]
     chain = [base]
