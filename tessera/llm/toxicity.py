@@ -21,7 +21,6 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +31,9 @@ from tessera.llm.common import fold, read, stage, words
 ORDER = 5
 DISCOUNT = 0.75
 #: Bounds of the sample of labelled rows that the models learn from, by class.
-MAX_TOXIC, MAX_ORDINARY = 3000, 5000
+MAX_TOXIC, MAX_ORDINARY = 2000, 3000
 THRESHOLD = 0.3
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 BOUNDS = (2.0, 4.0)
 TELLING = (3, 10)
 
@@ -177,8 +176,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, keep, *, id_col: str, text
             .select("text", "y", "weight", half.alias("half")))
 
 
-def _counts(sample: DataFrame) -> pd.DataFrame:
-    """Word counts by class and half; bounded by the sample."""
+def _counts(sample: DataFrame) -> dict[tuple[int, int], dict[bytes, int]]:
+    """Word counts by (class, half); bounded by the sample."""
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, int], Counter] = defaultdict(Counter)
         for f in frames:
@@ -189,8 +188,13 @@ def _counts(sample: DataFrame) -> pd.DataFrame:
                 [pa.array([y] * len(c), pa.int32()), pa.array([half] * len(c), pa.int32()),
                  pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], ["y", "half", "word", "n"])
 
-    return (sample.select("text", "y", "half").mapInArrow(count, "y int, half int, word binary, n long")
-            .groupBy("y", "half", "word").agg(F.sum("n").alias("n")).toPandas())
+    sums = (sample.select("text", "y", "half").mapInArrow(count, "y int, half int, word binary, n long")
+            .groupBy("y", "half", "word").agg(F.sum("n").alias("n")))
+    out: dict[tuple[int, int], dict[bytes, int]] = {(y, half): {} for y in (0, 1) for half in (0, 1)}
+    for batch in sums.toArrow().to_batches(max_chunksize=50_000):
+        for y, half, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+            out[y, half][word] = n
+    return out
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, *, id_col: str = "doc_id",
@@ -204,8 +208,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, *, id_c
     def of(halves: tuple[int, ...]):
         out = []
         for y in (0, 1):
-            part = counts[(counts.y == y) & counts.half.isin(halves)].groupby("word")["n"].sum()
-            out.append({bytes(w): int(n) for w, n in part.items()})
+            c: Counter = Counter()
+            for half in halves:
+                c.update(counts[y, half])
+            out.append(dict(c))
         return out
 
     full = of((0, 1))
@@ -215,8 +221,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, *, id_c
     halves = [of((0,)), of((1,))]
     if not all(c for h in halves for c in h):
         halves = [full, full]  # too few labels to hold any back
-    shared = [spark.sparkContext.broadcast((*halves[1 - h], ("half", h, len(counts), int(counts.n.sum()))))
-              for h in (0, 1)]
+    size = [sum(len(c) for c in counts.values()), sum(sum(c.values()) for c in counts.values())]
+    shared = [spark.sparkContext.broadcast((*halves[1 - h], ("half", h, *size))) for h in (0, 1)]
 
     def look(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for f in frames:
@@ -228,7 +234,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, *, id_c
     seen = sample.mapInArrow(look, "x array<double>, y int, weight double").toPandas()
     seen = seen.sort_values(by=["y", "x"], key=lambda c: c.map(lambda v: tuple(v) if hasattr(v, "__len__") else v))
     curve = fit_logistic(np.array(seen.x.tolist()), seen.y.to_numpy(float), seen.weight.to_numpy(float))
-    return spark.sparkContext.broadcast((*full, ("full", len(counts), int(counts.n.sum())))), curve
+    return spark.sparkContext.broadcast((*full, ("full", *size))), curve
 
 
 def score(docs: DataFrame, model, curve, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
