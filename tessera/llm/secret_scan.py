@@ -62,16 +62,19 @@ def scan(todo: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         return F.struct(F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"),
                         F.when(todo_and_hit, found).alias("m"))
 
-    parts = (todo.select("blob", F.explode(F.array(*[lengths(r) for r in rules])).alias("r"))
-             .select("blob", "r.kind", "r.least", F.posexplode("r.m").alias("pos", "m"))
-             .select("blob", "kind", "least", "pos", "m.gap", "m.len", "m.val"))
-    # One blob and kind per window group: as many rows as that one text has matches.
-    upto = "sum(gap + coalesce(len, 0)) OVER (PARTITION BY blob, kind ORDER BY pos)"
+    # A path may repeat a version: its rows are told apart, and one result of each blob stays.
+    parts = (todo.withColumn("rid", F.monotonically_increasing_id())
+             .select("rid", "blob", F.explode(F.array(*[lengths(r) for r in rules])).alias("r"))
+             .select("rid", "blob", "r.kind", "r.least", F.posexplode("r.m").alias("pos", "m"))
+             .select("rid", "blob", "kind", "least", "pos", "m.gap", "m.len", "m.val"))
+    # One text and kind per window group: as many rows as that one text has matches.
+    upto = "sum(gap + coalesce(len, 0)) OVER (PARTITION BY blob, kind, rid ORDER BY pos)"
     found = (parts.withColumn("end", F.expr(upto).cast("long"))
              .where(F.col("val") >= F.col("least"))
-             .groupBy("blob", "kind")
+             .groupBy("blob", "kind", "rid")
              .agg(F.sort_array(F.collect_list(F.struct(
-                 (F.col("end") - F.col("len")).cast("long").alias("start"), "end"))).alias("spans")))
+                 (F.col("end") - F.col("len")).cast("long").alias("start"), "end"))).alias("spans"))
+             .dropDuplicates(["blob", "kind"]))
     version = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.version)])
     return (todo.select("blob", F.explode("kinds").alias("kind"))
             .join(found, ["blob", "kind"], "left")
