@@ -106,8 +106,9 @@ class Gru:
         self.hidden = weights["u"].shape[0]
 
     # -- forward ---------------------------------------------------------
-    def _steps(self, h: np.ndarray, ids: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray, list]:
-        """States after each step of (steps, lanes) input ids; a start id clears the state first."""
+    def _steps(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+        """States after each step of (steps, lanes) input ids, and a tape for the way back; a start
+        id clears the state first."""
         k, w, start = self.hidden, self.w, self.layout.start
         x = w["wx"][ids] + w["bg"]
         out = np.empty((*ids.shape, k), F32)
@@ -120,22 +121,61 @@ class Gru:
             zr = _sigmoid(x[t, :, :2 * k] + g[:, :2 * k])
             z, r = zr[:, :k], zr[:, k:]
             n = np.tanh(x[t, :, 2 * k:] + r * g[:, 2 * k:])
-            if keep:
-                tape.append((h, z, r, n, g[:, 2 * k:], fresh))
+            tape.append((h, z, r, n, g[:, 2 * k:], fresh))
             h = n + z * (h - n)
             out[t] = h
         return h, out, tape
 
-    def _outputs(self, h: np.ndarray, codes: np.ndarray, grad: bool):
+    def _states(self, h: np.ndarray, ids: np.ndarray, wx: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_steps`` without a tape, in place; ``wx`` and ``u`` are those of ``_halved``."""
+        k, one, half = self.hidden, F32(1), F32(0.5)
+        fresh = ids == self.layout.start
+        any_fresh = fresh.any(axis=1)
+        x = wx[ids]
+        out = np.empty((*ids.shape, k), F32)
+        for t in range(len(ids)):
+            if any_fresh[t]:
+                h = np.where(fresh[t][:, None], F32(0), h)
+            g, zr = h @ u, x[t, :, :2 * k]
+            zr += g[:, :2 * k]
+            np.tanh(zr, out=zr)
+            zr += one
+            zr *= half
+            n = g[:, 2 * k:]
+            n *= zr[:, k:]
+            n += x[t, :, 2 * k:]
+            np.tanh(n, out=n)
+            new = out[t]
+            np.subtract(h, n, out=new)
+            new *= zr[:, :k]
+            new += n
+            h = new
+        return h, out
+
+    def _halved(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input table and recurrent weights with the gates' halves of sigmoid(x) = (1 + tanh(x / 2)) / 2 in them."""
+        scale = np.repeat(np.array([0.5, 0.5, 1.0], F32), self.hidden)
+        return (self.w["wx"] + self.w["bg"]) * scale, self.w["u"] * scale
+
+    def _bounded(self) -> bool:
+        """Whether no logit can overflow exp: states lie in [-1, 1], so absolute weights bound them."""
+        w = self.w
+        top = max((np.abs(w["wc"]).sum(0) + w["bc"]).max(initial=0), (np.abs(w["ww"]).sum(2) + w["bw"]).max(initial=0))
+        return bool(top < 60)
+
+    def _outputs(self, h: np.ndarray, codes: np.ndarray, grad: bool, bounded: bool = False):
         """Log-probability of each code given its state; with ``grad`` also the gradients of their sum."""
         lay, w = self.layout, self.w
         cls = lay.classes(codes)
-        logits = h @ w["wc"] + w["bc"]
-        logits -= logits.max(1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(1)
         rows = np.arange(len(codes))
-        out = logits[rows, cls].astype(np.float64) - np.log(total)
+        p = h @ w["wc"]
+        p += w["bc"]
+        if not bounded:
+            p -= p.max(1, keepdims=True)
+        out = p[rows, cls].astype(np.float64)
+        np.exp(p, out=p)
+        total = p @ np.ones(p.shape[1], p.dtype)
+        out -= np.log(total)
         tail = codes >= lay.n_soft
         out[tail] += lay.inner[codes[tail] - lay.n_soft]
         if grad:
@@ -145,26 +185,31 @@ class Gru:
             g = {"wc": h.T @ d, "bc": d.sum(0), "ww": np.zeros_like(w["ww"]), "bw": np.zeros_like(w["bw"])}
         order = np.argsort(cls.astype(np.int16), kind="stable")
         edges = np.searchsorted(cls[order], np.arange(lay.soft_classes + 1))
+        by_class, ones = h[order], np.ones(lay.class_size, p.dtype)
+        word = codes[order] % lay.class_size
         for c in range(lay.soft_classes):
-            if edges[c] == edges[c + 1]:
+            a, b = edges[c], edges[c + 1]
+            if a == b:
                 continue
-            i = order[edges[c]:edges[c + 1]]
-            hi, word = h[i], codes[i] - c * lay.class_size
-            s = hi @ w["ww"][c].T + w["bw"][c]
-            s -= s.max(1, keepdims=True)
-            e = np.exp(s)
-            t = e.sum(1)
-            r = np.arange(len(i))
-            out[i] += s[r, word] - np.log(t)
+            hi, i = by_class[a:b], order[a:b]
+            s = hi @ w["ww"][c].T
+            s += w["bw"][c]
+            if not bounded:
+                s -= s.max(1, keepdims=True)
+            r, at = rows[:b - a], word[a:b]
+            own = s[r, at]
+            np.exp(s, out=s)
+            t = s @ ones
+            out[i] += own - np.log(t)
             if grad:
-                ds = -e / t[:, None]
-                ds[r, word] += 1
+                ds = -s / t[:, None]
+                ds[r, at] += 1
                 dh[i] += ds @ w["ww"][c]
                 g["ww"][c] = ds.T @ hi
                 g["bw"][c] = ds.sum(0)
         return (out, dh, g) if grad else out
 
-    def score(self, docs: list[np.ndarray], width: int = 256, steps: int = 64) -> np.ndarray:
+    def score(self, docs: list[np.ndarray], width: int = 256, steps: int = 32) -> np.ndarray:
         """Log-probability (natural) of each document, a code array that ends with the end code.
 
         The state is carried through the windows of a document to its end.
@@ -179,6 +224,7 @@ class Gru:
         owner = [np.repeat(lane, [len(docs[i]) for i in lane]) for lane in dealt]
         size = np.array([len(t) for t in text])
         h = np.zeros((len(text), self.hidden), F32)
+        (wx, u), bounded = self._halved(), self._bounded()
         for at in range(0, int(size[0]), steps):
             live = int(np.searchsorted(-size, -at, "left"))  # lanes are by falling length
             end = min(at + steps, int(size[0]))
@@ -186,19 +232,19 @@ class Gru:
             for k in range(live):
                 part = ids[k][at:end]
                 step_ids[:len(part), k] = part
-            h, states, _ = self._steps(h[:live], step_ids, False)
+            h, states = self._states(h[:live], step_ids, wx, u)
             real = (np.arange(at, end)[:, None] < size[None, :live])
             codes = np.concatenate([text[k][at:end] for k in range(live)])
             who = np.concatenate([owner[k][at:end] for k in range(live)])
             flat = states.transpose(1, 0, 2)[real.T]
-            out += np.bincount(who, self._outputs(flat, codes, False), len(docs))
+            out += np.bincount(who, self._outputs(flat, codes, False, bounded), len(docs))
         return out
 
     # -- training --------------------------------------------------------
     def gradients(self, h: np.ndarray, ids: np.ndarray, codes: np.ndarray, real: np.ndarray):
         """Last state, summed log-probability and its gradients over one window (steps, lanes)."""
         k, w = self.hidden, self.w
-        last, states, tape = self._steps(h, ids, True)
+        last, states, tape = self._steps(h, ids)
         lp, dflat, g = self._outputs(states[real], codes[real], True)
         dstates = np.zeros_like(states)
         dstates[real] = dflat

@@ -34,7 +34,7 @@ def test_gradients_by_differences(model):
     ids = np.array([[lay.start, 3], [4, 5], [2, lay.start], [7, 26]])
     codes = np.array([[4, 9], [2, 40], [7, 30], [-1, 8]])
     real, h = codes >= 0, r.standard_normal((2, 5)) * 0.5
-    value = lambda: m._outputs(m._steps(h, ids, False)[1][real], codes[real], False).sum()
+    value = lambda: m._outputs(m._steps(h, ids)[1][real], codes[real], False).sum()
     _, _, g, seen = m.gradients(h, ids, codes, real)
     full = np.zeros_like(m.w["wx"])
     full[seen] = g["wx"]
@@ -57,6 +57,14 @@ def test_state_is_carried_over_windows_and_lanes(model):
     assert m.score(docs, 2, 3) == pytest.approx(whole) == m.score(docs, 8, 5)
 
 
+def test_scoring_path_equals_the_training_path(model):
+    m, r = model
+    ids, h = r.integers(0, m.layout.n_inputs, (6, 3)), r.standard_normal((3, 5)) * 0.5
+    assert np.allclose(m._states(h, ids, *m._halved())[1], m._steps(h, ids)[1], atol=1e-6)
+    flat, codes = r.standard_normal((40, 5)), r.integers(0, 41, 40)
+    assert np.allclose(m._outputs(flat, codes, False, True), m._outputs(flat, codes, False))
+
+
 def test_training_beats_the_unigram_start():
     r = np.random.default_rng(1)
     docs = [np.array([(s + i) % 20 for i in range(60)]) for s in r.integers(0, 20, 200)]
