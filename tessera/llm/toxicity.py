@@ -31,9 +31,9 @@ from tessera.llm.common import fold, read, stage, words
 ORDER = 5
 DISCOUNT = 0.75
 #: Bounds of the sample of labelled rows that the models learn from, by class.
-MAX_TOXIC, MAX_ORDINARY = 2000, 3000
+MAX_TOXIC, MAX_ORDINARY = 2000, 2000
 THRESHOLD = 0.3
-MEMO_WORDS = 250_000
+MEMO_WORDS = 100_000
 BOUNDS = (2.0, 4.0)
 TELLING = (3, 10)
 
@@ -135,11 +135,10 @@ _MODELS: dict[int, Model] = {}
 
 
 def _worker_model(shared) -> Model:
-    """The worker's model of a broadcast; only the latest two are kept."""
+    """The worker's model of a broadcast; only the latest one is kept."""
     key = zlib.crc32(repr(shared.value[2]).encode())
     if key not in _MODELS:
-        while len(_MODELS) > 1:
-            _MODELS.pop(next(iter(_MODELS)))
+        _MODELS.clear()
         _MODELS[key] = Model(shared.value[:2])
     return _MODELS[key]
 
@@ -222,18 +221,24 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, *, id_c
     if not all(c for h in halves for c in h):
         halves = [full, full]  # too few labels to hold any back
     size = [sum(len(c) for c in counts.values()), sum(sum(c.values()) for c in counts.values())]
-    shared = [spark.sparkContext.broadcast((*halves[1 - h], ("half", h, *size))) for h in (0, 1)]
-
-    def look(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for f in frames:
-            ys, hs, ws = (f.column(c).to_pylist() for c in ("y", "half", "weight"))
-            rows = [_worker_model(shared[h]).evidence(t) for t, h in zip(f.column("text").to_pylist(), hs)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(ys, pa.int32()),
-                                              pa.array(ws, pa.float64())], ["x", "y", "weight"])
-
-    seen = sample.mapInArrow(look, "x array<double>, y int, weight double").toPandas()
-    seen = seen.sort_values(by=["y", "x"], key=lambda c: c.map(lambda v: tuple(v) if hasattr(v, "__len__") else v))
-    curve = fit_logistic(np.array(seen.x.tolist()), seen.y.to_numpy(float), seen.weight.to_numpy(float))
+    # One half after the other: a worker never holds two models.
+    rows: list[tuple] = []
+    for h in (0, 1):
+        shared = spark.sparkContext.broadcast((*halves[1 - h], ("half", h, *size)))
+
+        def look(frames: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for f in frames:
+                m = _worker_model(shared)
+                x = [m.evidence(t) for t in f.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), f.column("y"), f.column("weight")],
+                                                 ["x", "y", "weight"])
+
+        part = sample.where(F.col("half") == h).select("text", F.col("y").cast("int").alias("y"), F.col("weight").cast("double").alias("weight"))
+        rows += [(r.y, tuple(r.x), r.weight) for r in part.mapInArrow(look, "x array<double>, y int, weight double").collect()]
+        shared.unpersist()
+    rows.sort()  # bounded by the sample
+    y, x, weight = (np.array(c, float) for c in zip(*rows))
+    curve = fit_logistic(x, y, weight)
     return spark.sparkContext.broadcast((*full, ("full", *size))), curve
 
 
