@@ -42,8 +42,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says: the whole part, and one more with the
-    probability of the rest, drawn from its id and text. The targets' total is the least
-    for which no domain has to shrink."""
+    probability of the rest, drawn from its id and text. The targets' total is raised until
+    no rate is below 1, so every document stays at least once."""
     mixed = mixing.mix(spark, docs, read(spark, sf_dir, "labels"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor(F.col("rate") + draw).cast("int")

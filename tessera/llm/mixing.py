@@ -6,11 +6,14 @@ fitted so that the expected tokens of each domain, sum r n p, meet its target:
 projected gradient on the least squares of the shortfall e, weighted by the
 inverse Gram matrix G = sum n p p',
 
-    r <- max(0, r - p' G^-1 e)
-
-with Nesterov's momentum, should the bound at 0 keep one step from the goal. Each step is one distributed sum of as many numbers as there are domains. A
-rate depends on its document's p and the steps so far only, so rates are an
-expression over p and no state is kept per document.
+    r <- max(least, r - p' G^-1 e)
+
+with Nesterov's momentum, should the bound keep one step from the goal. The bound
+is 0 for a given total. Otherwise it is 1, so that no document is lost, and the
+total is raised until the targets can be met above it. Each step is one
+distributed sum of as many numbers as there are domains. A rate depends on its
+document's p and the steps so far only, so rates are an expression over p and no
+state is kept per document.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from tessera.llm.common import read, stage, words
 #: Bounds of the classifier's sample and vocabulary.
 MAX_LABELLED, MAX_WORDS = 4000, 3000
 STEPS, TOLERANCE = 40, 1e-7
+#: Doublings of the total that are tried where the closed form asks for more than one.
+DOUBLINGS = 3
 TARGETS = {"de": 0.18, "en": 0.50, "es": 0.14, "fr": 0.18}
 
 
@@ -124,8 +129,8 @@ def memberships(docs: DataFrame, shared, k: int, text_col: str = "text") -> Data
                                               *(T.StructField(f"p_{i}", T.DoubleType()) for i in range(k))]))
 
 
-def _after(steps: list[tuple[float, np.ndarray]]) -> Column:
-    """(r, q) of a document after the steps: r <- max(0, q - p' y), q <- r + beta (r - old r)."""
+def _after(steps: list[tuple[float, np.ndarray]], least: float = 0.0) -> Column:
+    """(r, q) of a document after the steps: r <- max(least, q - p' y), q <- r + beta (r - old r)."""
     one = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("q"))
     if not steps:
         return one
@@ -133,48 +138,77 @@ def _after(steps: list[tuple[float, np.ndarray]]) -> Column:
     todo = F.array(*[F.struct(F.lit(float(b)).alias("b"), F.array(*[F.lit(float(v)) for v in y]).alias("y")) for b, y in steps])
 
     def step(s: Column, x: Column) -> Column:
-        r = F.greatest(F.lit(0.0), s["q"] - sum((F.col(f"p_{i}") * x["y"][i] for i in range(k)), F.lit(0.0)))
+        r = F.greatest(F.lit(float(least)), s["q"] - sum((F.col(f"p_{i}") * x["y"][i] for i in range(k)), F.lit(0.0)))
         return F.struct(r.alias("r"), (r + x["b"] * (r - s["r"])).alias("q"))
 
     return F.aggregate(todo, one, step)
 
 
-def rate(steps: list[tuple[float, np.ndarray]]) -> Column:
-    """A document's rate after the given steps, from its p columns."""
-    return _after(steps)["r"]
+def rate(steps: list[tuple[float, np.ndarray]], least: float = 0.0) -> Column:
+    """A document's rate after the given steps, from its p columns; ``least`` as they were fitted with."""
+    return _after(steps, least)["r"]
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, budget: float | None = None, *,
+def fit_rates(members: DataFrame, targets: np.ndarray, budget: float | None = None, *, least: float = 0.0,
               max_steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[tuple[float, np.ndarray]], np.ndarray]:
-    """(steps, target tokens) that bring the expected domain tokens of ``members`` to their targets.
-
-    Without a ``budget`` the total is the least for which no domain has to shrink.
+    """(steps, target tokens) that bring the expected domain tokens of ``members`` to their targets,
+    with no rate below ``least`` (0 or 1).
+
+    Without a ``budget`` no domain has to shrink, and with ``least`` no document: the total is the
+    one at which the smallest rate of the unbounded solution is ``least``. If that is more than
+    double (or no total, as some rates are never positive), the total is doubled until the bounded
+    solution meets the targets; targets that none of them meets are approached from the total
+    before the doublings.
     """
     k = len(targets)
     p = [F.col(f"p_{i}") for i in range(k)]
     n = F.col("n_tokens").cast("double")
     sums = members.agg(*(F.sum(n * p[i] * p[j]).alias(f"g_{i}_{j}") for i in range(k) for j in range(i, k)),
                        *(F.sum(n * p[i]).alias(f"a_{i}") for i in range(k))).first()
-    now = np.array([sums[f"a_{i}"] or 0.0 for i in range(k)])
+    start = np.array([sums[f"a_{i}"] or 0.0 for i in range(k)])
     gram = np.array([[sums[f"g_{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
-    share = targets / targets.sum()
-    total = float(budget) if budget is not None else float((now[share > 0] / share[share > 0]).max(initial=0.0))
-    goal, inverse, steps, t = share * total, np.linalg.pinv(gram), [], 1.0
-    look = now
-    while len(steps) < max_steps and np.abs(now - goal).max() > tolerance * max(total, 1.0):
-        t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        steps.append(((t - 1) / t_next, inverse @ (look - goal)))
-        t = t_next
-        state = members.select("n_tokens", *(f"p_{i}" for i in range(k)), _after(steps).alias("s"))
-        got = state.agg(*(F.sum(F.col(f"s.{v}") * n * p[i]).alias(f"{v}_{i}") for v in "rq" for i in range(k))).first()
-        now, look = (np.array([got[f"{v}_{i}"] or 0.0 for i in range(k)]) for v in "rq")
-    return steps, goal
+    share, inverse = targets / targets.sum(), np.linalg.pinv(gram)
+
+    def descend(total: float) -> tuple[list[tuple[float, np.ndarray]], bool]:
+        """Steps towards a total, and whether they meet it."""
+        goal, steps, t, now, look = share * total, [], 1.0, start, start
+        near = lambda: np.abs(now - goal).max() <= tolerance * max(total, 1.0)
+        while len(steps) < max_steps and not near():
+            t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            steps.append(((t - 1) / t_next, inverse @ (look - goal)))
+            t = t_next
+            state = members.select("n_tokens", *(f"p_{i}" for i in range(k)), _after(steps, least).alias("s"))
+            got = state.agg(*(F.sum(F.col(f"s.{v}") * n * p[i]).alias(f"{v}_{i}") for v in "rq" for i in range(k))).first()
+            now, look = (np.array([got[f"{v}_{i}"] or 0.0 for i in range(k)]) for v in "rq")
+        return steps, bool(near())
+
+    if budget is not None:
+        return descend(float(budget))[0], share * float(budget)
+    total = float((start[share > 0] / share[share > 0]).max(initial=0.0))
+    if least > 0 and total > 0:
+        # Unbounded rates are total * p' G^-1 share.
+        y = inverse @ share
+        low = members.agg(F.min(sum((p[i] * float(y[i]) for i in range(k)), F.lit(0.0))).alias("low")).first()["low"]
+        if low > 0 and least / low <= 2 * total:
+            total = max(total, least / low)
+        else:
+            for d in range(1, DOUBLINGS + 1):
+                steps, met = descend(total * 2 ** d)
+                if met:
+                    return steps, share * (total * 2 ** d)
+            if low > 0:
+                total = max(total, least / low)
+    return descend(total)[0], share * total
 
 
 def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *,
         budget: float | None = None, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> DataFrame:
     """``docs`` with n_tokens, p_0 .. p_(k-1) (domains in name order) and rate.
 
+    Without a ``budget`` and with all targets above 0, no rate is below 1: every document is
+    in the mixture, and the total is raised until the shares match. With a budget, or with
+    a target of 0, rates go down to 0.
+
     Documents without words have no tokens: their p is the classifier's prior and their rate
     follows from it. Null texts count as empty. Targets are relative weights; a domain that
     no document belongs to cannot be met and is approached in the least-squares sense. Null
@@ -188,8 +222,9 @@ def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict[s
     shared = spark.sparkContext.broadcast(model)
     members = memberships(docs, shared, len(domains), text_col)
     narrow = stage(spark, memberships(docs.select(text_col), shared, len(domains), text_col).drop(text_col), "mixing-members")
-    steps, _ = fit_rates(narrow, np.array([targets[d] for d in domains], float), budget)
-    return members.withColumn("rate", rate(steps))
+    least = 1.0 if budget is None and min(targets.values()) > 0 else 0.0
+    steps, _ = fit_rates(narrow, np.array([targets[d] for d in domains], float), budget, least=least)
+    return members.withColumn("rate", rate(steps, least))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

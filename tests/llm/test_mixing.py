@@ -47,6 +47,19 @@ def test_unreachable_targets_are_the_least_squares_optimum(spark):
     assert loss(r) <= 1.05 * loss(best)
 
 
+@pytest.mark.parametrize("side, targets", [(0.2, [0.5, 0.3, 0.2]), (1, [0.3, 0.2, 0.5]), (1, [0.4, 0.1, 0.5])])
+def test_default_total_keeps_every_document(spark, side, targets):
+    rng = np.random.default_rng(3)
+    p = np.vstack([rng.dirichlet(a, m) for a, m in (([9, side, side], 150), ([side, 4, 4 * side], 30), ([side, side, 8], 40))])
+    n = rng.integers(1, 400, len(p))
+    m = members(spark, n, p)
+    steps, goal = op.fit_rates(m, np.array(targets), least=1.0)
+    r = np.array([x.r for x in m.orderBy("doc_id").select(op.rate(steps, 1.0).alias("r")).collect()])
+    assert r.min() >= 1 and (side == 1 or r.min() == pytest.approx(1))
+    assert (r * n) @ p == pytest.approx(goal, rel=1e-5) and goal / goal.sum() == pytest.approx(targets)
+    assert goal.sum() <= 2.001 * (n @ p / targets).max()
+
+
 def test_soft_membership_and_targets_on_documents(spark):
     out = op.op7_mixing(spark, SF_MID).toPandas()
     names = sorted(op.TARGETS)
@@ -54,6 +67,7 @@ def test_soft_membership_and_targets_on_documents(spark):
     assert len(out) == read(spark, SF_MID, "documents").count() and p.sum(1) == pytest.approx(1.0)
     total = (p * (out.n_tokens * out.rate).to_numpy()[:, None]).sum(0)
     assert total / total.sum() == pytest.approx([op.TARGETS[d] for d in names], abs=1e-4)
+    assert out.rate.min() >= 1
     lang = out.merge(read(spark, SF_MID, "documents").select("doc_id", "lang").toPandas(), on="doc_id")
     assert (np.array(names)[p.argmax(1)] == lang.lang.to_numpy()).mean() > 0.95
 

@@ -49,6 +49,7 @@ def test_pipeline_stages_take_effect(spark, scratch):
     hit = {r.doc_id for r in decontaminate.hit_runs(seen[2], read(spark, SF_MID, "benchmark")).where("size(runs) > 0").collect()}
     assert sorted(ids[3]) == sorted(set(ids[2]) - hit)
     assert set(ids[4]) <= set(ids[3]) and len(set(ids[4])) > 0.97 * len(set(ids[3])) and len(ids[4]) > len(ids[3])
+    assert set(ids[4]) == set(ids[3])
     import public_tokenizers
     enc = token_store.Encoder(public_tokenizers.path(token_store.TOKENIZER), token_store.END_ID)
     sizes = sorted((r.doc_id, len(enc.encode(r.text)) // enc.width) for r in seen[4].collect())
