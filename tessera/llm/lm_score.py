@@ -4,7 +4,7 @@ Every training document is counted. Word counts give the base score (additive
 smoothing), the classes of the recurrent model's factored softmax and the fixed
 inner distributions of its tail classes. The recurrent model (``gru``) starts
 at the unigram distribution; each partition then trains a replica by truncated
-backpropagation on a fixed share of its training documents, and the replicas'
+backpropagation on all its training documents, and the replicas'
 weights are averaged, weighted by their tokens. A document is scored whole: the
 state is carried through all its windows.
 
@@ -29,8 +29,6 @@ from tessera.llm.common import fold, read, stage
 #: Bound of the words whose counts are broadcast.
 FREQUENT = 1 << 17
 HIDDEN = 32
-#: One training document in so many is used for gradients, at any size of input.
-GRADIENT_SHARE = 8
 LEARNING_RATE = 0.1
 #: Tokens that one training or scoring step of a task holds.
 TRAIN_TOKENS, SCORE_TOKENS = 200_000, 500_000
@@ -168,7 +166,7 @@ def train_model(docs: DataFrame, tables, hidden: int = HIDDEN) -> np.ndarray | N
 
 
 def lm_scores(docs: DataFrame, learn, *, id_col: str = "doc_id", text_col: str = "text", hidden: int = HIDDEN,
-              frequent: int = FREQUENT, share: int = GRADIENT_SHARE) -> DataFrame:
+              frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, learnt, n_tokens, n_known, train_tokens, base_score, score.
 
     ``learn`` gives, for an id column, which documents the counts and the model learn from.
@@ -187,8 +185,7 @@ def lm_scores(docs: DataFrame, learn, *, id_col: str = "doc_id", text_col: str =
                    .groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     made, least = corpus_tables(counts, frequent)
     tables = spark.sparkContext.broadcast(made)
-    used = F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0
-    flat = train_model(rows.where(F.col("learnt") & used).select("text"), tables, hidden)
+    flat = train_model(rows.where("learnt").select("text"), tables, hidden)
     weights = spark.sparkContext.broadcast(flat)
 
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -96,6 +96,19 @@ def test_base_scores_match_brute_force(spark, frequent):
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == brute(rows, LEARN)
     held = [r for r in got if not r.learnt]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 1.02
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)  # log-probabilities: nearer to 0
+
+
+def test_any_training_document_moves_the_model(spark, frame):
+    words = " ".join(f"w{i % 64}" for i in range(640))
+    rest = frame([(k, words) for k in range(100, 104)])
+    start = None
+    for k in range(4):  # one training document, whatever its id
+        got = op.lm_scores(frame([(k, words)]).unionByName(rest), lambda c, k=k: c == k).where("NOT learnt").collect()
+        untrained = 641 * math.log10(1 / 65)  # nearly: all 65 tokens are alike
+        assert all(r.score > 0.9 * untrained for r in got)
+        start = start or [r.score for r in got]
+        assert [r.score for r in got] == pytest.approx(start, rel=1e-3)
 
 
 def test_nulls_repeats_and_empty_tables(spark, frame):
