@@ -270,9 +270,15 @@ class Gru:
 
     def train(self, docs: list[np.ndarray], past: dict[str, np.ndarray], rate: float = 0.05,
               width: int = 64, steps: int = 20) -> None:
-        """One pass of truncated backpropagation with Adagrad; states carry over from window to window."""
+        """One pass of truncated backpropagation with Adagrad; states carry over from window to window.
+
+        Texts longer than a lane are dealt in pieces, each from a clear state: the last windows
+        would otherwise hold one text alone and pull the model towards it.
+        """
         if not docs:
             return
+        most = max(256, -(-sum(map(len, docs)) // width))
+        docs = [d[at:at + most] for d in docs for at in range(0, len(d), most)]
         dealt = lanes(docs, width)
         text = [np.concatenate([docs[i] for i in lane]) for lane in dealt]
         ids = [np.concatenate([np.concatenate(([self.layout.start], self.layout.inputs(docs[i][:-1]))) for i in lane])
@@ -288,7 +294,7 @@ class Gru:
                 x[:len(part), k], y[:len(part), k] = ids[k][at:end], part
             real = y >= 0
             h, _, g, seen = self.gradients(h[:live], x, y, real)
-            n = F32(real.sum())
+            n = F32(width * steps)  # of a full window, so that the last lanes do not outweigh it
             for name in NAMES:
                 d = g[name] / n
                 if name == "wx":

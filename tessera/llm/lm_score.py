@@ -3,9 +3,12 @@
 Every training document is counted. Word counts give the base score (additive
 smoothing), the classes of the recurrent model's factored softmax and the fixed
 inner distributions of its tail classes. The recurrent model (``gru``) starts
-at the unigram distribution; each partition then trains a replica by truncated
-backpropagation on all its training documents, and the replicas'
-weights are averaged, weighted by their tokens. A document is scored whole: the
+at the unigram distribution and learns in rounds. A round's replicas start from
+the last round's averages, each trains by truncated backpropagation on its share
+of the round's documents, and weights and step sizes are averaged by tokens. Ids
+and texts alone say which replica of which round has a document, and the number
+of tokens how many there are: both grow with the root of the corpus, and the
+layout of the files has no part in it. A document is scored whole: the
 state is carried through all its windows.
 
 Counts of the frequent words are broadcast (bounded number); the counts of all
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import gru
 from tessera.llm.common import fold, read, stage
+from tessera.session import scratch_path
 
 #: Bound of the words whose counts are broadcast.
 FREQUENT = 1 << 17
@@ -34,8 +38,10 @@ LEARNING_RATE = 0.1
 TRAIN_TOKENS, SCORE_TOKENS = 200_000, 500_000
 #: Distinct words that a task counts before it hands them on.
 COUNTER_WORDS = 150_000
-#: Floats of a weight block when replicas are averaged, and replicas of a first-level group.
-BLOCK, FAN_IN = 1 << 14, 64
+#: Training tokens of one replica in one round, about.
+TURN_TOKENS = 2_000_000
+#: Floats of a block when replicas are averaged.
+BLOCK = 1 << 14
 END = b""
 
 
@@ -118,62 +124,105 @@ def corpus_tables(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Tables,
     return Tables([w for w, _ in pairs], [c for _, c in pairs], total, types, rare_mass), least
 
 
-def train_model(docs: DataFrame, tables, hidden: int = HIDDEN) -> np.ndarray | None:
-    """Averaged weights of the replicas that the partitions of ``docs`` (text) train; None without tokens."""
-    def replica(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tables.value
-        coder, model, past, held, size, seen = _coder(t), None, None, [], 0, 0
+def schedule(total: int, turn_tokens: int) -> tuple[int, int]:
+    """(rounds, replicas of a round) for so many training tokens."""
+    turns = max(1, -(-total // turn_tokens))
+    rounds = math.ceil(math.sqrt(turns))
+    return rounds, -(-turns // rounds)
 
-        def step() -> None:
-            nonlocal model, past
-            if model is None:
-                model = gru.Gru(t.layout, gru.initial(t.layout, hidden))
-                past = {k: np.full(v.shape, 1e-6, np.float32) for k, v in model.w.items()}
-            model.train(held, past, LEARNING_RATE)
 
+def coded_turns(spark: SparkSession, rows: DataFrame, tables, rounds: int, replicas: int) -> DataFrame:
+    """Every row of ``rows`` (doc_id, text) once, staged by round: replica, place, codes."""
+    def code(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(tables.value)
         for f in frames:
-            for text in f.column("text").to_pylist():
-                d = coder.document(tokens(text))
-                held.append(d)
-                size += len(d)
-                if size >= TRAIN_TOKENS:
-                    step()
-                    seen, held, size = seen + size, [], 0
-        if held:
-            step()
-            seen += size
-        if model is not None:
-            flat = gru.pack(model.w).astype(np.float64) * seen
-            rows = [(k, seen, flat[at:at + BLOCK].tobytes()) for k, at in enumerate(range(0, len(flat), BLOCK))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))],
-                ["block", "n", "w"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(b, np.float64) for b in table.column("w").to_pylist()], axis=0)
-        return pa.table({"block": table.column("block").slice(0, 1),
-                         "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()),
-                         "w": pa.array([total.tobytes()], pa.binary())})
-
-    kind = "block int, n long, w binary"
-    parts = docs.mapInArrow(replica, kind).withColumn("g", (F.spark_partition_id() / F.lit(FAN_IN)).cast("int"))
-    first = parts.groupBy("block", "g").applyInArrow(lambda t: add(t.select(["block", "n", "w"])), kind)
-    blocks = first.groupBy("block").applyInArrow(add, kind).toArrow().sort_by("block")  # one model's size
-    if not blocks.num_rows:
-        return None
-    flat = np.concatenate([np.frombuffer(b, np.float64) for b in blocks.column("w").to_pylist()])
-    return (flat / blocks.column("n")[0].as_py()).astype(np.float32)
+            codes = [coder.document(tokens(t)).astype(np.int32).tobytes() for t in f.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([f.column("round"), f.column("replica"), f.column("place"),
+                                              pa.array(codes, pa.binary())], ["round", "replica", "place", "codes"])
+
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds * replicas))
+    dealt = rows.select("text", F.xxhash64("text", "doc_id").alias("place"), (turn % rounds).cast("int").alias("round"),
+                        F.floor(turn / rounds).cast("int").alias("replica"))
+    path = scratch_path(spark, "lm-turns")
+    kind = "round int, replica int, place long, codes binary"
+    dealt.mapInArrow(code, kind).write.partitionBy("round").parquet(path)
+    return spark.read.schema(kind).parquet(path)
+
+
+def train_model(turns: DataFrame, tables, rounds: int, replicas: int, hidden: int = HIDDEN) -> tuple[np.ndarray | None, int]:
+    """(weights after all rounds, tokens learnt from); None without tokens."""
+    spark = turns.sparkSession
+    state, learnt = None, 0
+
+    def blocks(replica: int, model: gru.Gru, past: dict, seen: int) -> pa.RecordBatch:
+        flat = np.concatenate((gru.pack(model.w), gru.pack(past)))
+        rows = [(k, replica, seen, flat[at:at + BLOCK].tobytes()) for k, at in enumerate(range(0, len(flat), BLOCK))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
+            ["block", "replica", "n", "w"])
+
+    def mean(table: pa.Table) -> pa.Table:
+        n, total = 0, 0.0
+        for own, w in zip(*(table.sort_by("replica").column(c).to_pylist() for c in ("n", "w"))):
+            n, total = n + own, total + own * np.frombuffer(w, np.float32).astype(np.float64)
+        return pa.table({"block": table.column("block").slice(0, 1), "n": pa.array([n], pa.int64()),
+                         "w": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
+
+    for r in range(rounds):
+        shared = spark.sparkContext.broadcast(state)
+
+        def replica(frames: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            layout = tables.value.layout
+            own, model, past, held, size, seen = None, None, None, [], 0, 0
+
+            def step() -> None:
+                nonlocal held, size, seen
+                model.train(held, past, LEARNING_RATE)
+                held, size, seen = [], 0, seen + size
+
+            for f in frames:
+                for k, codes in zip(f.column("replica").to_pylist(), f.column("codes").to_pylist()):
+                    if k != own:  # rows come by replica
+                        if held:
+                            step()
+                        if own is not None:
+                            yield blocks(own, model, past, seen)
+                        if shared.value is None:
+                            w = gru.initial(layout, hidden)
+                            past = {name: np.full(v.shape, 1e-6, np.float32) for name, v in w.items()}
+                        else:
+                            w, past = (gru.unpack(v, layout, hidden) for v in np.split(shared.value, 2))
+                        own, model, seen = k, gru.Gru(layout, w), 0
+                    held.append(np.frombuffer(codes, np.int32).astype(np.int64))
+                    size += len(held[-1])
+                    if size >= TRAIN_TOKENS:
+                        step()
+            if held:
+                step()
+            if own is not None:
+                yield blocks(own, model, past, seen)
+
+        dealt = (turns.where(F.col("round") == r).select("replica", "place", "codes")
+                 .repartitionById(replicas, "replica").sortWithinPartitions("replica", "place", "codes"))
+        parts = dealt.mapInArrow(replica, "block int, replica int, n long, w binary")
+        got = parts.groupBy("block").applyInArrow(mean, "block int, n long, w binary").toArrow().sort_by("block")
+        if got.num_rows:  # one model's size; a round may have no documents
+            state = np.concatenate([np.frombuffer(b, np.float32) for b in got.column("w").to_pylist()])
+            learnt += got.column("n")[0].as_py()
+        shared.unpersist()
+    return None if state is None else np.split(state, 2)[0], learnt
 
 
 def lm_scores(docs: DataFrame, learn, *, id_col: str = "doc_id", text_col: str = "text", hidden: int = HIDDEN,
-              frequent: int = FREQUENT) -> DataFrame:
+              frequent: int = FREQUENT, turn_tokens: int = TURN_TOKENS) -> DataFrame:
     """One row per row of ``docs``: doc_id, learnt, n_tokens, n_known, train_tokens, base_score, score.
 
     ``learn`` gives, for an id column, which documents the counts and the model learn from.
     Scores are log10 probabilities of the whole text with its end token; ``base_score`` is the
     sum of log10((c + 0.5) / (N + 0.5 (V + 1))), ``score`` the recurrent model's. The model gives
     every word a share by its class, all unknown words together that of one unseen type. A null
-    text counts as empty: its only token is the end. Repeated rows each count and each get a row.
+    text counts as empty: its only token is the end. The model does not depend on the order
+    or the partitions of the rows. Repeated rows each count and each get a row.
     Null ids are folded as the empty text. Other columns are not read. Without training documents
     all counts are 0 and both scores are those of the one unknown type; empty tables give no rows.
     """
@@ -185,7 +234,9 @@ def lm_scores(docs: DataFrame, learn, *, id_col: str = "doc_id", text_col: str =
                    .groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     made, least = corpus_tables(counts, frequent)
     tables = spark.sparkContext.broadcast(made)
-    flat = train_model(rows.where("learnt").select("text"), tables, hidden)
+    rounds, replicas = schedule(made.total, turn_tokens)
+    turns = coded_turns(spark, rows.where("learnt").select("doc_id", "text"), tables, rounds, replicas)
+    flat, _ = train_model(turns, tables, rounds, replicas, hidden)
     weights = spark.sparkContext.broadcast(flat)
 
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

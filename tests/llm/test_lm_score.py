@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_fixtures import *  # noqa: F401,F403
 from conftest import SF_SMALL
@@ -111,12 +112,30 @@ def test_any_training_document_moves_the_model(spark, frame):
         assert [r.score for r in got] == pytest.approx(start, rel=1e-3)
 
 
+def test_rounds_use_all_documents_whatever_the_layout(spark):
+    docs = read(spark, SF_SMALL, "documents")
+    total = sum(r.n_tokens for r in op.lm_scores(docs, op.learnable).where("learnt").collect())
+    assert op.schedule(total, 6_000)[0] > 2 and op.schedule(total, 6_000)[1] > 2
+    got = []
+    for df in (docs.repartition(1), docs.repartition(9).orderBy(F.desc("doc_id"))):
+        scores = op.lm_scores(df, op.learnable, turn_tokens=6_000).collect()
+        got.append([r.score for r in sorted(scores, key=lambda r: r.doc_id)])
+    assert got[0] == pytest.approx(got[1], rel=1e-4)
+    rows = docs.where(op.learnable(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = Counter(w for r in rows.collect() for w in [*op.tokens(r.text), op.END]).most_common()
+    made = op.Tables([w for w, _ in pairs], [n for _, n in pairs], total, len(pairs), 0.5)
+    tables = spark.sparkContext.broadcast(made)
+    turns = op.coded_turns(spark, rows, tables, 3, 4)
+    assert turns.count() == rows.count() and turns.select("round", "replica").distinct().count() == 12
+    flat, learnt = op.train_model(turns, tables, 3, 4)
+    assert learnt == total and np.isfinite(flat).all()
+
+
 def test_nulls_repeats_and_empty_tables(spark, frame):
     rows = [(1, "a B a"), (2, None), (2, None), (3, ""), (None, "b\x0bc"), (4, "z " * 30_000), (5, " x é")]
     got = op.lm_scores(frame(rows), op.learnable).collect()
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == brute(rows, LEARN)
     assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
-    from pyspark.sql import functions as F
     untaught = op.lm_scores(frame(rows), lambda c: F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in untaught)
     assert op.lm_scores(frame([]), op.learnable).count() == 0
