@@ -71,9 +71,13 @@ class Tables:
             i += 1
 
 
-def build(items: list[tuple[str, str | None]], window: int = WINDOW) -> tuple[list[Tables], list[str]]:
+def _null_last(item_id: str | None) -> tuple[bool, str]:
+    return item_id is None, item_id or ""
+
+
+def build(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> tuple[list[Tables], list[str | None]]:
     """Tables by pattern length, and the item ids that the tables number."""
-    ids = sorted({i for i, _ in items})
+    ids = sorted({i for i, _ in items}, key=_null_last)
     number = {i: k for k, i in enumerate(ids)}
     by_length: dict[int, dict[tuple[bytes, ...], set[int]]] = {}
     for i, text in items:
@@ -123,24 +127,24 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """Items in blocks of bounded text; an item is never split. One block at a time is on the driver."""
     size = F.octet_length(F.coalesce(F.col(text_col), F.lit("")))
-    items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("i IS NOT NULL")
+    items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
     total = benchmark.select(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
     n = max(1, -(-int(total) // block_bytes))
     for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k) if n > 1 else items
+        part = items.where(F.pmod(F.xxhash64(F.coalesce("i", "t")), F.lit(n)) == k) if n > 1 else items
         yield [(r.i, r.t) for r in part.collect()]
 
 
 def hit_runs(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
              block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_words, runs (merged [first word, end) pairs), items (sorted item ids).
+    """One row per document: doc_id, n_words, runs (merged [first word, end) pairs), items (sorted item ids, null last).
 
-    A null text has no words; a document or item without words has no hits. Items with a
-    null id are left out, items that repeat an id count as one. Long texts are searched
+    A null text has no words; a document or item without words has no hits. Items that
+    repeat an id count as one, also those with a null id. Long texts are searched
     whole, in pieces that overlap by a window. Repeated document rows each give a row.
     Other columns are not read. An empty benchmark gives no hits, empty documents no rows.
     """
@@ -160,7 +164,7 @@ def hit_runs(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", t
                     count, new, numbers = match(text, tables)
                     n.append(count)
                     runs.append([{"a": a, "b": b} for a, b in merged([(x["a"], x["b"]) for x in old_runs] + new)])
-                    found.append(sorted({*old, *(ids[k] for k in numbers)}))
+                    found.append(sorted({*old, *(ids[k] for k in numbers)}, key=_null_last))
                 yield pa.RecordBatch.from_arrays(
                     [f.column("doc_id"), f.column("t"), pa.array(n, pa.int64()), pa.array(runs, RUNS),
                      pa.array(found, pa.list_(pa.string()))], ["doc_id", "t", "n_words", "runs", "items"])
@@ -172,7 +176,7 @@ def hit_runs(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", t
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ``documents`` against all items of ``benchmark``."""
+    """All ``documents`` against all items of ``benchmark``; n_items counts the null id, items_sha256 passes over it."""
     hits = hit_runs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + r["b"] - r["a"])
     return hits.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),

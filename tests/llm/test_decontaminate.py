@@ -49,6 +49,30 @@ def test_matches_brute_force(spark, frame, seed):
     assert result(op.hit_runs(frame(docs), bench)) == brute(docs, items)
 
 
+@pytest.mark.parametrize("block_bytes", [op.BLOCK_BYTES, 60])
+def test_items_with_a_null_id_are_searched(spark, frame, block_bytes):
+    docs, items = tables(5)
+    items = [(None if k % 3 == 0 else i, t) for k, (i, t) in enumerate(items)]
+    want = [(*r[:3], [None if i == "~" else i for i in r[3]]) for r in brute(docs, [(i or "~", t) for i, t in items])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = result(op.hit_runs(frame(docs), bench, block_bytes=block_bytes))
+    assert got == sorted(want, key=str) and any(None in r[3] for r in got)
+
+
+def test_query_equals_its_sql_with_null_ids(spark, frame, scratch):
+    import duckdb
+    docs, items = tables(6)
+    docs = [(k, t) for k, (_, t) in enumerate(docs)]
+    items = [(None if k % 3 == 0 else i, t) for k, (i, t) in enumerate(items)]
+    frame(docs, extra=False).write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{scratch}/{name}.parquet/*.parquet')")
+    got = [tuple(r) for r in op.op2_decontaminate(spark, str(scratch)).collect()]
+    assert sorted(got) == sorted(con.execute(op.ORACLE).fetchall())
+
+
 def test_long_texts_in_pieces_and_items_in_blocks(spark, frame, monkeypatch):
     docs, items = tables(3)
     monkeypatch.setattr(op, "SEGMENT", 16)
