@@ -52,3 +52,11 @@ def test_nulls_repeats_and_missing_classes(spark, frame):
     none = labels.where("false")
     assert {r.score for r in op.toxicity(spark, frame(rows), none).collect()} == {0.0}
     assert op.toxicity(spark, frame([]), none).count() == 0
+
+
+def test_sample_takes_labelled_rows_up_to_its_bounds(spark):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "int(doc_id < 3200) AS toxic")
+    got = op.training_rows(docs, labels, lambda c: c.isNotNull(), id_col="doc_id", text_col="text",
+                           max_toxic=op.MAX_TOXIC, max_ordinary=op.MAX_ORDINARY).groupBy("y").count().collect()
+    assert {r.y: r["count"] for r in got} == {1: 3000, 0: 5000}
