@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, exact_dedup, lm_score, mixing, near_dedup, quality, secret_scan, suffix_dedup, token_store, toxicity
+from tessera.llm import (decontaminate, exact_dedup, lm_score, mixing, near_dedup, piece_codec, quality, secret_scan,
+                         suffix_dedup, token_store, toxicity)
 
-MODULES = (exact_dedup, decontaminate, token_store, secret_scan, toxicity, quality, mixing, lm_score, suffix_dedup, near_dedup)
+MODULES = (exact_dedup, decontaminate, token_store, secret_scan, toxicity, quality, mixing, lm_score, suffix_dedup, near_dedup,
+           piece_codec)
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
