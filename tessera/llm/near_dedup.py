@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, stage, words
+from tessera.llm.common import kept, mix64, read, stage, words
 from tessera.llm.components import components
 
 SHINGLE = 5
@@ -36,21 +36,12 @@ MEMO_WORDS = 200_000
 #: Contents of a bucket that one task compares with as many others.
 BLOCK = 256
 _G = 0x9E3779B97F4A7C15
-_WORD_HASH: dict[bytes, int] = {}
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _word_hash(w: bytes) -> int:
-    h = _WORD_HASH.get(w)
-    if h is None:
-        h = xxhash.xxh3_64_intdigest(w)
-        if len(_WORD_HASH) < MEMO_WORDS:
-            _WORD_HASH[w] = h
+def _word_hash(memo: dict[bytes, int], w: bytes) -> int:
+    h = xxhash.xxh3_64_intdigest(w)
+    if len(memo) < MEMO_WORDS:
+        memo[w] = h
     return h
 
 
@@ -58,13 +49,14 @@ def shingles(w: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
     """(hashes, counts) of the shingles; a text of fewer words, but not none, is one shingle."""
     if not w:
         return np.zeros(0, np.uint64), np.zeros(0)
-    get = _WORD_HASH.get
-    h = np.fromiter((get(x) or _word_hash(x) for x in w), np.uint64, len(w))
+    memo = kept("word hashes", dict)
+    get = memo.get
+    h = np.fromiter((get(x) or _word_hash(memo, x) for x in w), np.uint64, len(w))
     k = min(size, len(w))
     out = np.full(len(w) - k + 1, k, np.uint64)
     for i in range(k):
         out = out * np.uint64(0xD6E8FEB86659FD93) + h[i:len(w) - k + 1 + i]
-    found, n = np.unique(_mix(out), return_counts=True)
+    found, n = np.unique(mix64(out), return_counts=True)
     return found, n.astype(float)
 
 
@@ -81,11 +73,11 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
         # Several arrivals at once when few processes are left.
         j = max(1, min(64, 20_000 // len(e)))
         i = np.arange(step + 1, step + j + 1, dtype=np.uint64) * np.uint64(_G)
-        r = _mix(e[:, None] + i[None, :])
+        r = mix64(e[:, None] + i[None, :])
         gap = -np.log(((r >> np.uint64(11)).astype(float) + 0.5) * 2.0 ** -53) / rate[:, None]
         t = x[:, None] + np.cumsum(gap, axis=1)
         # An independent value picks the register.
-        place = doc[:, None] * registers + (_mix(r + np.uint64(_G)) % np.uint64(registers)).astype(np.int64)
+        place = doc[:, None] * registers + (mix64(r + np.uint64(_G)) % np.uint64(registers)).astype(np.int64)
         flat, when = place.ravel(), t.ravel()
         early = when < first[flat]
         flat, when = flat[early], when[early]
@@ -101,9 +93,9 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
 def bands(signature: np.ndarray, n_bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """64-bit key of each band of each signature."""
     s = signature.reshape(len(signature), n_bands, rows)
-    key = np.broadcast_to(_mix(np.arange(1, n_bands + 1, dtype=np.uint64) * np.uint64(_G)), s.shape[:2]).copy()
+    key = np.broadcast_to(mix64(np.arange(1, n_bands + 1, dtype=np.uint64) * np.uint64(_G)), s.shape[:2]).copy()
     for i in range(rows):
-        key = _mix(key * np.uint64(0xD6E8FEB86659FD93) + s[:, :, i])
+        key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + s[:, :, i])
     return key.view(np.int64)
 
 
@@ -142,8 +134,8 @@ def _sign(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, held, kind = [], 0, [pa.int64()]
     for f in frames:
         kind[0] = f.column("doc_id").type
-        for doc_id, text in zip(f.column("doc_id").to_pylist(), f.column("text").to_pylist()):
-            w = words(text)
+        for doc_id, text in zip(f.column("doc_id").to_pylist(), f.column("text")):
+            w = words(text.as_py())
             s = shingles(w)
             rows.append((doc_id, _print(w), s))
             held += len(s[0]) + 50
@@ -159,10 +151,11 @@ def _verify(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last_text, last = None, None
     for f in frames:
         out = []
-        for a, b in zip(f.column("ta").to_pylist(), f.column("tb").to_pylist()):
+        for a, b in zip(f.column("ta"), f.column("tb")):  # a pair of texts at a time is taken out of the batch
+            a = a.as_py()
             if a != last_text:
                 last_text, last = a, shingles(words(a))
-            out.append(similarity(last, shingles(words(b))))
+            out.append(similarity(last, shingles(words(b.as_py()))))
         yield pa.RecordBatch.from_arrays([f.column("a"), f.column("b"), pa.array(out, pa.float64())], ["a", "b", "sim"])
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read
+from tessera.llm.common import kept, read
 
 SPACE = "▁"
 #: Segments whose ids a worker remembers, and the longest one it remembers.
@@ -189,15 +189,9 @@ class PieceCodec:
         return self.sp.decode(ids)
 
 
-_CODECS: dict[str, PieceCodec] = {}
-
-
 def codec(model_file: str) -> PieceCodec:
-    """The worker's codec of a model; a worker keeps one."""
-    if model_file not in _CODECS:
-        _CODECS.clear()
-        _CODECS[model_file] = PieceCodec(model_file)
-    return _CODECS[model_file]
+    """The worker's codec of a model; it outlives a task."""
+    return kept(("codec", model_file), lambda: PieceCodec(model_file))
 
 
 def encoded(docs: DataFrame, model_file: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

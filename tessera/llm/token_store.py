@@ -29,7 +29,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, stage
+from tessera.llm.common import kept, read, stage
 from tessera.session import scratch_path
 
 MAGIC = b"EFTOKEN1"
@@ -270,15 +270,9 @@ class Encoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
-
-
 def encoder(path: str, end_id: int) -> Encoder:
     """The worker's encoder; it outlives a task."""
-    key = (path, end_id)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, end_id)
-    return _ENCODERS[key]
+    return kept(("encoder", path, end_id), lambda: Encoder(path, end_id))
 
 
 def write_store(docs: DataFrame, root: str, tokenizer_path: str, end_id: int, *,

@@ -1,16 +1,20 @@
 """Toxicity scores from class-conditional Kneser-Ney models.
 
-Two models, one of toxic and one of ordinary text, give each word
+Two models, one of toxic and one of ordinary text, give each word after another one
 
-    P_c(w) = (max(n_c(w) - D, 0) + D * types_c * S_c(w)) / tokens_c
+    P_c(w | v) = max(n_c(v w) - D, 0) / n_c(v) + left_c(v) * P_c(w)
+    P_c(w)     = (max(n_c(w) - D, 0) + D * types_c * S_c(w)) / tokens_c
 
-where S_c spells the word with character 5-grams of the class, discounted and
-interpolated (Kneser-Ney) with orders 4 to 1, whose continuation counts both
-classes share. Rare and unseen expressions are thus judged by their spelling.
-A document's evidence is the log-likelihood ratio of its words, normalised by
-length: the mean over all words, over the words beyond two bounds, and over
-the most telling 3 and 10. A logistic curve, fitted on documents that the
-models did not learn from (two halves, crosswise), turns it into a score.
+where left_c(v) is the mass that the discount leaves, and S_c spells the word with
+character 5-grams of the class, discounted and interpolated (Kneser-Ney) with orders 4 to
+1, whose continuation counts both classes share. Rare and unseen expressions are thus
+judged by their spelling. A document's evidence is the log-likelihood ratio of its words,
+normalised by length: the mean over all words, over the words beyond two bounds, over the
+most telling 3 and 10, and what the word before adds to the most telling 3 and 10. A
+logistic curve, fitted on documents that the models did not learn from (two halves,
+crosswise), turns it into a score.
+
+Counts live in sorted arrays of 64-bit keys and are looked up for many words at once.
 """
 
 from __future__ import annotations
@@ -22,125 +26,229 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fold, read, stage, words
+from tessera.llm.common import fold, kept, mix64, read, stage, words
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Bounds of the sample of labelled rows that the models learn from, by class.
-MAX_TOXIC, MAX_ORDINARY = 3000, 5000
+#: Bounds of the sample of labelled rows that the models learn from, by class, and of its text.
+MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 3000, 5000, 256 << 20
+#: Word pairs that occur less often in the sample are judged by their words alone.
+MIN_PAIR = 2
 THRESHOLD = 0.3
-MEMO_WORDS = 100_000
+MEMO_WORDS = 200_000
+#: Words of documents that are judged at once.
+BATCH_WORDS = 200_000
 BOUNDS = (2.0, 4.0)
 TELLING = (3, 10)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+START, END = "\x02", "\x03"
+
+
+def word_keys(ws: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in ws), np.uint64, len(ws))
+
+
+def pair_keys(keys: np.ndarray) -> np.ndarray:
+    """Key of each word and the one before it, from the second word on."""
+    return mix64(keys[:-1] * _ODD + keys[1:])
+
+
+class Table:
+    """Numbers by 64-bit key; zeros for unknown keys."""
+
+    def __init__(self, keys: np.ndarray, *columns: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys = np.append(keys[order], np.uint64(2 ** 64 - 1))
+        self.columns = [np.append(c[order], 0).astype(float) for c in columns]
+
+    def __call__(self, keys: np.ndarray) -> list[np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[at] == keys
+        return [np.where(hit, c[at], 0.0) for c in self.columns]
+
+
+def _summed(keys: np.ndarray, *columns: np.ndarray) -> Table:
+    """Table of the sums by key."""
+    known, at = np.unique(keys, return_inverse=True)
+    return Table(known, *(np.bincount(at, c, len(known)) for c in columns))
+
+
+class Spelling:
+    """The characters of some words, padded, with keys of their n-grams."""
+
+    def __init__(self, ws: list[bytes], order: int):
+        text = [START * (order - 1) + w.decode("utf-8", "replace") + END for w in ws]
+        sizes = np.array([len(t) for t in text], np.int64)
+        ends = np.cumsum(sizes)
+        codes = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        pad = np.zeros(order, np.uint64)
+        codes = np.concatenate((codes + np.uint64(1), pad))
+        #: keys[n][i] stands for the n characters from place i on.
+        self.keys = [np.zeros(len(codes), np.uint64)]
+        for n in range(1, order + 1):
+            longer = self.keys[-1] * _ODD
+            longer[:len(codes) - n + 1] += codes[n - 1:]
+            self.keys.append(longer)
+        self.n_grams = sizes - order + 1
+        self.word = np.repeat(np.arange(len(ws)), self.n_grams)
+        first = np.repeat(ends - sizes, self.n_grams)
+        self.grams = first + np.arange(len(first)) - np.repeat(np.cumsum(self.n_grams) - self.n_grams, self.n_grams)
+
+    def key(self, n: int, at: np.ndarray) -> np.ndarray:
+        return mix64(self.keys[n][at] ^ np.uint64(n))
 
 
 class Model:
-    """Log-likelihood ratio (toxic over ordinary) of words, from word counts of both classes."""
-
-    def __init__(self, counts: tuple[dict[bytes, int], dict[bytes, int]], order: int = ORDER):
-        self.order, self.pad = order, "\x02" * (order - 1)
-        self.counts = counts
-        self.tokens = [sum(c.values()) for c in counts]
-        self.types = [len(c) for c in counts]
-        self.grams: tuple[Counter, Counter] = (Counter(), Counter())
-        for c, seen in enumerate(counts):
-            for w, n in seen.items():
-                for g in self._spell(w):
-                    self.grams[c][g] += n
-        self.after = []
-        for grams in self.grams:
-            total, kinds = Counter(), Counter()
-            for g, n in grams.items():
-                total[g[:-1]] += n
-                kinds[g[:-1]] += 1
-            self.after.append((total, kinds))
+    """Log-likelihood ratio (toxic over ordinary) of words in their order, from counts of both classes.
+
+    ``ws`` are words, ``n`` their counts (one row per class); ``pairs`` are word keys of the
+    first word, pair keys and counts by class of the word pairs that are told apart.
+    """
+
+    def __init__(self, ws: list[bytes], n: np.ndarray, pairs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
+                 order: int = ORDER):
+        self.order = order
+        n = np.asarray(n, float)
+        self.tokens, self.types = n.sum(1), (n > 0).sum(1)
+        known = word_keys(ws)
+        self.counts = Table(known, *n)
+        s = Spelling(ws, order)
+        weight = n[:, s.word]
+        _, first, at = np.unique(s.key(order, s.grams), return_index=True, return_inverse=True)
+        sums = np.stack([np.bincount(at, w, len(first)) for w in weight])
+        places = s.grams[first]
+        self.grams = Table(s.key(order, places), *sums)
+        context = s.key(order - 1, places)
+        self.after = _summed(context, *sums, *(sums > 0))
         # Continuation counts of the lower orders, pooled over both classes.
-        level = set(self.grams[0]) | set(self.grams[1])
         self.shared, self.shared_after = {}, {}
-        for n in range(order - 1, 0, -1):
-            cont = Counter(g[1:] for g in level)
-            total, kinds = Counter(), Counter()
-            for g, k in cont.items():
-                total[g[:-1]] += k
-                kinds[g[:-1]] += 1
-            self.shared[n], self.shared_after[n] = cont, (total, kinds)
-            level = set(cont)
-        self.floor = 1.0 / (len(self.shared[1]) + 1)
-        self.memo: dict[bytes, float] = {}
-        self.gram_memo: dict[str, tuple[float, float]] = {}
-
-    def _spell(self, w: bytes) -> list[str]:
-        s = self.pad + w.decode("utf-8", "replace") + "\x03"
-        return [s[i:i + self.order] for i in range(len(s) - self.order + 1)]
-
-    def _backoff(self, g: str) -> float:
-        p = self.floor
-        for n in range(1, len(g) + 1):
-            h = g[len(g) - n:]
-            total, kinds = self.shared_after[n]
-            if total[h[:-1]]:
-                p = (max(self.shared[n].get(h, 0) - DISCOUNT, 0) + DISCOUNT * kinds[h[:-1]] * p) / total[h[:-1]]
-        return p
-
-    def _log_gram(self, g: str) -> tuple[float, float]:
-        known = self.gram_memo.get(g)
-        if known is None:
-            low, out = self._backoff(g[1:]), []
-            for c in (0, 1):
-                total, kinds = self.after[c]
-                t = total.get(g[:-1], 0)
-                p = (max(self.grams[c].get(g, 0) - DISCOUNT, 0) + DISCOUNT * kinds[g[:-1]] * low) / t if t else low
-                out.append(math.log(p))
-            known = (out[0], out[1])
-            if len(self.gram_memo) < MEMO_WORDS:
-                self.gram_memo[g] = known
-        return known
-
-    def log_word(self, w: bytes, c: int) -> float:
-        """Log-probability of the word in class ``c`` (0 ordinary, 1 toxic)."""
-        spelled = math.log(DISCOUNT * self.types[c]) + sum(self._log_gram(g)[c] for g in self._spell(w))
-        n = self.counts[c].get(w, 0)
-        top = math.log(n - DISCOUNT) if n else spelled
-        both = np.logaddexp(top, spelled) if n else spelled
-        return float(both) - math.log(self.tokens[c])
-
-    def ratio(self, w: bytes) -> float:
-        known = self.memo.get(w)
-        if known is None:
-            known = self.log_word(w, 1) - self.log_word(w, 0)
-            if len(self.memo) < MEMO_WORDS:
-                self.memo[w] = known
-        return known
-
-    def evidence(self, text: str | None) -> list[float]:
-        """Length-normalised evidence of a whole text; zeros for a text without words."""
-        get, ratio, out = self.memo.get, self.ratio, []
-        for w in words(text):
-            r = get(w)
-            out.append(ratio(w) if r is None else r)
-        if not out:
-            return [0.0] * N_EVIDENCE
-        r = np.array(out)
-        top = np.sort(np.partition(r, -min(len(r), TELLING[-1]))[-TELLING[-1]:])[::-1]
-        return [float(r.mean()), *(float(r[r > b].sum() / len(r)) for b in BOUNDS),
-                *(float(top[:k].sum() / k) for k in TELLING), math.log1p(len(r))]
-
-
-N_EVIDENCE = 1 + len(BOUNDS) + len(TELLING) + 1
-_MODELS: dict[int, Model] = {}
-
-
-def _worker_model(shared) -> Model:
-    """The worker's model of a broadcast; only the latest one is kept."""
-    key = zlib.crc32(repr(shared.value[2]).encode())
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(shared.value[:2])
-    return _MODELS[key]
+        for k in range(order - 1, 0, -1):
+            places = places + 1
+            keys, first, n_before = np.unique(s.key(k, places), return_index=True, return_counts=True)
+            places = places[first]
+            self.shared[k] = Table(keys, n_before)
+            self.shared_after[k] = _summed(s.key(k - 1, places), n_before, np.ones(len(keys)))
+        self.floor = 1.0 / (len(self.shared[1].keys))
+        first_word, pair, by_class = pairs if pairs is not None else (np.zeros(0, np.uint64),) * 2 + (np.zeros((2, 0)),)
+        self.pairs = Table(pair, *by_class)
+        self.taken = _summed(first_word, *np.maximum(np.asarray(by_class, float) - DISCOUNT, 0))
+        self.memo: dict[bytes, int] = {}
+        self.memo_keys, self.memo_logs = np.zeros(0, np.uint64), np.zeros((0, 2))
+
+    def log_grams(self, s: Spelling, at: np.ndarray) -> np.ndarray:
+        """Log-probability by class of the last character of the grams at places ``at``, after the others."""
+        low = np.full(len(at), self.floor)
+        for k in range(1, self.order):
+            place = at + self.order - k
+            (total, kinds), (n,) = self.shared_after[k](s.key(k - 1, place)), self.shared[k](s.key(k, place))
+            low = np.where(total > 0, (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds * low) / np.maximum(total, 1), low)
+        n, context = self.grams(s.key(self.order, at)), self.after(s.key(self.order - 1, at))
+        out = []
+        for c in (0, 1):
+            total, kinds = context[c], context[2 + c]
+            out.append(np.log(np.where(total > 0, (np.maximum(n[c] - DISCOUNT, 0) + DISCOUNT * kinds * low)
+                                       / np.maximum(total, 1), low)))
+        return np.stack(out, 1)
+
+    def log_words(self, ws: list[bytes]) -> np.ndarray:
+        """Log-probability of each word by class (0 ordinary, 1 toxic)."""
+        s = Spelling(ws, self.order)
+        _, first, at = np.unique(s.key(self.order, s.grams), return_index=True, return_inverse=True)
+        grams = self.log_grams(s, s.grams[first])
+        spelled = np.log(DISCOUNT * self.types) + np.add.reduceat(grams[at], np.cumsum(s.n_grams) - s.n_grams, axis=0)
+        n = np.stack(self.counts(word_keys(ws)), 1)
+        with np.errstate(divide="ignore"):
+            return np.logaddexp(np.log(np.maximum(n - DISCOUNT, 0)), spelled) - np.log(self.tokens)
+
+    def _numbered(self, ws: list[bytes]) -> np.ndarray:
+        """Places of the words in the memo, which takes in those it lacks and starts anew when it is full."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.memo_keys, self.memo_logs = {}, np.zeros(0, np.uint64), np.zeros((0, 2))
+        new = [w for w in dict.fromkeys(ws) if w not in self.memo]
+        if new:
+            self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new))))
+            self.memo_keys = np.concatenate((self.memo_keys, word_keys(new)))
+            self.memo_logs = np.concatenate((self.memo_logs, self.log_words(new)))
+        return np.fromiter(map(self.memo.__getitem__, ws), np.int64, len(ws))
+
+    def ratios(self, ws: list[bytes], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratio of each word, and of each after the one before it; ``starts`` are places without one."""
+        at = self._numbered(ws)
+        keys, logs = self.memo_keys[at], self.memo_logs[at]
+        before = self.counts(keys[:-1])
+        n, taken = self.pairs(pair_keys(keys)), self.taken(keys[:-1])
+        out = []
+        for c in (0, 1):
+            total = np.maximum(before[c], 1)
+            left = np.maximum(1 - taken[c] / total, 1e-9)
+            after = np.log(np.maximum(n[c] - DISCOUNT, 0) / total + left * np.exp(logs[1:, c]))
+            after = np.where(before[c] > 0, after, logs[1:, c])
+            out.append(np.concatenate((logs[:1, c], after)))
+            out[c][starts] = logs[starts, c]
+        return logs[:, 1] - logs[:, 0], out[1] - out[0]
+
+    def evidence(self, texts: list[str | None]) -> np.ndarray:
+        """Length-normalised evidence of whole texts; zeros for a text without words."""
+        out = np.zeros((len(texts), N_EVIDENCE))
+        held: list[tuple[int, list[bytes]]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            w = words(text)
+            if w:
+                held.append((i, w))
+                size += len(w)
+            if held and (size >= BATCH_WORDS or i + 1 == len(texts)):
+                self._judge(held, out)
+                held, size = [], 0
+        if held:
+            self._judge(held, out)
+        return out
+
+    def _judge(self, held: list[tuple[int, list[bytes]]], out: np.ndarray) -> None:
+        ends = np.cumsum([len(w) for _, w in held])
+        starts = np.concatenate(([0], ends[:-1]))
+        alone, after = self.ratios([x for _, w in held for x in w], starts)
+        for (i, _), a, b in zip(held, starts, ends):
+            r = alone[a:b]
+            out[i] = (r.mean(), *(r[r > bound].sum() / len(r) for bound in BOUNDS), *_telling(r), math.log1p(len(r)),
+                      *_telling(after[a:b] - r))
+
+
+N_EVIDENCE = 2 + len(BOUNDS) + 2 * len(TELLING)
+
+
+def _telling(r: np.ndarray) -> list[float]:
+    """Sums of the greatest values, over their number; missing ones are zeros."""
+    top = np.sort(np.partition(r, -min(len(r), TELLING[-1]))[-TELLING[-1]:])[::-1]
+    return [float(top[:k].sum()) / k for k in TELLING]
+
+
+class Counts:
+    """Word and word-pair counts of a sample by class and half, in arrays; bounded by the sample."""
+
+    def __init__(self, ws: list[bytes], n: np.ndarray, first: np.ndarray, pair: np.ndarray, n_pair: np.ndarray):
+        # Words hold no spaces.
+        self.words, self.n, self.first, self.pair, self.n_pair = b" ".join(ws), n, first, pair, n_pair
+        self.print = zlib.crc32(n.tobytes(), zlib.crc32(self.words, zlib.crc32(n_pair.tobytes())))
+
+    def has(self, halves: tuple[int, ...]) -> bool:
+        """Whether both classes have words in these halves."""
+        return bool((self.n[:, halves].sum((1, 2)) > 0).all()) if self.n.size else False
+
+    def model(self, halves: tuple[int, ...]) -> Model:
+        ws, n, n_pair = self.words.split(b" ") if self.words else [], self.n[:, halves].sum(1), self.n_pair[:, halves].sum(1)
+        there, often = n.sum(0) > 0, n_pair.sum(0) >= MIN_PAIR
+        return Model([w for w, t in zip(ws, there) if t], n[:, there], (self.first[often], self.pair[often], n_pair[:, often]))
+
+
+def _worker_model(shared, halves: tuple[int, ...]) -> Model:
+    counts = shared.value
+    return kept(("toxicity", counts.print, halves), lambda: counts.model(halves))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,106 +265,125 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return mean, scale, w
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, keep, *, id_col: str, text_col: str,
-                  max_toxic: int, max_ordinary: int) -> DataFrame:
-    """Bounded sample of labelled documents: text, y, half, weight (rows of the class per sampled row)."""
+def training_rows(docs: DataFrame, labels: DataFrame, keep, *, id_col: str, text_col: str, max_toxic: int,
+                  max_ordinary: int, max_bytes: int = MAX_SAMPLE_BYTES) -> DataFrame:
+    """Bounded sample of labelled documents: text, y, half, weight (rows of the class per sampled row).
+
+    An id gives one row, with the greatest of its texts. Ids are taken in the order of a hash,
+    up to the bound of their class and as long as the texts of a class fill half of ``max_bytes``.
+    """
     marks = (labels.where(F.col("toxic").isin(0, 1) & keep(F.col(id_col)))
              .groupBy(F.col(id_col).alias("id")).agg(F.max("toxic").alias("y")))
     sizes = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = None
     for y, most in ((1, max_toxic), (0, max_ordinary)):
-        n = min(sizes.get(y, 0), most)
-        part = (marks.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
-                .withColumn("weight", F.lit(sizes.get(y, 0) / n if n else 1.0)))
+        part = marks.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
+    rows = stage(docs.sparkSession, docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+                 .join(F.broadcast(chosen), "id")  # at most max_toxic + max_ordinary rows
+                 .groupBy("id", "y").agg(F.max("text").alias("text")), "toxicity-found")
+    before = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")  # ids and sizes, within the same bound
+    within = (rows.select("id", "y", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+              .withColumn("filled", F.sum("size").over(before)).where(F.col("filled") <= max_bytes // 2)
+              .withColumn("taken", F.count(F.lit(1)).over(Window.partitionBy("y"))))
+    of_class = F.when(F.col("y") == 1, sizes.get(1, 0)).otherwise(sizes.get(0, 0))
     half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)).cast("int")
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(chosen), "id")  # at most max_toxic + max_ordinary rows
-            .select("text", "y", "weight", half.alias("half")))
+    return (rows.join(F.broadcast(within.select("id", "taken")), "id")
+            .select("text", "y", (of_class / F.col("taken")).cast("double").alias("weight"), half.alias("half")))
 
 
-def _counts(sample: DataFrame) -> dict[tuple[int, int], dict[bytes, int]]:
-    """Word counts by (class, half); bounded by the sample."""
+def _counts(sample: DataFrame) -> Counts:
+    """Counts of the whole sample. Each task adds up its own before anything moves."""
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[int, int], Counter] = defaultdict(Counter)
+        seen: dict[int, Counter] = defaultdict(Counter)
+        pairs: dict[int, list[np.ndarray]] = defaultdict(list)
         for f in frames:
             for text, y, half in zip(*(f.column(c).to_pylist() for c in ("text", "y", "half"))):
-                seen[y, half].update(words(text))
-        for (y, half), c in seen.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([y] * len(c), pa.int32()), pa.array([half] * len(c), pa.int32()),
-                 pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], ["y", "half", "word", "n"])
-
-    sums = (sample.select("text", "y", "half").mapInArrow(count, "y int, half int, word binary, n long")
-            .groupBy("y", "half", "word").agg(F.sum("n").alias("n")))
-    out: dict[tuple[int, int], dict[bytes, int]] = {(y, half): {} for y in (0, 1) for half in (0, 1)}
-    for batch in sums.toArrow().to_batches(max_chunksize=50_000):
-        for y, half, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-            out[y, half][word] = n
-    return out
+                w = words(text)
+                seen[2 * y + half].update(w)
+                if len(w) > 1:
+                    keys = word_keys(w)
+                    pairs[2 * y + half].append(np.stack((keys[:-1], pair_keys(keys))))
+        for k, c in seen.items():
+            yield _count_rows(k, pa.array(list(c), pa.binary()), None, np.fromiter(c.values(), np.int64, len(c)))
+        for k, parts in pairs.items():
+            both = np.concatenate(parts, axis=1)
+            key, at, n = np.unique(both[1], return_index=True, return_counts=True)
+            yield _count_rows(k, None, (both[0][at], key), n)
+
+    sums = (sample.select("text", "y", "half").mapInArrow(count, "part int, word binary, first long, pair long, n long")
+            .groupBy("word", "first", "pair")
+            .agg(*(F.coalesce(F.sum(F.when(F.col("part") == k, F.col("n"))), F.lit(0)).alias(f"n{k}") for k in range(4)))
+            .where(F.col("word").isNotNull() | (F.col("n0") + F.col("n1") + F.col("n2") + F.col("n3") >= MIN_PAIR)))
+    table = sums.orderBy("word", "pair").toArrow()
+    n = np.stack([table.column(f"n{k}").to_numpy() for k in range(4)]).reshape(2, 2, -1)
+    word = table.column("word").to_pylist()
+    is_word = np.array([w is not None for w in word], bool)
+    of = lambda c: table.column(c).filter(pa.array(~is_word)).to_numpy().astype(np.int64).view(np.uint64)
+    return Counts([w for w in word if w is not None], n[:, :, is_word], of("first"), of("pair"), n[:, :, ~is_word])
+
+
+def _count_rows(part: int, word: pa.Array | None, pair: tuple[np.ndarray, np.ndarray] | None, n: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(n), pa.int64())
+    first, key = (pa.array(k.view(np.int64)) for k in pair) if pair else (none, none)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(n), part), pa.int32()), pa.nulls(len(n), pa.binary()) if word is None else word, first, key,
+         pa.array(n, pa.int64())], ["part", "word", "first", "pair", "n"])
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, *, id_col: str = "doc_id",
-          text_col: str = "text", max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY):
-    """(broadcast word counts, logistic curve), or (None, share of toxic rows) if a class has no words."""
+          text_col: str = "text", max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY,
+          max_bytes: int = MAX_SAMPLE_BYTES):
+    """(broadcast counts, logistic curve), or (None, share of toxic rows) if a class has no words.
+
+    Null and repeated rows, labels and empty tables: as ``toxicity`` says.
+    """
     sample = stage(spark, training_rows(docs, labels, keep, id_col=id_col, text_col=text_col, max_toxic=max_toxic,
-                                        max_ordinary=max_ordinary).repartition(
+                                        max_ordinary=max_ordinary, max_bytes=max_bytes).repartition(
         int(spark.conf.get("spark.sql.shuffle.partitions"))), "toxicity-sample")
     counts = _counts(sample)
-
-    def of(halves: tuple[int, ...]):
-        out = []
-        for y in (0, 1):
-            c: Counter = Counter()
-            for half in halves:
-                c.update(counts[y, half])
-            out.append(dict(c))
-        return out
-
-    full = of((0, 1))
-    if not all(full):
+    if not counts.has((0, 1)):
         share = sample.agg(F.avg("y").alias("p")).first()["p"]
         return None, float(share or 0.0)
-    halves = [of((0,)), of((1,))]
-    if not all(c for h in halves for c in h):
-        halves = [full, full]  # too few labels to hold any back
-    size = [sum(len(c) for c in counts.values()), sum(sum(c.values()) for c in counts.values())]
+    shared = spark.sparkContext.broadcast(counts)
+    apart = counts.has((0,)) and counts.has((1,))  # else too few labels to hold any back
     # One half after the other: a worker never holds two models.
     rows: list[tuple] = []
     for h in (0, 1):
-        shared = spark.sparkContext.broadcast((*halves[1 - h], ("half", h, *size)))
+        learnt = (1 - h,) if apart else (0, 1)
 
-        def look(frames: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def look(frames: Iterator[pa.RecordBatch], learnt=learnt) -> Iterator[pa.RecordBatch]:
             for f in frames:
-                m = _worker_model(shared)
-                x = [m.evidence(t) for t in f.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), f.column("y"), f.column("weight")],
+                x = _worker_model(shared, learnt).evidence(f.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), f.column("y"), f.column("weight")],
                                                  ["x", "y", "weight"])
 
-        part = sample.where(F.col("half") == h).select("text", F.col("y").cast("int").alias("y"), F.col("weight").cast("double").alias("weight"))
+        part = sample.where(F.col("half") == h).select("text", F.col("y").cast("int").alias("y"), "weight")
         rows += [(r.y, tuple(r.x), r.weight) for r in part.mapInArrow(look, "x array<double>, y int, weight double").collect()]
-        shared.unpersist()
     rows.sort()  # bounded by the sample
     y, x, weight = (np.array(c, float) for c in zip(*rows))
-    curve = fit_logistic(x, y, weight)
-    return spark.sparkContext.broadcast((*full, ("full", *size))), curve
+    return shared, fit_logistic(x, y, weight)
 
 
-def score(docs: DataFrame, model, curve, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``score`` (0 to 1, higher: likelier toxic)."""
+def score(docs: DataFrame, model, curve, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score (0 to 1, higher: likelier toxic), which must have a name of its own.
+
+    Null and empty texts, and texts without words, get the score of no evidence; every row gets one.
+    """
+    if score_col in docs.columns:
+        raise ValueError(f"docs already has a column {score_col}")
     if model is None:
-        return docs.withColumn("score", F.lit(float(curve)))
+        return docs.withColumn(score_col, F.lit(float(curve)))
     mean, scale, coef = curve
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _worker_model(model)
         for f in frames:
-            x = np.array([m.evidence(t) for t in f.column(text_col).to_pylist()]).reshape(-1, N_EVIDENCE)
+            x = _worker_model(model, (0, 1)).evidence(f.column(text_col).to_pylist())
             z = np.c_[(x - mean) / scale, np.ones(len(x))] @ coef
             yield pa.RecordBatch.from_arrays(
-                [*f.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())], [*f.schema.names, "score"])
+                [*f.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())], [*f.schema.names, score_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep=None, *, id_col: str = "doc_id",
