@@ -41,8 +41,8 @@ MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 3000, 5000, 256 << 20
 MIN_PAIR = 2
 THRESHOLD = 0.3
 MEMO_WORDS = 200_000
-#: Words of documents that are judged at once.
-BATCH_WORDS = 200_000
+#: Words of documents that are judged at once, and words that are spelled at once.
+BATCH_WORDS, CHUNK_WORDS = 100_000, 10_000
 BOUNDS = (2.0, 4.0)
 TELLING = (3, 10)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -78,29 +78,28 @@ def _summed(keys: np.ndarray, *columns: np.ndarray) -> Table:
     return Table(known, *(np.bincount(at, c, len(known)) for c in columns))
 
 
-class Spelling:
-    """The characters of some words, padded, with keys of their n-grams."""
+def spell(ws: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Character codes of all n-grams of the padded words (one per row), and their number by word."""
+    text = [START * (order - 1) + w.decode("utf-8", "replace") + END for w in ws]
+    codes = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.array([len(t) for t in text], np.int64)
+    n_grams = sizes - order + 1
+    shift = np.repeat((order - 1) * np.arange(len(ws)), n_grams)
+    return np.lib.stride_tricks.sliding_window_view(codes, order)[np.arange(len(shift)) + shift], n_grams
 
-    def __init__(self, ws: list[bytes], order: int):
-        text = [START * (order - 1) + w.decode("utf-8", "replace") + END for w in ws]
-        sizes = np.array([len(t) for t in text], np.int64)
-        ends = np.cumsum(sizes)
-        codes = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        pad = np.zeros(order, np.uint64)
-        codes = np.concatenate((codes + np.uint64(1), pad))
-        #: keys[n][i] stands for the n characters from place i on.
-        self.keys = [np.zeros(len(codes), np.uint64)]
-        for n in range(1, order + 1):
-            longer = self.keys[-1] * _ODD
-            longer[:len(codes) - n + 1] += codes[n - 1:]
-            self.keys.append(longer)
-        self.n_grams = sizes - order + 1
-        self.word = np.repeat(np.arange(len(ws)), self.n_grams)
-        first = np.repeat(ends - sizes, self.n_grams)
-        self.grams = first + np.arange(len(first)) - np.repeat(np.cumsum(self.n_grams) - self.n_grams, self.n_grams)
 
-    def key(self, n: int, at: np.ndarray) -> np.ndarray:
-        return mix64(self.keys[n][at] ^ np.uint64(n))
+def gram_keys(grams: np.ndarray) -> np.ndarray:
+    """Key of each row of character codes, told apart by its length."""
+    key = np.full(len(grams), grams.shape[1], np.uint64)
+    for column in grams.T:
+        key = key * _ODD + (column.astype(np.uint64) + np.uint64(1))
+    return mix64(key)
+
+
+def _distinct(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and the sums of their numbers (one row of ``n`` per class)."""
+    _, first, at = np.unique(gram_keys(grams), return_index=True, return_inverse=True)
+    return grams[first], np.stack([np.bincount(at, x, len(first)) for x in n])
 
 
 class Model:
@@ -117,37 +116,34 @@ class Model:
         self.tokens, self.types = n.sum(1), (n > 0).sum(1)
         known = word_keys(ws)
         self.counts = Table(known, *n)
-        s = Spelling(ws, order)
-        weight = n[:, s.word]
-        _, first, at = np.unique(s.key(order, s.grams), return_index=True, return_inverse=True)
-        sums = np.stack([np.bincount(at, w, len(first)) for w in weight])
-        places = s.grams[first]
-        self.grams = Table(s.key(order, places), *sums)
-        context = s.key(order - 1, places)
-        self.after = _summed(context, *sums, *(sums > 0))
+        grams, sums = np.zeros((0, order), np.uint32), np.zeros((2, 0))
+        for i in range(0, len(ws), CHUNK_WORDS):
+            more, n_grams = spell(ws[i:i + CHUNK_WORDS], order)
+            more = _distinct(more, np.repeat(n[:, i:i + CHUNK_WORDS], n_grams, axis=1))
+            grams, sums = _distinct(np.concatenate((grams, more[0])), np.concatenate((sums, more[1]), axis=1))
+        self.grams = Table(gram_keys(grams), *sums)
+        self.after = _summed(gram_keys(grams[:, :-1]), *sums, *(sums > 0))
         # Continuation counts of the lower orders, pooled over both classes.
         self.shared, self.shared_after = {}, {}
         for k in range(order - 1, 0, -1):
-            places = places + 1
-            keys, first, n_before = np.unique(s.key(k, places), return_index=True, return_counts=True)
-            places = places[first]
-            self.shared[k] = Table(keys, n_before)
-            self.shared_after[k] = _summed(s.key(k - 1, places), n_before, np.ones(len(keys)))
-        self.floor = 1.0 / (len(self.shared[1].keys))
+            grams, (n_before,) = _distinct(grams[:, 1:], np.ones((1, len(grams))))
+            self.shared[k] = Table(gram_keys(grams), n_before)
+            self.shared_after[k] = _summed(gram_keys(grams[:, :-1]), n_before, np.ones(len(grams)))
+        self.floor = 1.0 / (len(grams) + 1)
         first_word, pair, by_class = pairs if pairs is not None else (np.zeros(0, np.uint64),) * 2 + (np.zeros((2, 0)),)
         self.pairs = Table(pair, *by_class)
         self.taken = _summed(first_word, *np.maximum(np.asarray(by_class, float) - DISCOUNT, 0))
         self.memo: dict[bytes, int] = {}
         self.memo_keys, self.memo_logs = np.zeros(0, np.uint64), np.zeros((0, 2))
 
-    def log_grams(self, s: Spelling, at: np.ndarray) -> np.ndarray:
-        """Log-probability by class of the last character of the grams at places ``at``, after the others."""
-        low = np.full(len(at), self.floor)
+    def log_grams(self, grams: np.ndarray) -> np.ndarray:
+        """Log-probability by class of the last character of each gram after its others."""
+        low = np.full(len(grams), self.floor)
         for k in range(1, self.order):
-            place = at + self.order - k
-            (total, kinds), (n,) = self.shared_after[k](s.key(k - 1, place)), self.shared[k](s.key(k, place))
+            end = grams[:, self.order - k:]
+            (total, kinds), (n,) = self.shared_after[k](gram_keys(end[:, :-1])), self.shared[k](gram_keys(end))
             low = np.where(total > 0, (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds * low) / np.maximum(total, 1), low)
-        n, context = self.grams(s.key(self.order, at)), self.after(s.key(self.order - 1, at))
+        n, context = self.grams(gram_keys(grams)), self.after(gram_keys(grams[:, :-1]))
         out = []
         for c in (0, 1):
             total, kinds = context[c], context[2 + c]
@@ -157,13 +153,17 @@ class Model:
 
     def log_words(self, ws: list[bytes]) -> np.ndarray:
         """Log-probability of each word by class (0 ordinary, 1 toxic)."""
-        s = Spelling(ws, self.order)
-        _, first, at = np.unique(s.key(self.order, s.grams), return_index=True, return_inverse=True)
-        grams = self.log_grams(s, s.grams[first])
-        spelled = np.log(DISCOUNT * self.types) + np.add.reduceat(grams[at], np.cumsum(s.n_grams) - s.n_grams, axis=0)
-        n = np.stack(self.counts(word_keys(ws)), 1)
-        with np.errstate(divide="ignore"):
-            return np.logaddexp(np.log(np.maximum(n - DISCOUNT, 0)), spelled) - np.log(self.tokens)
+        out = np.zeros((len(ws), 2))
+        for i in range(0, len(ws), CHUNK_WORDS):
+            part = ws[i:i + CHUNK_WORDS]
+            grams, n_grams = spell(part, self.order)
+            _, first, at = np.unique(gram_keys(grams), return_index=True, return_inverse=True)
+            logs = self.log_grams(grams[first])[at]
+            spelled = np.log(DISCOUNT * self.types) + np.add.reduceat(logs, np.cumsum(n_grams) - n_grams, axis=0)
+            n = np.stack(self.counts(word_keys(part)), 1)
+            with np.errstate(divide="ignore"):
+                out[i:i + CHUNK_WORDS] = np.logaddexp(np.log(np.maximum(n - DISCOUNT, 0)), spelled) - np.log(self.tokens)
+        return out
 
     def _numbered(self, ws: list[bytes]) -> np.ndarray:
         """Places of the words in the memo, which takes in those it lacks and starts anew when it is full."""

@@ -59,7 +59,9 @@ class Plain:
         return (max(seen.get(w, 0) - self.d, 0) + self.d * len(seen) * spelled) / sum(seen.values())
 
 
-def test_words_equal_the_plain_formulas():
+@pytest.mark.parametrize("chunk", [2, 1000])
+def test_words_equal_the_plain_formulas(monkeypatch, chunk):
+    monkeypatch.setattr(op, "CHUNK_WORDS", chunk)
     m, plain = make(ORDINARY, TOXIC), Plain(ORDINARY, TOXIC)
     ws = [*ORDINARY, *TOXIC, b"zabz", b"abcd", b"qqq", "\u4e2d\u00e9".encode(), b"\xff\xfe"]
     assert np.allclose(m.log_words(ws), [[math.log(plain.word(w, c)) for c in (0, 1)] for w in ws], rtol=1e-12)
@@ -69,9 +71,9 @@ def test_spelling_models_are_distributions():
     m = make(ORDINARY, TOXIC)
     alphabet = sorted({g[-1] for c in Plain(ORDINARY, TOXIC).grams for g in c}) + ["\x7f"]  # and one unseen character
     for h in ("zzab", "\u00e9t\u00e9a", "qqqq"):
-        s = op.Spelling([(h + x).encode() for x in alphabet], 5)
-        ends = np.cumsum(s.n_grams) - 2  # the gram that ends with x
-        assert np.allclose(np.exp(m.log_grams(s, s.grams[ends])).sum(0), 1.0)
+        grams, n_grams = op.spell([(h + x).encode() for x in alphabet], 5)
+        ends = np.cumsum(n_grams) - 2  # the gram that ends with x
+        assert np.allclose(np.exp(m.log_grams(grams[ends])).sum(0), 1.0)
     ratio = lambda w: np.diff(m.log_words([w])[0])[0]
     assert ratio(b"zab") > 1 > -1 > ratio(b"ca") and ratio(b"zabz") > 0 > ratio(b"cac")
 
