@@ -218,6 +218,9 @@ def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict[s
     """
     targets = targets or TARGETS
     domains = sorted(targets)
+    taken = {"n_tokens", "rate", *(f"p_{i}" for i in range(len(domains)))} & {c.lower() for c in docs.columns}
+    if taken:
+        raise ValueError(f"docs already has columns {sorted(taken)}")
     model = train(docs, labels, domains, id_col=id_col, text_col=text_col, domain_col=domain_col)
     shared = spark.sparkContext.broadcast(model)
     members = memberships(docs, shared, len(domains), text_col)

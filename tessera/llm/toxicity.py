@@ -315,12 +315,14 @@ def _counts(sample: DataFrame) -> Counts:
             .groupBy("word", "first", "pair")
             .agg(*(F.coalesce(F.sum(F.when(F.col("part") == k, F.col("n"))), F.lit(0)).alias(f"n{k}") for k in range(4)))
             .where(F.col("word").isNotNull() | (F.col("n0") + F.col("n1") + F.col("n2") + F.col("n3") >= MIN_PAIR)))
-    table = sums.orderBy("word", "pair").toArrow()
-    n = np.stack([table.column(f"n{k}").to_numpy() for k in range(4)]).reshape(2, 2, -1)
-    word = table.column("word").to_pylist()
-    is_word = np.array([w is not None for w in word], bool)
-    of = lambda c: table.column(c).filter(pa.array(~is_word)).to_numpy().astype(np.int64).view(np.uint64)
-    return Counts([w for w in word if w is not None], n[:, :, is_word], of("first"), of("pair"), n[:, :, ~is_word])
+    numbers = [F.col(f"n{k}").cast("int").alias(f"n{k}") for k in range(4)]
+    sums = stage(sample.sparkSession, sums, "toxicity-counts")
+    of = lambda t: np.stack([t.column(f"n{k}").to_numpy() for k in range(4)]).reshape(2, 2, -1)
+    # In a fixed order, so that every worker and every run builds the same model.
+    word = sums.where("word IS NOT NULL").select("word", *numbers).orderBy("word").toArrow()
+    pair = sums.where("word IS NULL").select("first", "pair", *numbers).orderBy("pair").toArrow()
+    keys = [pair.column(c).to_numpy().view(np.uint64) for c in ("first", "pair")]
+    return Counts(word.column("word").to_pylist(), of(word), *keys, of(pair))
 
 
 def _count_rows(part: int, word: pa.Array | None, pair: tuple[np.ndarray, np.ndarray] | None, n: np.ndarray) -> pa.RecordBatch:

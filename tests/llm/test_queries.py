@@ -66,3 +66,16 @@ def test_pipeline_with_awkward_rows(spark):
             rows = step(spark, rows, SF_SMALL)
         assert rows.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
         rows.collect()
+
+
+def test_pipeline_with_clashing_columns(spark):
+    """Columns named like the operators' own keep their values through every stage."""
+    names = "score copy rate print n_tokens p_0 row logit t keep_id keep_print n shard".split()
+    docs = read(spark, SF_SMALL, "documents")
+    plain, wide = docs, docs.selectExpr("*", *(f"concat('{n}', doc_id) AS {n}" for n in names))
+    for name, step in corpus_pipeline.STAGES:
+        plain, wide = step(spark, plain, SF_SMALL), step(spark, wide, SF_SMALL)
+        if name != "token_store":
+            assert wide.columns == [*docs.columns, *names]
+            assert wide.where(" OR ".join(f"{n} != concat('{n}', doc_id)" for n in names)).count() == 0
+        assert sorted(map(str, wide.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
