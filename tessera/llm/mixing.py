@@ -32,6 +32,7 @@ from tessera.llm.common import read, stage, words
 #: Bounds of the classifier's sample and vocabulary.
 MAX_LABELLED, MAX_WORDS = 4000, 3000
 STEPS, TOLERANCE = 40, 1e-7
+FIT_ROWS = 512
 #: Doublings of the total that are tried where the closed form asks for more than one.
 DOUBLINGS = 3
 TARGETS = {"de": 0.18, "en": 0.50, "es": 0.14, "fr": 0.18}
@@ -62,15 +63,19 @@ class Classifier:
 def _fit(x: np.ndarray, y: np.ndarray, k: int, ridge: float = 1e-3, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """Softmax regression by accelerated gradient descent; rows of ``x`` have length one."""
     n = len(x)
-    hot = np.eye(k)[y]
     w = np.zeros((x.shape[1] + 1, k))
-    x1 = np.c_[x, np.ones(n)]
     look, t = w, 1.0
     for _ in range(rounds):
-        z = x1 @ look
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        new = look - 1.0 * (x1.T @ (p - hot) / n + ridge * look)
+        slope = ridge * look
+        for i in range(0, n, FIT_ROWS):  # so that only some rows are doubles at a time
+            part, own = x[i:i + FIT_ROWS].astype(float), y[i:i + FIT_ROWS]
+            z = part @ look[:-1] + look[-1]
+            p = np.exp(z - z.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            p[np.arange(len(own)), own] -= 1
+            slope[:-1] += part.T @ p / n
+            slope[-1] += p.sum(0) / n
+        new = look - slope
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     return w[:-1], w[-1]
@@ -82,7 +87,8 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], *, id_col: str
     ids = labels.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(domain_col).cast("string").alias("domain"))
-            .where(F.col("domain").isin(domains)).join(F.broadcast(chosen), "id"))  # at most max_labelled ids
+            .where(F.col("domain").isin(domains)).join(F.broadcast(chosen), "id")  # at most max_labelled ids
+            .groupBy("id").agg(F.max(F.struct("text", "domain")).alias("d")).select("id", "d.*"))  # an id counts once
 
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for f in frames:
@@ -97,19 +103,18 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], *, id_col: str
     vocabulary = [bytes(r.w) for r in counted.select(F.explode("c").alias("e")).groupBy(F.col("e.w").alias("w"))
                   .agg(F.sum("e.n").alias("n")).orderBy(F.desc("n"), "w").limit(max_words).collect()]
     known = Classifier(vocabulary, np.zeros((len(vocabulary), len(domains))), np.zeros(len(domains)))
-    xs, ys = [], []
-    for r in counted.orderBy("id").toLocalIterator():
-        v = np.zeros(len(vocabulary))
+    x, ys = np.zeros((counted.count(), len(vocabulary)), np.float32), []
+    for v, r in zip(x, counted.orderBy("id").toLocalIterator()):
         for e in r.c:
             i = known.code.get(bytes(e.w))
             if i is not None:
                 v[i] = e.n
         size = np.linalg.norm(v)
-        xs.append((v / size if size else v).astype(np.float32))
+        v /= size or 1
         ys.append(domains.index(r.domain))
-    if not xs:
+    if not ys:
         return known
-    return Classifier(vocabulary, *_fit(np.array(xs), np.array(ys), len(domains)))
+    return Classifier(vocabulary, *_fit(x, np.array(ys), len(domains)))
 
 
 def memberships(docs: DataFrame, shared, k: int, text_col: str = "text") -> DataFrame:
