@@ -46,15 +46,19 @@ def main(argv=None) -> None:
     if args.cmd == "run":
         from tessera.plans.batch import run_batch
         from tessera.sources import exports, standins
+        bad = None
         if args.tables:
             ev = standins.read_table(spark, args.tables, "events")
             sources = standins.studies(ev), standins.images(ev), standins.patients(ev)
         elif args.ris and args.pacs and args.epr:
             sources = (exports.read_ris_csv(spark, args.ris), exports.read_pacs_csv(spark, args.pacs),
                        exports.read_epr_csv(spark, args.epr))
+            for path in (args.ris, args.pacs, args.epr):
+                found = exports.csv_bad_records(spark, path).select("record")
+                bad = found if bad is None else bad.unionByName(found)
         else:
             ap.error("give --ris, --pacs and --epr, or --tables")
-        out = run_batch(spark, *sources, args.root, run_ts=args.run_ts)
+        out = run_batch(spark, *sources, args.root, run_ts=args.run_ts, bad_records=bad)
         print(json.dumps(out, default=str, indent=1))
     else:
         from tessera.operators.warehouse import Warehouse

@@ -119,6 +119,7 @@ KPI_CARDS = (
 # Error rule of this engine (not a source rule): rows the extract drops for a
 # missing or unparseable start time (H3).
 EXTRA_RULE_DESCRIPTIONS = MappingProxyType({
+    "S1": "Record with more or fewer fields than the export's header",
     "E1": "Missing or unparseable exam start (dropped by extract)",
 })
 

@@ -179,6 +179,23 @@ def error_table(reject_rows: DataFrame, run_id: str, cfg: JobConfig = C.DEFAULT)
     )
 
 
+def source_errors(rows: DataFrame, rule: str, cfg: JobConfig = C.DEFAULT, key: Column | None = None) -> DataFrame:
+    """Error_Table rows for rows that no run loads (E1, S1), named by their content.
+
+    Every run of the same export finds them again, under the same ids, so the table takes
+    them once; rows of equal content are one entry. The content (all columns but the
+    position) enters as a hash only.
+    """
+    content = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in rows.columns if c != cfg.order_col]
+    return rows.select(
+        F.concat(F.lit(f"{rule}-"), F.sha2(F.concat_ws("\x1f", *content), 256)).alias("error_id"),
+        (F.lit(None).cast("string") if key is None else key).alias("study_id"),
+        F.lit(rule).alias("error_rule"),
+        F.lit(C.EXTRA_RULE_DESCRIPTIONS[rule]).alias("error_detail"),
+        F.lit(cfg.run_ts).cast("timestamp_ntz").alias("captured_at"),
+    ).dropDuplicates(["error_id"])
+
+
 def referential_integrity(pacs: DataFrame, valid: DataFrame, cfg: JobConfig = C.DEFAULT,
                           how: str = "left_semi") -> DataFrame:
     """Image rows whose study key is (semi) / is not (anti) among the

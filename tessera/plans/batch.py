@@ -76,8 +76,11 @@ def load_batch(spark: SparkSession, valid: DataFrame, wh: warehouse.Warehouse, r
 
 def run_batch(spark: SparkSession, studies: DataFrame, images: DataFrame, patients: DataFrame,
               root: str, cfg: JobConfig = C.DEFAULT, run_ts: str | None = None,
-              run_id: str | None = None) -> dict:
-    """Run the job once over the given sources; returns the run summary."""
+              run_id: str | None = None, bad_records: DataFrame | None = None) -> dict:
+    """Run the job once over the given sources; returns the run summary.
+
+    ``bad_records`` are records of the exports that do not fit their header
+    (``sources.exports.csv_bad_records``)."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_ts = run_ts or now.strftime("%Y-%m-%d %H:%M:%S")
     run_id = run_id or "RUN_" + dt.datetime.fromisoformat(run_ts).strftime("%Y%m%d_%H%M%S")
@@ -115,9 +118,12 @@ def run_batch(spark: SparkSession, studies: DataFrame, images: DataFrame, patien
             epr.write.mode("overwrite").parquet(f"{stage_dir}/validated_epr")
             rejects = stage_output(quality.rejects(flagged, list(studies.columns), cfg), f"{stage_dir}/rejects")
             wh.append_errors(quality.error_table(rejects, run_id, cfg))
-            # H3: rows the extract dropped for a missing or unparseable start
-            bad_start = extract.unparseable_starts(studies, cfg.start_col, cfg)
-            wh.append_errors(quality.error_table(bad_start, run_id, cfg))
+            # H3: rows the extract dropped for a missing or unparseable start, and records
+            # that no row could be made of; an export that is read again adds none.
+            bad_start = extract.unparseable_starts(studies, cfg.start_col, cfg).select(*studies.columns)
+            wh.append_errors(quality.source_errors(bad_start, "E1", cfg, F.col(cfg.key_col)))
+            if bad_records is not None:
+                wh.append_errors(quality.source_errors(bad_records, "S1", cfg))
             report = quality.quality_report(flagged, quality.pacs_flagged(pacs, valid, cfg))
             report.write.mode("overwrite").parquet(f"{stage_dir}/quality_report")
         with steps.step("transform_load"):

@@ -250,10 +250,51 @@ def q_validated_from_csv(spark, d):
 
 def _write_csv(df: DataFrame, path: str) -> None:
     (df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-     .write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
+def q_validated_from_reordered_csv(spark, d):
+    """The studies exported with their columns in another order, beside a column of
+    notes with commas, quotes and line ends, read back by header name and validated."""
+    from tessera.session import scratch_path
+    from tessera.sources import exports
+    path = scratch_path(spark, "ris_csv")
+    rows = _job(spark, d).studies.repartitionByRange("row_ix").sortWithinPartitions("row_ix")
+    note = F.concat(F.lit('seen, "as\nsent" '), F.col("row_ix").cast("string")).alias("note")
+    half = len(exports.RIS_COLUMNS) // 2
+    _write_csv(rows.select(*exports.RIS_COLUMNS[:half:-1], note, *exports.RIS_COLUMNS[half::-1]), path)
+    typed = exports.type_ris(exports.read_ris_csv(spark, path))
+    return _job(spark, d, studies=typed).valid.drop("row_ix")
+
+
+# Lines of an export of three columns: too short, too long, a quoted line end, plain.
+RAGGED_HEADER = "study_id,patient_id,note"
+RAGGED_LINE = ("CASE event_id % 50 WHEN 3 THEN concat(sid, ',', pid) WHEN 4 THEN concat(sid, ',', pid, ',x,y') "
+               "WHEN 5 THEN concat(sid, ',', pid, ',\"a', chr(10), '\"\"b\"\",c\"') "
+               "ELSE concat(sid, ',', pid, ',n', cast(event_id AS varchar(20))) END")
+
+
+def q_csv_bad_records(spark, d):
+    """An export with ragged records and quoted line ends: its rows, and the records
+    that do not fit the header."""
+    from tessera.session import scratch_path
+    from tessera.sources import exports
+    path = scratch_path(spark, "ragged_csv")
+    ids = _job(spark, d).studies.selectExpr("row_ix AS event_id", "coalesce(study_id, '') AS sid", "coalesce(patient_id, '') AS pid")
+    # One column under the whole header, line by line and without quoting: the text as it is.
+    lines = ids.selectExpr(f"explode(split({RAGGED_LINE}, chr(10))) AS `{RAGGED_HEADER}`")
+    (lines.write.option("header", True).option("sep", "\x01").option("quote", "\x02").option("escapeQuotes", False)
+     .option("quoteAll", False).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    none = F.lit(None).cast("string")
+    good = exports.read_csv_export(spark, path, RAGGED_HEADER.split(","))
+    bad = exports.csv_bad_records(spark, path)
+    return (good.select(F.lit("row").alias("kind"), "study_id", "patient_id", "note")
+            .unionByName(bad.select(F.lit("bad").alias("kind"), F.col("record").alias("study_id"), none.alias("patient_id"),
+                                    F.col("record_sha256").alias("note"))))
+
+
 def q_pacs_from_csv(spark, d):
     """S1 + F15: the image export as text, typed and extracted."""
     from tessera.session import scratch_path
@@ -300,6 +341,19 @@ def q_error_table_two_runs(spark, d):
     return wh.table("error_table")
 
 
+def q_source_errors_three_runs(spark, d):
+    """V-ERR, K3: rows without a start in an export that three runs read; each is logged once."""
+    from tessera.session import scratch_path
+    wh = warehouse.Warehouse(spark, scratch_path(spark, "errors"))
+    wh.initialise()
+    studies = _job(spark, d).studies
+    broken = studies.withColumn("exam_start_dt", F.expr("CASE WHEN row_ix % 100 = 1 THEN NULL ELSE exam_start_dt END"))
+    for _ in range(3):
+        bad = extract.unparseable_starts(broken, "exam_start_dt").select(*broken.columns)
+        wh.append_errors(quality.source_errors(bad, "E1", key=F.col("study_id")))
+    return wh.table("error_table").select("study_id", "error_rule", "error_detail", "captured_at")
+
+
 # ---------------------------------------------------------------- star schema
 def q_surrogate_key(spark, d):
     j = _job(spark, d)
@@ -607,6 +661,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v07_pseudonym": q_v07_pseudonym,
     "validated": q_validated,
     "validated_from_csv": q_validated_from_csv,
+    "validated_from_reordered_csv": q_validated_from_reordered_csv,
+    "csv_bad_records": q_csv_bad_records,
+    "source_errors_three_runs": q_source_errors_three_runs,
     "quality_report": q_quality_report,
     "quality_samples": q_quality_samples,
     "error_records": q_error_records,

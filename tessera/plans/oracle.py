@@ -262,6 +262,17 @@ def oracle_sql() -> dict[str, str]:
     out["v07_pseudonym"] = sql(R, "SELECT row_ix, study_id, patient_id_pseudo FROM valid")
     out["validated"] = sql(R, "SELECT * FROM valid")
     out["validated_from_csv"] = sql(R, "SELECT * EXCLUDE (row_ix) FROM valid")
+    out["validated_from_reordered_csv"] = out["validated_from_csv"]
+    ids = ("SELECT row_ix AS event_id, coalesce(study_id, '') AS sid, coalesce(patient_id, '') AS pid FROM studies")
+    out["csv_bad_records"] = sql(base_ctes() + [f"l AS (SELECT *, {Q.RAGGED_LINE} AS line FROM ({ids}) s)"], (
+        "SELECT 'row' AS kind, nullif(sid, '') AS study_id, nullif(pid, '') AS patient_id, "
+        "CASE event_id % 50 WHEN 5 THEN concat('a', chr(10), '\"b\",c') ELSE concat('n', event_id) END AS note "
+        "FROM l WHERE event_id % 50 NOT IN (3, 4) "
+        "UNION ALL SELECT 'bad', line, NULL, sha256(line) FROM l WHERE event_id % 50 IN (3, 4)"))
+    out["source_errors_three_runs"] = sql(base_ctes(), (
+        f"SELECT DISTINCT ON (study_id, patient_id, exam_end_dt, report_issued_dt, modality_raw, radiologist_id, site_code, "
+        f"priority, referral_source) study_id, 'E1' AS error_rule, {_q(C.EXTRA_RULE_DESCRIPTIONS['E1'])} AS error_detail, "
+        f"{_ts(C.DEFAULT_RUN_TS)} AS captured_at FROM studies WHERE row_ix % 100 = 1"))
     out["pacs_from_csv"] = out["extract_pacs"]
     out["epr_from_csv"] = sql(base_ctes(), (
         f"SELECT study_id, {_sha('patient_id')} AS patient_id_pseudo, CAST(date_of_birth AS DATE) AS date_of_birth, gender, "

@@ -12,28 +12,70 @@ from tessera.functions import exprs as X
 from tessera.schemas import EPR_COLUMNS, PACS_COLUMNS, RIS_COLUMNS
 
 
+CORRUPT, FITS = "_corrupt_record", "_fits"
+CSV_OPTIONS = {
+    "header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+    # a quoted field may hold line ends and doubled quotes
+    "multiLine": True, "quote": '"', "escape": '"',
+    # text is kept as written: " CT " is not "CT" for the vocabulary
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    # every file's header must be the one the columns were taken from, and all fields of
+    # a record are counted whatever columns a query needs
+    "enforceSchema": False, "columnPruning": False,
+}
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str], position: str | None = None) -> DataFrame:
-    """Header CSV, all columns text, pandas-style null tokens made null.
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of an export; reads the first record only."""
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).csv(path).columns
+
+
+def read_records(spark: SparkSession, path: str, position: str) -> DataFrame:
+    """Every record of a CSV export with the columns of its header, its position, ``_fits``
+    (whether it has as many fields as the header) and ``_corrupt_record`` (its text if not).
 
-    ``position`` names a column for the row's place in the source: file, start of
-    the file's split, and a number that grows within the split. It is unique over
-    the file set and sorts in source order.
+    Fields belong to columns by header name; a file of the set with another header is an
+    error. Records end at line ends outside quotes, so one file is read by one task; a line
+    end inside quotes is read as a line feed. The position (file, start of the file's split, number within it) is unique over the set and
+    sorts in source order.
+    """
+    names = csv_header(spark, path)
+    taken = {n.lower() for n in names} & {CORRUPT, FITS, position.lower()}
+    if taken:
+        raise ValueError(f"{path}: columns {sorted(taken)} clash with the reader's own")
+    df = spark.read.schema(text_schema([*names, CORRUPT])).options(**CSV_OPTIONS).csv(path)
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                  F.monotonically_increasing_id().alias("n"))
+    # Spark refuses plans that read no column but the record's text, hence the second term.
+    ragged = F.coalesce(F.octet_length(CORRUPT), F.octet_length(F.col(names[0])) * 0 - 1, F.lit(-1)) >= 0
+    return df.select(at.alias(position), (~ragged).alias(FITS), *df.columns)
+
+
+def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str], position: str | None = None) -> DataFrame:
+    """The named columns of an export as text, in the given order, pandas-style null
+    tokens made null. ``position`` names a column for the row's place in its source.
 
-    An explicit schema avoids inference (one pass, no sampling job); the files
-    split across tasks by ``spark.sql.files.maxPartitionBytes``.
+    Columns are found by header name, whatever their order; further columns of the export
+    are passed over, a missing one is an error. Records with more or fewer fields than the
+    header are left out here and returned by :func:`csv_bad_records`.
     """
-    df = (spark.read.schema(text_schema(columns))
-          .option("header", True).option("mode", "PERMISSIVE")
-          # text is kept as written: " CT " is not "CT" for the vocabulary
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("multiLine", False).csv(path))
-    at = [F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                   F.monotonically_increasing_id().alias("n")).alias(position)] if position else []
-    return df.select(*at, *[X.null_tokens_to_null(c).alias(c) for c in columns])
+    at = position or "_position"
+    df = read_records(spark, path, at)
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    return df.where(FITS).select(*([at] if position else []), *[X.null_tokens_to_null(c).alias(c) for c in columns])
+
+
+def csv_bad_records(spark: SparkSession, path: str, position: str = "row_ix") -> DataFrame:
+    """Records that do not fit the header: position, record_sha256, record (the raw text,
+    which may hold raw ids: not for a sink that outlives the run)."""
+    df = read_records(spark, path, position).where(~F.col(FITS))
+    return df.select(position, F.sha2(F.col(CORRUPT), 256).alias("record_sha256"), F.col(CORRUPT).alias("record"))
 
 
 def type_ris(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ may keep the other one.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,11 +52,12 @@ def start_incremental_load(spark: SparkSession, source_dir: str, schema, warehou
     """``run_ts`` pins every batch's load time; otherwise it is the time of the batch."""
     wh = warehouse.Warehouse(spark, warehouse_root)
     wh.initialise()
-    # One stream per checkpoint folder: its epochs never repeat another stream's run ids.
-    stream_id = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        run_id = f"STREAM_{stream_id}_{epoch_id:08d}"
+        # The id that the checkpoint keeps for its query: a folder made anew starts again at
+        # epoch 0, but under another id, so no run id ever repeats.
+        query = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        run_id = f"STREAM_{query.replace('-', '')[:12]}_{epoch_id:08d}"
         now = run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         of_run = replace(cfg, run_ts=now)
         flagged = stage_output(quality.masked(quality.flag_rules(batch, of_run), of_run),

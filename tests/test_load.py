@@ -115,6 +115,35 @@ def test_unparseable_starts_reach_error_table(spark, scratch):
     e1 = errs.where(F.col("error_rule") == "E1")
     assert e1.count() == broken.where(F.col("exam_start_dt").isNull()).count() > 0
     assert e1.where(F.col("error_detail").isNull()).count() == 0
+    # The same export again, beside a record that fits no header: no row is logged twice.
+    bad = spark.createDataFrame([("a,b",), ("a,b",), ("c",)], "record string")
+    for day in (2, 3):
+        run_batch(spark, broken, standins.images(ev), standins.patients(ev), scratch,
+                  run_ts=f"2024-02-0{day} 05:00:00", bad_records=bad)
+    assert wh_errors(spark, scratch) == {"E1": broken.where(F.col("exam_start_dt").isNull()).count(), "S1": 2}
+
+
+def wh_errors(spark, scratch):
+    errs = warehouse.Warehouse(spark, f"{scratch}/warehouse").table("error_table")
+    return {r.error_rule: r["count"] for r in errs.where("error_rule IN ('E1', 'S1')").groupBy("error_rule").count().collect()}
+
+
+def test_stream_with_a_checkpoint_made_anew_logs_under_new_ids(spark, scratch):
+    from tessera.streaming.incremental import start_incremental_load
+    studies = standins.studies(standins.read_table(spark, SF_SMALL, "events"))
+    for day, part in enumerate((studies.where("row_ix < 300"), studies.where("row_ix >= 300"))):
+        part.coalesce(1).write.parquet(f"{scratch}/inbox{day}")
+        # the first checkpoint folder is gone on the second day: the same path, a new query
+        start_incremental_load(spark, f"{scratch}/inbox{day}", part.schema, f"{scratch}/wh",
+                               f"{scratch}/checkpoint").awaitTermination()
+        if day == 0:
+            import os
+            os.rename(f"{scratch}/checkpoint", f"{scratch}/checkpoint-old")
+    wh = warehouse.Warehouse(spark, f"{scratch}/wh")
+    loads = wh.table("audit_log").where("pipeline_step = 'LOAD'")
+    assert loads.count() == loads.select("log_id").distinct().count() == 2
+    want = catalog.q_error_table(spark, SF_SMALL)
+    assert wh.table("error_table").count() >= want.where("error_rule = 'V01'").count() > 0
 
 
 def test_stream_dedupe_within_watermark(spark, scratch):

@@ -92,3 +92,54 @@ def test_watermark_state(spark, scratch):
     st.save(marks, "RUN_1")
     cur = st.current()
     assert cur["ris"] == "2024-01-30 01:02:03.000456" and cur["pacs"] == "1900-01-01 00:00:00"
+
+
+def _write(scratch, name, text):
+    import os
+    os.makedirs(f"{scratch}/{name}", exist_ok=True)
+    path = f"{scratch}/{name}/export.csv"
+    with open(path, "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_csv_columns_go_by_header_name(spark, scratch):
+    path = _write(scratch, "a", 'extra,b,a\r\nx,"two, ""2""\r\nlines",1\r\n\r\n,,NA\r\ny,  z ,3\r\n')
+    got = exports.read_csv_export(spark, path, ["a", "b"], "at")
+    assert [tuple(r) for r in got.orderBy("at").select("a", "b").collect()] == [
+        ("1", 'two, "2"\nlines'), (None, None), ("3", "  z ")]
+    assert got.columns == ["at", "a", "b"]
+    import pandas as pd
+    want = pd.read_csv(path, dtype=str)[["a", "b"]]
+    assert [tuple(None if pd.isna(v) else v.replace("\r\n", "\n") for v in r) for r in want.itertuples(index=False)] == [
+        tuple(None if v is None else v.replace("\r\n", "\n") for v in r) for r in got.orderBy("at").select("a", "b").collect()]
+
+
+def test_csv_missing_column_is_an_error(spark, scratch):
+    import pytest
+    path = _write(scratch, "m", "a,b\n1,2\n")
+    with pytest.raises(ValueError, match="lacks"):
+        exports.read_csv_export(spark, path, ["a", "c"])
+
+
+def test_csv_files_of_another_header_are_an_error(spark, scratch):
+    import pytest
+    _write(scratch, "h", "a,b\n1,2\n")
+    with open(f"{scratch}/h/other.csv", "w") as f:
+        f.write("b,a\n1,2\n")
+    with pytest.raises(Exception):
+        exports.read_csv_export(spark, f"{scratch}/h", ["a", "b"]).collect()
+
+
+def test_csv_ragged_records_are_never_shifted(spark, scratch):
+    path = _write(scratch, "r", 'a,b,c\n1,2,3\n4,5\n6,7,8,9\n"x\ny",,\n10,11,"open\n12,13,14\n')
+    good = exports.read_csv_export(spark, path, ["a", "c"]).collect()
+    assert ("4", None) not in [tuple(r) for r in good] and {("1", "3"), ("x\ny", None)} <= {tuple(r) for r in good}
+    assert exports.read_csv_export(spark, path, ["c"]).count() == len(good)  # whatever columns are needed
+    assert {"4,5", "6,7,8,9"} <= {r.record for r in exports.csv_bad_records(spark, path).collect()}
+
+
+def test_csv_plan_reads_once_and_by_name(spark, scratch):
+    path = _write(scratch, "p", "b,a\n1,2\n")
+    plan = exports.read_csv_export(spark, path, ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Exchange" not in plan
