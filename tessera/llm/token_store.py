@@ -35,7 +35,7 @@ from tessera.session import scratch_path
 MAGIC = b"EFTOKEN1"
 SAMPLE = 256
 #: Pieces of text whose ids a worker remembers; other pieces are encoded each time.
-MEMO_PIECES = 150_000
+MEMO_PIECES = 500_000
 READ_BYTES = 8 << 20
 
 
@@ -237,18 +237,23 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _coded(self, part: str) -> bytes:
+        mapped = part if part.isascii() else "".join(self.chars[b] for b in part.encode())
+        return self._pack([t.id for t in self.model.tokenize(mapped)])
+
     def _part(self, part: str) -> bytes:
         known = self.part_memo.get(part)
         if known is None:
-            mapped = part if part.isascii() else "".join(self.chars[b] for b in part.encode())
-            known = self._pack([t.id for t in self.model.tokenize(mapped)])
+            known = self._coded(part)
             if len(self.part_memo) < self.size:
                 self.part_memo[part] = known
         return known
 
     def _piece(self, piece: str) -> bytes:
         if self.PLAIN.fullmatch(piece) and not any(s in piece for s in self.specials):
-            out = b"".join([self._part(p) for p in self.PARTS.findall(piece.lower())])
+            parts = self.PARTS.findall(piece.lower())
+            # A piece of one part is remembered as a piece only.
+            out = self._coded(parts[0]) if len(parts) == 1 else b"".join([self._part(p) for p in parts])
         else:
             out = self._whole(piece)
         if len(self.memo) < self.size:
