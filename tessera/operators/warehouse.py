@@ -19,6 +19,7 @@ The pure operators (``upsert_type1``, ``append_new``, ``append_counts``,
 from __future__ import annotations
 
 import datetime as dt
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ from pyspark.sql.utils import AnalysisException
 from tessera import config as C
 from tessera.schemas import WAREHOUSE
 
+if TYPE_CHECKING:
+    from tessera.plans.kpi_parts import KpiParts
+
 VERSION_COL = "version"
 PUBLISHED = "_published"
 
@@ -202,7 +206,7 @@ class Warehouse:
         (self.spark.range(1).select(F.lit(version).alias(VERSION_COL)).coalesce(1)
          .write.mode("append").parquet(self.path(f"{name}{PUBLISHED}")))
 
-    def append_fact(self, batch: DataFrame) -> dict:
+    def append_fact(self, batch: DataFrame, parts: KpiParts | None = None, load_id: str = "") -> dict:
         """L2 + L3: append the new rows, range-partitioned on
         ``(partition_key, study_id)`` so a month holding a third of the batch
         is split over many writers while each writer touches few folders.
@@ -211,7 +215,8 @@ class Warehouse:
         (keys are unique, the fact's primary key) and that batch-sized result
         is checkpointed; counts and new rows both come from it. Returns
         ``{records_in, inserted, skipped}``, taken before the write (the write
-        refreshes every plan that reads the fact folder)."""
+        refreshes every plan that reads the fact folder). ``parts`` keeps the KPI sums
+        of the new rows under ``load_id``; a load without new rows adds none."""
         from tessera.session import shared_dir
         shared_dir(self.spark)
         fact = self.table("fact_radiology")
@@ -222,8 +227,12 @@ class Warehouse:
                             F.count_if(F.col("_loaded").isNotNull()).alias("skipped")
                             ).first().asDict()
         new = marked.where(F.col("_loaded").isNull()).select(*batch.columns)
+        if parts and counts["inserted"]:
+            parts.add(new, load_id)
         (new.repartitionByRange("partition_key", "study_id")
          .write.mode("append").partitionBy("partition_key").parquet(self.path("fact_radiology")))
+        if parts and counts["inserted"]:
+            parts.publish(load_id)
         return counts
 
     def counts_frame(self, counts: dict) -> DataFrame:

@@ -582,6 +582,30 @@ def q_kpi_fact_sample(spark, d):
     return kpis.fact_sample(_kpi_inputs(spark, d)[0])
 
 
+def _kpis_of_three_loads(spark, d) -> dict[str, DataFrame]:
+    """K9: the studies loaded in three parts in source order, each part validated against its
+    own rows; KPIs from the sums and bitmaps that the loads kept."""
+    from tessera.plans.kpi_parts import KpiParts
+    from tessera.session import scratch_path
+    root, base = scratch_path(spark, "kpi_parts"), _job(spark, d, stage_valid=True)
+    wh = warehouse.Warehouse(spark, root)
+    wh.initialise()
+    parts = KpiParts(spark, f"{root}/_kpi_parts")
+    lo, hi = base.studies.agg(F.min("row_ix"), F.max("row_ix")).first()
+    step = ((hi or 0) - (lo or 0)) // 3 + 1
+    for i in range(3):
+        part = base.studies.where(f"row_ix >= {(lo or 0) + i * step} AND row_ix < {(lo or 0) + (i + 1) * step}")
+        wh.append_fact(_job(spark, d, studies=part).fact(), parts, f"LOAD_{i}")
+    return parts.kpis(base.dims["dim_modality"], base.dims["dim_location"])
+
+
+def _kept(name: str):
+    def query(spark, d):
+        return _kpis_of_three_loads(spark, d)[name]
+    query.__doc__ = f"K9: {name} after three loads, from their partial sums."
+    return query
+
+
 # ---------------------------------------------------------------- access, runs
 def q_access_review(spark, d):
     ev = standins.read_table(spark, d, "events")
@@ -698,6 +722,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_modality_head": q_kpi_modality_head,
     "kpi_cards": q_kpi_cards,
     "kpi_fact_sample": q_kpi_fact_sample,
+    "kept_kpi_summary": _kept("summary"),
+    "kept_kpi_by_modality": _kept("by_modality"),
+    "kept_kpi_by_site": _kept("by_site"),
+    "kept_kpi_monthly_trend": _kept("monthly_trend"),
+    "kept_kpi_data_quality": _kept("data_quality"),
     "access_review": q_access_review,
     "run_summary": q_run_summary,
     "stream_fact": q_stream_fact,

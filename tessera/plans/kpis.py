@@ -39,6 +39,19 @@ def _merge_parts() -> list[Column]:
             F.sum("c_us").alias("c_us"), F.sum("r").alias("r")]
 
 
+def _sums(src: DataFrame) -> list[Column]:
+    """Sums over fact rows, or over the kept partial sums of :mod:`tessera.plans.kpi_parts`."""
+    return _merge_parts() if "s_us" in src.columns else _parts()
+
+
+def year_month() -> Column:
+    return F.substring(F.col("date_key").cast("string"), 1, 6)
+
+
+def _rows(src: DataFrame) -> Column:
+    return F.sum("n") if "s_us" in src.columns else F.count(F.lit(1))
+
+
 def avg_minutes(s_us: str = "s_us", c_us: str = "c_us", digits: int = 1,
                 per: float = 1.0) -> Column:
     """Mean turnaround in minutes (or hours with ``per=60``), rounded."""
@@ -52,10 +65,17 @@ def rate_pct(r: str = "r", n: str = "n") -> Column:
     return X.round_half_up(F.try_divide(F.col(r).cast("double"), F.col(n)) * F.lit(100.0), 1)
 
 
-def summary(fact: DataFrame) -> DataFrame:
-    """Q1: one row of headline KPIs over studies with an OK turnaround."""
+def summary(fact: DataFrame, radiologists: DataFrame | None = None) -> DataFrame:
+    """Q1: one row of headline KPIs over studies with an OK turnaround. Partial sums come
+    with ``radiologists``, the bitmaps of the radiologists of those studies."""
     ok = fact.where(_ok())
-    agg = ok.agg(*_parts(), F.count_distinct("radiologist_key").alias("active_radiologists"))
+    if radiologists is None:
+        agg = ok.agg(*_parts(), F.count_distinct("radiologist_key").alias("active_radiologists"))
+    else:
+        merged = radiologists.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+        seen = merged.agg(F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias("active_radiologists"))
+        # one row each
+        agg = ok.agg(*_sums(fact)).withColumn("n", F.coalesce("n", F.lit(0))).crossJoin(F.broadcast(seen))
     return agg.select(
         F.col("n").alias("total_studies"),
         avg_minutes().alias("avg_tat_mins"),
@@ -69,7 +89,7 @@ def summary(fact: DataFrame) -> DataFrame:
 def by_modality(fact: DataFrame, dim_modality: DataFrame, ok_only: bool = True) -> DataFrame:
     """Q2: volume, TAT and report rate per modality (inner join)."""
     src = fact.where(_ok()) if ok_only else fact
-    per_key = src.groupBy("modality_key").agg(*_parts())
+    per_key = src.groupBy("modality_key").agg(*_sums(src))
     dims = dim_modality.select("modality_key", "modality_name", "modality_group")
     g = per_key.join(dims, "modality_key").groupBy("modality_name", "modality_group") \
         .agg(*_merge_parts())
@@ -84,7 +104,7 @@ def by_modality(fact: DataFrame, dim_modality: DataFrame, ok_only: bool = True)
 
 def by_site(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Q3: volume and TAT per site (inner join)."""
-    per_key = fact.where(_ok()).groupBy("location_key").agg(*_parts())
+    per_key = fact.where(_ok()).groupBy("location_key").agg(*_sums(fact))
     g = per_key.join(dim_location.select("location_key", "site_code", "department"),
                      "location_key").groupBy("site_code", "department").agg(*_merge_parts())
     return g.select("site_code", "department", F.col("n").alias("study_count"),
@@ -97,13 +117,13 @@ def tat_distribution(fact: DataFrame) -> DataFrame:
     rank = F.coalesce(F.array_position(F.array(*[F.lit(b) for b in BAND_ORDER]),
                                        F.col("tat_band")), F.lit(len(BAND_ORDER) + 1))
     return (fact.where(_ok() & (F.col("tat_band") != C.TAT_BAND_INVALID))
-            .groupBy("tat_band").agg(F.count(F.lit(1)).alias("study_count"))
+            .groupBy("tat_band").agg(_rows(fact).alias("study_count"))
             .orderBy(rank))
 
 
 def by_priority(fact: DataFrame) -> DataFrame:
     """Q5."""
-    g = fact.where(_ok()).groupBy("priority").agg(*_parts())
+    g = fact.where(_ok()).groupBy("priority").agg(*_sums(fact))
     return g.select("priority", F.col("n").alias("study_count"),
                     avg_minutes().alias("avg_tat_mins")) \
         .orderBy(F.desc("study_count"), F.asc("priority"))
@@ -111,16 +131,16 @@ def by_priority(fact: DataFrame) -> DataFrame:
 
 def monthly_trend(fact: DataFrame) -> DataFrame:
     """Q6: per ``yyyyMM`` of the date key."""
-    ym = F.substring(F.col("date_key").cast("string"), 1, 6)
-    g = (fact.where(_ok() & F.col("date_key").isNotNull())
-         .groupBy(ym.alias("year_month")).agg(*_parts()))
+    ym = F.col("year_month") if "year_month" in fact.columns else year_month()
+    g = (fact.where(_ok() & ym.isNotNull())
+         .groupBy(ym.alias("year_month")).agg(*_sums(fact)))
     return g.select("year_month", F.col("n").alias("study_count"),
                     avg_minutes().alias("avg_tat_mins")).orderBy("year_month")
 
 
 def data_quality(fact: DataFrame) -> DataFrame:
     """Q7: rows per TAT flag, no filter."""
-    return fact.groupBy("tat_flag").agg(F.count(F.lit(1)).alias("record_count"))
+    return fact.groupBy("tat_flag").agg(_rows(fact).alias("record_count"))
 
 
 def top_modalities(fact: DataFrame, dim_modality: DataFrame, k: int = 10) -> DataFrame:
@@ -154,8 +174,10 @@ def fact_sample(fact: DataFrame, k: int = 10) -> DataFrame:
     return fact.orderBy(F.asc_nulls_last("study_id")).limit(k)
 
 
-def all_kpis(fact: DataFrame, dim_modality: DataFrame, dim_location: DataFrame) -> dict:
-    s = summary(fact)
+def all_kpis(fact: DataFrame, dim_modality: DataFrame, dim_location: DataFrame,
+             radiologists: DataFrame | None = None) -> dict:
+    """All KPI tables of a fact, or of its kept partial sums and radiologist bitmaps."""
+    s = summary(fact, radiologists)
     return {
         "summary": s,
         "by_modality": by_modality(fact, dim_modality),

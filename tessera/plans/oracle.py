@@ -458,6 +458,8 @@ def oracle_sql() -> dict[str, str]:
                          f"CAST({col} AS DOUBLE) AS value, {_q(unit)} AS unit, "
                          f"{shown} || {_q(unit)} AS display FROM s")
     out["kpi_cards"] = sql(R + [f"s AS ({_summary_body()})"], " UNION ALL ".join(card_rows))
+    for name in ("summary", "by_modality", "by_site", "monthly_trend", "data_quality"):
+        out[f"kept_kpi_{name}"] = out[f"kpi_{name}"]
     out["kpi_fact_sample"] = sql(R, "SELECT * FROM fact ORDER BY study_id LIMIT 10")
 
     perms = " UNION ALL ".join(f"SELECT {_q(r)} AS role, {_q(p)} AS permission"
