@@ -74,8 +74,8 @@ def summary(fact: DataFrame, radiologists: DataFrame | None = None) -> DataFrame
     else:
         merged = radiologists.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
         seen = merged.agg(F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias("active_radiologists"))
-        # one row each
-        agg = ok.agg(*_sums(fact)).withColumn("n", F.coalesce("n", F.lit(0))).crossJoin(F.broadcast(seen))
+        agg = (ok.agg(*_sums(fact)).withColumn("n", F.coalesce("n", F.lit(0)))
+               .withColumn("active_radiologists", seen.scalar()))
     return agg.select(
         F.col("n").alias("total_studies"),
         avg_minutes().alias("avg_tat_mins"),
