@@ -6,8 +6,10 @@
   last published one. The path being read is never overwritten, and a write that
   dies half way leaves the previous version current.
 * The fact is append-only (L2): a batch is anti-joined with the study keys
-  already loaded (only that column is read), so replaying a batch inserts
-  nothing. It is written partitioned by ``partition_key`` (L3).
+  already loaded, so replaying a batch inserts nothing. Key filters that every
+  load keeps (:mod:`tessera.operators.key_sketch`) name the partitions that may
+  hold a key of the batch; of these, only the key column is read. It is written
+  partitioned by ``partition_key`` (L3).
 * Audit rows (K8) are appended with a deterministic ``log_id`` and anti-joined
   on it, so a replayed micro-batch does not log twice.
 
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tessera import config as C
+from tessera.operators.key_sketch import KeySketches
 from tessera.schemas import WAREHOUSE
 
 if TYPE_CHECKING:
@@ -206,12 +209,16 @@ class Warehouse:
         (self.spark.range(1).select(F.lit(version).alias(VERSION_COL)).coalesce(1)
          .write.mode("append").parquet(self.path(f"{name}{PUBLISHED}")))
 
+    def fact_keys(self) -> KeySketches:
+        return KeySketches(self.spark, f"{self.root}/_fact_keys", "study_id", "partition_key")
+
     def append_fact(self, batch: DataFrame, parts: KpiParts | None = None, load_id: str = "") -> dict:
         """L2 + L3: append the new rows, range-partitioned on
         ``(partition_key, study_id)`` so a month holding a third of the batch
         is split over many writers while each writer touches few folders.
 
-        The loaded keys are read once: the batch is left-joined to them
+        The loaded keys are read once, and only in partitions whose key filters
+        pass a key of the batch: the batch is left-joined to them
         (keys are unique, the fact's primary key) and that batch-sized result
         is checkpointed; counts and new rows both come from it. Returns
         ``{records_in, inserted, skipped}``, taken before the write (the write
@@ -219,8 +226,11 @@ class Warehouse:
         of the new rows under ``load_id``; a load without new rows adds none."""
         from tessera.session import shared_dir
         shared_dir(self.spark)
-        fact = self.table("fact_radiology")
-        marked = (batch.join(_loaded_keys(fact, "study_id"), F.col("study_id").eqNullSafe(F.col("_lk")), "left")
+        fact, keys = self.table("fact_radiology"), self.fact_keys()
+        keys.settle(fact)
+        batch = batch.checkpoint(eager=True)  # probed, then joined
+        known = _loaded_keys(keys.may_hold(fact, batch), "study_id")
+        marked = (batch.join(known, F.col("study_id").eqNullSafe(F.col("_lk")), "left")
                   .checkpoint(eager=True))
         counts = marked.agg(F.count(F.lit(1)).alias("records_in"),
                             F.count_if(F.col("_loaded").isNull()).alias("inserted"),
@@ -229,6 +239,8 @@ class Warehouse:
         new = marked.where(F.col("_loaded").isNull()).select(*batch.columns)
         if parts and counts["inserted"]:
             parts.add(new, load_id)
+        if counts["inserted"]:
+            keys.add(new)
         (new.repartitionByRange("partition_key", "study_id")
          .write.mode("append").partitionBy("partition_key").parquet(self.path("fact_radiology")))
         if parts and counts["inserted"]:

@@ -24,6 +24,7 @@ FIRST_LOAD_TS = C.DEFAULT_RUN_TS
 SECOND_LOAD_TS = "2024-02-02 05:00:00"
 FIRST_RUN_ID = "RUN_20240201_050000"
 SECOND_RUN_ID = "RUN_20240202_050000"
+SPLIT_MONTH = "2023_06"
 
 
 class Job:
@@ -432,6 +433,35 @@ def q_fact_append_null_ids(spark, d):
         warehouse.append_counts(a.fact(FIRST_LOAD_TS), b.fact(SECOND_LOAD_TS).where("study_id IS NULL")))
 
 
+def _loaded_twice(spark, d):
+    """A warehouse that holds the first load, and the second load's fact rows."""
+    from tessera.session import scratch_path
+    wh = warehouse.Warehouse(spark, scratch_path(spark, "sketched"))
+    wh.initialise()
+    a, b = _split_jobs(spark, d)
+    wh.append_fact(a.fact(FIRST_LOAD_TS))
+    return wh, b.fact(SECOND_LOAD_TS)
+
+
+def q_fact_append_sketched(spark, d):
+    """L2 on disk: both loads appended, loaded keys read by way of the key filters."""
+    wh, second = _loaded_twice(spark, d)
+    wh.append_fact(second)
+    return wh.table("fact_radiology")
+
+
+def q_fact_partitions_read(spark, d):
+    """L2: the partitions that the key filters of the first load let the second load read: for all
+    of its rows, for its later months, and for the rows that are not loaded yet (none)."""
+    wh, second = _loaded_twice(spark, d)
+    rows = []
+    for batch, part in (("all", second), ("later", second.where(F.col("partition_key") > SPLIT_MONTH)),
+                        ("new", warehouse.append_new(wh.table("fact_radiology"), second))):
+        read = sorted(wh.fact_keys().partitions(part))
+        rows.append((batch, len(read), *((read[0], read[-1]) if read else (None, None))))
+    return spark.createDataFrame(rows, "batch string, partitions bigint, first string, last string")
+
+
 def q_audit_row(spark, d):
     a, b = _split_jobs(spark, d)
     counts = warehouse.append_counts(a.fact(FIRST_LOAD_TS), b.fact(SECOND_LOAD_TS))
@@ -704,6 +734,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_upsert_date": q_dim_upsert_date,
     "fact_append": q_fact_append,
     "fact_append_counts": q_fact_append_counts,
+    "fact_append_sketched": q_fact_append_sketched,
+    "fact_partitions_read": q_fact_partitions_read,
     "partition_counts": q_partition_counts,
     "fk_orphans": q_fk_orphans,
     "key_collisions": q_key_collisions,

@@ -360,6 +360,13 @@ def oracle_sql() -> dict[str, str]:
                                            counted("nulls", "a_fact", "WHERE b.study_id IS NULL")],
                                       "SELECT * FROM again UNION ALL SELECT * FROM nulls")
     out["fact_append"] = sql(S + [appended], "SELECT * FROM appended")
+    out["fact_append_sketched"] = out["fact_append"]
+    held = ("held AS (SELECT DISTINCT a.partition_key AS held_in, b.partition_key AS sent_in FROM a_fact a JOIN b_fact b "
+            "ON a.study_id IS NOT DISTINCT FROM b.study_id)")
+    out["fact_partitions_read"] = sql(S + [held], (
+        "SELECT batch, count(DISTINCT held_in) AS partitions, min(held_in) AS first, max(held_in) AS last "
+        f"FROM (VALUES ('all', ''), ('later', '{Q.SPLIT_MONTH}'), ('new', NULL)) AS t(batch, after) "
+        "LEFT JOIN held ON sent_in > after GROUP BY batch"))
     out["fact_append_counts"] = sql(S + [cnt], "SELECT * FROM cnt")
     out["audit_row"] = sql(S + [cnt], (
         f"SELECT '{Q.SECOND_RUN_ID}-001' AS log_id, {_ts(Q.SECOND_LOAD_TS)} AS event_time, "
