@@ -228,6 +228,23 @@ def q_v06_orphans(spark, d):
     return quality.referential_integrity(j.pacs, j.valid, how="left_anti")
 
 
+def q_stream_v06(spark, d):
+    """Studies and images as files in three steps each, linked in the stream. The stand-ins
+    are in no order of time, so the bounds span all of it; a closing heartbeat lets orphans out."""
+    from tessera.session import scratch_path
+    from tessera.streaming import linkage
+    root, j = scratch_path(spark, "stream_v06"), _job(spark, d)
+    j.images.repartitionByRange(3, "accession_number").write.parquet(f"{root}/images")
+    j.studies.repartitionByRange(3, "row_ix").write.parquet(f"{root}/studies")
+    dirs, schemas = (f"{root}/images", f"{root}/studies"), (j.images.schema, j.studies.schema)
+    for last in (False, True):  # the second run goes on from the checkpoint of the first
+        linkage.start_linkage(spark, *dirs, f"{root}/out", f"{root}/checkpoint", *schemas,
+                              bound_days=700, delay_days=1500).awaitTermination()
+        if not last:
+            linkage.heartbeat(spark, *dirs, *schemas, "2040-01-01 00:00:00")
+    return linkage.outcomes(spark, f"{root}/out")
+
+
 def q_v07_pseudonym(spark, d):
     j = _job(spark, d)
     return j.valid.select("row_ix", "study_id", "patient_id_pseudo")
@@ -712,6 +729,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v05_turnaround": q_v05_turnaround,
     "v06_valid": q_v06_valid,
     "v06_orphans": q_v06_orphans,
+    "stream_v06": q_stream_v06,
     "v07_pseudonym": q_v07_pseudonym,
     "validated": q_validated,
     "validated_from_csv": q_validated_from_csv,

@@ -259,6 +259,8 @@ def oracle_sql() -> dict[str, str]:
                                "WHERE v.study_id IS NOT DISTINCT FROM i.pacs_study_id)"))
     out["v06_orphans"] = sql(R, ("SELECT * FROM pacs i WHERE NOT EXISTS (SELECT 1 FROM valid v "
                                  "WHERE v.study_id IS NOT DISTINCT FROM i.pacs_study_id)"))
+    out["stream_v06"] = sql(R, ("SELECT i.*, EXISTS (SELECT 1 FROM valid v "
+                                "WHERE v.study_id IS NOT DISTINCT FROM i.pacs_study_id) AS linked FROM pacs i"))
     out["v07_pseudonym"] = sql(R, "SELECT row_ix, study_id, patient_id_pseudo FROM valid")
     out["validated"] = sql(R, "SELECT * FROM valid")
     out["validated_from_csv"] = sql(R, "SELECT * EXCLUDE (row_ix) FROM valid")
