@@ -8,66 +8,110 @@ fewer words is one window). Per pattern length there is a table set:
 * buckets: patterns by their last block, then by their first block;
 * direct comparison of the words confirms an occurrence.
 
-The tables of one block of items are bounded in size and broadcast; a larger
-benchmark runs as several blocks against all documents, whose hits are merged.
+Words are numbers in the tables, which are plain arrays. The items of one block
+are bounded in size and broadcast, and each worker builds their tables once; a
+larger benchmark runs as several blocks against all documents, whose hits are
+merged.
 """
 
 from __future__ import annotations
 
+import uuid
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD_BYTES, read, stage, words
+from tessera.llm.common import WORD_BYTES, kept, read, stage, words
 
 WINDOW = 10
 #: Bound of the benchmark text whose tables one pass broadcasts.
 BLOCK_BYTES = 8 << 20
 #: Bytes of text that are split into words at once.
 SEGMENT = 1 << 20
+#: Multiplier that spreads word pairs over the shift table.
+SPREAD = 40503
 RUNS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
 class Tables:
-    """Shift and bucket tables of the patterns of one length."""
+    """Shift and bucket tables of the patterns of one length.
 
-    def __init__(self, patterns: dict[tuple[bytes, ...], set[int]], length: int):
-        self.length = length
+    ``starts`` are the patterns' places in ``stream`` (the items' words as numbers from 1),
+    ``owners`` the number of each pattern's item. Equal patterns are kept once.
+    """
+
+    def __init__(self, number: dict[bytes, int], stream: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int):
+        self.number, self.length = number, length
         self.block = block = min(2, length)
         self.skip = length - block + 1
-        self.shift: dict = {}
-        self.buckets: dict = {}
-        for p, items in patterns.items():
-            for end in range(block, length + 1):
-                key = p[end - block:end]
-                key = key if block == 2 else key[0]
-                self.shift[key] = min(self.shift.get(key, self.skip), length - end)
-            last = p[-block:] if block == 2 else p[-1]
-            self.buckets.setdefault(last, {}).setdefault(p[:block], []).append((list(p), sorted(items)))
+        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(stream, length)[starts])
+        _, first, which = np.unique(windows.view(f"V{4 * length}")[:, 0], return_index=True, return_inverse=True)
+        windows = windows[first]
+        last, head = self._keys(windows[:, length - block:]), self._keys(windows[:, :block])
+        order = np.lexsort((head, last))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        #: Buckets: patterns by their last block, then by their first one.
+        self.last, self.head = array("q", last[order].tobytes()), array("q", head[order].tobytes())
+        self.words = np.ascontiguousarray(windows[order]).tobytes()
+        held = np.unique(np.stack([place[which], owners]), axis=1)
+        self.items = array("q", held[1].astype(np.int64).tobytes())
+        self.ends = array("q", np.searchsorted(held[0], np.arange(len(order) + 1)).astype(np.int64).tobytes())
+        #: Blocks that share an entry of the shift table get the least of their jumps.
+        self.mask = (1 << max(16, (8 * len(order)).bit_length())) - 1
+        shift = np.full(self.mask + 1, self.skip, np.uint16 if self.skip > 255 else np.uint8)
+        for end in range(block, length + 1):
+            k = self._keys(windows[:, end - block:end])
+            shift[((k >> 32) * SPREAD + (k & 0xFFFFFFFF)) & self.mask] = length - end
+        self.shift = array(shift.dtype.char, shift.tobytes())
+
+    @staticmethod
+    def _keys(blocks: np.ndarray) -> np.ndarray:
+        k = blocks[:, -1].astype(np.int64)
+        return k if blocks.shape[1] == 1 else k | (blocks[:, 0].astype(np.int64) << 32)
+
+    def _owners(self, last: int, head: int, w: list[bytes], a: int) -> Iterator[int]:
+        """Items of the pattern that the words from ``a`` on are, if there is one."""
+        lo = bisect_left(self.last, last)
+        if lo == len(self.last) or self.last[lo] != last:
+            return
+        hi = bisect_right(self.last, last, lo)
+        lo = bisect_left(self.head, head, lo, hi)
+        hi = bisect_right(self.head, head, lo, hi)
+        if lo == hi:
+            return
+        m = self.length
+        here = array("i", [self.number.get(x, 0) for x in w[a:a + m]]).tobytes()
+        for p in range(lo, hi):
+            if self.words[4 * m * p:4 * m * (p + 1)] == here:
+                yield from self.items[self.ends[p]:self.ends[p + 1]]
 
     def search(self, w: list[bytes]) -> Iterator[tuple[int, list[int]]]:
         """(start, items) of every occurrence in the words."""
-        m, shift, skip, buckets, block, n = self.length, self.shift, self.skip, self.buckets, self.block, len(w)
-        i = m - 1
-        if block == 1:
+        m, shift, skip, mask, number = self.length, self.shift, self.skip, self.mask, self.number.get
+        if self.block == 1:
             for i, x in enumerate(w):
-                if x in buckets:
-                    for _, items in buckets[x][(x,)]:
-                        yield i, items
+                k = number(x, 0)
+                if k and (items := list(self._owners(k, k, w, i))):
+                    yield i, items
             return
-        get = shift.get
+        i, n = m - 1, len(w)
         while i < n:
-            key = (w[i - 1], w[i])
-            s = get(key, skip)
+            x = number(w[i], 0)
+            y = number(w[i - 1], 0) if x else 0
+            s = shift[(y * SPREAD + x) & mask] if y else skip
             if s:
                 i += s
                 continue
             a = i - m + 1
-            for p, items in buckets[key].get((w[a], w[a + 1]), ()):
-                if w[a:i + 1] == p:
-                    yield a, items
+            head = (number(w[a], 0) << 32) | number(w[a + 1], 0)
+            if items := list(self._owners((y << 32) | x, head, w, a)):
+                yield a, items
             i += 1
 
 
@@ -78,14 +122,20 @@ def _null_last(item_id: str | None) -> tuple[bool, str]:
 def build(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> tuple[list[Tables], list[str | None]]:
     """Tables by pattern length, and the item ids that the tables number."""
     ids = sorted({i for i, _ in items}, key=_null_last)
-    number = {i: k for k, i in enumerate(ids)}
-    by_length: dict[int, dict[tuple[bytes, ...], set[int]]] = {}
+    place = {i: k for k, i in enumerate(ids)}
+    number: dict[bytes, int] = {}
+    stream, starts, owners = array("i"), {}, {}
     for i, text in items:
         w = words(text)
-        size = min(window, len(w))
-        for a in range(len(w) - size + 1 if size else 0):
-            by_length.setdefault(size, {}).setdefault(tuple(w[a:a + size]), set()).add(number[i])
-    return [Tables(p, n) for n, p in sorted(by_length.items())], ids
+        size, at = min(window, len(w)), len(stream)
+        if size:
+            stream.extend(number.setdefault(x, len(number) + 1) for x in w)
+            here = range(at, len(stream) - size + 1)
+            starts.setdefault(size, array("q")).extend(here)
+            owners.setdefault(size, array("q")).extend([place[i]] * len(here))
+    every = np.frombuffer(stream, np.int32) if stream else np.empty(0, np.int32)
+    return [Tables(number, every, np.frombuffer(starts[n], np.int64), np.frombuffer(owners[n], np.int64), n)
+            for n in sorted(starts)], ids
 
 
 def segments(text: str | None, carry: int) -> Iterator[tuple[int, list[bytes]]]:
@@ -154,10 +204,11 @@ def hit_runs(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", t
                        F.expr("cast(array() AS array<string>)").alias("items"))
     schema, first = rows.schema, True
     for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        shared = spark.sparkContext.broadcast(items)
+        shared, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def search(frames: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            tables, ids = build(shared.value, window)
+        def search(frames: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
+            # A worker builds the tables of a block once and lets go of the block before it.
+            tables, ids = kept(("decontaminate", name), lambda: build(shared.value, window))
             for f in frames:
                 n, runs, found = [], [], []
                 for text, old_runs, old in zip(*(f.column(c).to_pylist() for c in ("t", "runs", "items"))):
