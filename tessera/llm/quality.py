@@ -5,8 +5,8 @@ documents belong to a path of a host. A host's share of good documents has a Bet
 prior around the global share, a path's share one around its host's; the priors'
 strengths come from the spread of the groups (method of moments), so a sparse site
 stays near the level above it and a well-observed one speaks for itself. The
-document's posterior log-odds are its evidence plus what its path adds to the
-global share. All sums are grouped aggregates.
+document's posterior log-odds are its evidence plus what the other documents of its
+path add to the global share. All sums are grouped aggregates.
 """
 
 from __future__ import annotations
@@ -67,7 +67,9 @@ def _train(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, id_col
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), "id").select("id", "text", "y"))  # at most ``most`` ids
     kind = rows.schema["id"].dataType.simpleString()
-    seen = rows.mapInArrow(look, f"id {kind}, x array<double>, y int").toPandas().sort_values("id")
+    # Rows that repeat an id: the sample has one of them, the least by its figures.
+    seen = (rows.mapInArrow(look, f"id {kind}, x array<double>, y int").groupBy("id").agg(F.min("x").alias("x"), F.min("y").alias("y"))
+            .toPandas().sort_values("id"))
     y = seen.y.to_numpy(float)
     if len(set(y)) < 2:
         return float(y.mean()) if len(y) else 0.5
@@ -91,14 +93,16 @@ def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep=None,
     """One row per row of ``docs``: doc_id, host, path, evidence, host_posterior, path_posterior, score.
 
     ``keep`` selects the ids whose labels may be used. A labelled document counts with its
-    label in its site's sums, any other with the classifier's probability. Null hosts and
-    paths are a site named ''. Null and empty texts have the evidence of an empty text. An id
+    label in its site's sums, any other with the classifier's probability; its own score takes
+    its site without it. Null hosts and paths are a site named '', and so is what no column is
+    given for. Null and empty texts have the evidence of an empty text. An id
     with both labels counts as not good. Labels that are null or neither 0 nor 1 are not used;
     without any, or with one class only, the evidence of all is the sample's share (1/2
     without labels). Texts are read whole; repeated rows each count and give a row; other
     columns are not read; an empty table gives no rows.
     """
     keep = keep or (lambda c: F.lit(True))
+    host, path = (F.lit(None) if c is None else c for c in (host, path))
     curve = _train(spark, docs, labels, keep, id_col, text_col, max_labelled)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(host.cast("string"), F.lit("")).alias("host"),
@@ -119,10 +123,10 @@ def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep=None,
     schema = T.StructType([*(rows.schema[c] for c in ("doc_id", "host", "path")), T.StructField("logit", T.DoubleType())])
     marks = (labels.where(F.col("quality").isin(0, 1) & keep(F.col(id_col)))
              .groupBy(F.col(id_col).alias("doc_id")).agg(F.min("quality").alias("y")))
-    judged = stage(spark, rows.mapInArrow(judge, schema), "quality-judged")
     p = 1 / (1 + F.exp(-F.col("logit")))
-    seen = judged.join(marks, "doc_id", "left").select("host", "path", F.coalesce(F.col("y").cast("double"), p).alias("v"))
-    paths = stage(spark, seen.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")), "quality-paths")
+    judged = stage(spark, rows.mapInArrow(judge, schema).join(marks, "doc_id", "left")
+                   .select("doc_id", "host", "path", "logit", F.coalesce(F.col("y").cast("double"), p).alias("v")), "quality-judged")
+    paths = stage(spark, judged.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")), "quality-paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     total = hosts.agg(F.sum("hn").alias("n"), F.sum("hs").alias("s"), F.sum(F.col("hn") * F.col("hn")).alias("nn"),
                       F.count(F.lit(1)).alias("k")).first()
@@ -134,13 +138,18 @@ def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep=None,
         F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("hs") / F.col("hn"), 2)).alias("s"),
         F.sum(F.col("n") * F.col("n") / F.col("hn")).alias("nn"), F.count(F.lit(1)).alias("k")).first()
     k_path = _strength(inner.s or 0.0, max(inner.k - total.k, 0), n - float(inner.nn or 0.0), mu)
-    post = (paths.join(hosts, "host")
-            .withColumn("host_posterior", (F.lit(k_host * mu) + F.col("hs")) / (F.lit(k_host) + F.col("hn")))
-            .withColumn("path_posterior", (F.lit(k_path) * F.col("host_posterior") + F.col("s")) / (F.lit(k_path) + F.col("n"))))
-    post = stage(spark, post.select("host", "path", "host_posterior", "path_posterior"), "quality-sites")
-    logit = F.col("logit") + _logit(F.col("path_posterior")) - float(np.log(mu / (1 - mu)))
-    return judged.join(post, ["host", "path"]).select(
-        "doc_id", "host", "path", p.alias("evidence"), "host_posterior", "path_posterior",
+    def posterior(less_n: Column, less_s: Column) -> tuple[Column, Column]:
+        """Host's and path's posterior share without ``less_n`` documents that hold ``less_s``."""
+        of_host = (F.lit(k_host * mu) + F.col("hs") - less_s) / (F.lit(k_host) + F.col("hn") - less_n)
+        return of_host, (F.lit(k_path) * of_host + F.col("s") - less_s) / (F.lit(k_path) + F.col("n") - less_n)
+
+    sites = stage(spark, paths.join(hosts, "host"), "quality-sites")
+    of_host, of_path = posterior(F.lit(0), F.lit(0.0))
+    # What its site says about a document comes from the site's other documents.
+    _, others = posterior(F.lit(1), F.col("v"))
+    logit = F.col("logit") + _logit(F.least(F.greatest(others, F.lit(1e-6)), F.lit(1 - 1e-6))) - float(np.log(mu / (1 - mu)))
+    return judged.join(sites, ["host", "path"]).select(
+        "doc_id", "host", "path", p.alias("evidence"), of_host.alias("host_posterior"), of_path.alias("path_posterior"),
         (1 / (1 + F.exp(-logit))).alias("score"))
 
 

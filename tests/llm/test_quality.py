@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +54,64 @@ def test_site_of(spark):
     urls = spark.createDataFrame([("https://A.org/x/y?q",), ("http://b.com",), ("nonsense",), (None,)], "u string")
     host, path = op.site_of(F.col("u"))
     assert [tuple(r) for r in urls.select(host, path).collect()] == [("a.org", "/x"), ("b.com", None), (None, None), (None, None)]
+
+
+def brute(rows, marks, lo, hi):
+    """Scores by loops over (doc_id, host, path, evidence) rows."""
+    v = [float(marks.get(d, e)) for d, _, _, e in rows]
+    logit = lambda p: math.log(p / (1 - p))
+    hosts, paths = {}, {}
+    for (_, h, p, _), x in zip(rows, v):
+        hosts.setdefault(h, []).append(x)
+        paths.setdefault((h, p), []).append(x)
+    n, mu = len(v), sum(v) / len(v)
+    share = lambda xs: sum(xs) / len(xs)
+
+    def strength(spread, free, weight):
+        between = (spread - free * mu * (1 - mu)) / weight if weight > 0 else 0.0
+        return min(max(mu * (1 - mu) / between - 1 if between > 1e-12 else hi, lo), hi)
+
+    k_host = strength(sum(len(x) * (share(x) - mu) ** 2 for x in hosts.values()), len(hosts) - 1,
+                      n - sum(len(x) ** 2 for x in hosts.values()) / n)
+    k_path = strength(sum(len(x) * (share(x) - share(hosts[h])) ** 2 for (h, _), x in paths.items()), len(paths) - len(hosts),
+                      n - sum(len(x) ** 2 / len(hosts[h]) for (h, _), x in paths.items()))
+    out = []
+    for (d, h, p, e), x in zip(rows, v):
+        of_host = (k_host * mu + sum(hosts[h]) - x) / (k_host + len(hosts[h]) - 1)
+        of_path = (k_path * of_host + sum(paths[h, p]) - x) / (k_path + len(paths[h, p]) - 1)
+        out.append((d, 1 / (1 + math.exp(-(logit(e) + logit(of_path) - logit(mu))))))
+    return sorted(out)
+
+
+def test_scores_equal_brute_force(spark):
+    r = random.Random(4)
+    rows, marks = [], []
+    for k in range(400):
+        host = r.choice("abc")
+        good = r.random() < {"a": 0.9, "b": 0.5, "c": 0.2}[host]
+        rows.append((k, "A calm sentence, well made." * r.randint(1, 4) if r.random() < (0.8 if good else 0.3) else "BUY $$$ NOW!! " * r.randint(1, 9),
+                     host, r.choice("xy")))
+        if r.random() < 0.4:
+            marks.append((k, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = op.quality(spark, docs, labels, host=F.col("source"), path=F.col("lang")).collect()
+    want = brute([(x.doc_id, x.host, x.path, x.evidence) for x in sorted(got, key=lambda x: x.doc_id)],
+                 {d: q for d, q, _ in marks}, *op.STRENGTH)
+    assert [(d, pytest.approx(s, abs=1e-9)) for d, s in want] == sorted((x.doc_id, x.score) for x in got)
+
+
+def test_a_site_decides_where_the_text_says_nothing(spark):
+    """Texts of one kind only: held-out documents follow the labels of their site."""
+    docs, labels = sites(spark, [("good", "a", 200, 190), ("bad", "a", 200, 10)])
+    held = F.col("doc_id") % 2 == 1
+    got = op.quality(spark, docs, labels, lambda c: c % 2 == 0, host=F.col("source"), path=F.col("lang")).where(held).collect()
+    assert all((x.score > 0.6) == (x.host == "good") and (x.score < 0.4) == (x.host == "bad") for x in got)
+
+
+def test_default_site_and_a_repeated_labelled_id(spark):
+    many = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("copy").alias("text"))
+    docs = many.unionByName(spark.createDataFrame([(8, "other text!"), (9, "third")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int")
+    got = op.quality(spark, docs, labels).groupBy("host", "path").count().collect()
+    assert [tuple(r) for r in got] == [("", "", 20_002)]
