@@ -1,6 +1,7 @@
 """Command line: run the whole job, or show the KPI tables of a warehouse.
 
     python -m tessera run  --ris ris.csv --pacs pacs.csv --epr epr.csv --root /shared/radiology
+    python -m tessera run  --ris ris/ --pacs pacs/ --epr epr/ --unseen-files --root /shared/radiology
     python -m tessera run  --tables /root/testdata/sf0.01 --root /shared/radiology
     python -m tessera kpis --root /shared/radiology
 
@@ -33,6 +34,8 @@ def main(argv=None) -> None:
     run.add_argument("--tables", help="folder with events.parquet, from which stand-in exports are derived")
     for source in ("ris", "pacs", "epr"):
         run.add_argument(f"--{source}", help=f"{source.upper()} export: a header CSV file or folder")
+    run.add_argument("--unseen-files", action="store_true",
+                     help="read the RIS and PACS files that no run has loaded, instead of rows after the marks")
     run.add_argument("--root", required=True, help="shared output folder")
     run.add_argument("--run-ts", default=None, help="run time stamp (default: now, UTC)")
     show = sub.add_parser("kpis", help="print the KPI tables of a warehouse")
@@ -44,8 +47,12 @@ def main(argv=None) -> None:
     spark = _session(args.local)
 
     if args.cmd == "run":
-        from tessera.plans.batch import run_batch
+        from tessera.plans.batch import run_batch, run_exports
         from tessera.sources import exports, standins
+        if args.unseen_files and args.ris and args.pacs and args.epr:
+            out = run_exports(spark, args.ris, args.pacs, args.epr, args.root, run_ts=args.run_ts)
+            print(json.dumps(out, default=str, indent=1))
+            return
         bad = None
         if args.tables:
             ev = standins.read_table(spark, args.tables, "events")

@@ -11,7 +11,7 @@ Layout under ``root`` (a folder of the shared file system)::
     star/<run_id>/{dim_*,fact_radiology}
     warehouse/{dim_* (versioned), fact_radiology (by partition_key), audit_log, error_table}
     kpi/<run_id>/<kpi name>
-    _state/watermark, _state/run_history
+    _state/watermark, _state/run_history, _state/files
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from tessera.config import JobConfig
 from tessera.operators import extract, quality, runs, star, warehouse
 from tessera.plans.kpi_parts import KpiParts
 from tessera.sources import exports
+from tessera.sources.ledger import FileLedger
 from tessera.sources.state import WatermarkState
 
 STEPS = ("extract", "validate", "transform_load", "report")
@@ -76,16 +77,46 @@ def load_batch(spark: SparkSession, valid: DataFrame, wh: warehouse.Warehouse, r
     return counts
 
 
+def _named(run_id: str | None, run_ts: str | None) -> tuple[str, str]:
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_ts = run_ts or now.strftime("%Y-%m-%d %H:%M:%S")
+    return run_id or "RUN_" + dt.datetime.fromisoformat(run_ts).strftime("%Y%m%d_%H%M%S"), run_ts
+
+
+def run_exports(spark: SparkSession, ris: str, pacs: str, epr: str, root: str, cfg: JobConfig = C.DEFAULT,
+                run_ts: str | None = None, run_id: str | None = None) -> dict:
+    """Run the job over those CSV files of the RIS and PACS exports that no run has loaded.
+
+    Late rows in new files are loaded whatever the marks, and records of files that were
+    read before are not reported again. Without such files nothing is written. The patient
+    export has no event time and is read whole, for the extracted studies only. Images are
+    held against the studies of the same run (V06), as in a run by marks. A run that fails
+    leaves its files to the next one."""
+    run_id, run_ts = _named(run_id, run_ts)
+    ledger = FileLedger(spark, f"{root.rstrip('/')}/_state/files")
+    files = ledger.unseen({"ris": ris, "pacs": pacs})
+    if not files:
+        return {"run_id": run_id, "run_ts": run_ts, "files": 0}
+    studies, images = ([f.path for f in files if f.source == s] for s in ("ris", "pacs"))
+    bad = (exports.csv_bad_records(spark, studies).select("record")
+           .unionByName(exports.csv_bad_records(spark, images).select("record"))
+           .unionByName(exports.csv_bad_records(spark, epr).select("record")))
+    out = run_batch(spark, exports.read_ris_csv(spark, studies), exports.read_pacs_csv(spark, images),
+                    exports.read_epr_csv(spark, epr), root, cfg, run_ts, run_id, bad, unseen_only=True)
+    ledger.save(files, run_id)
+    return out | {"files": len(files)}
+
+
 def run_batch(spark: SparkSession, studies: DataFrame, images: DataFrame, patients: DataFrame,
               root: str, cfg: JobConfig = C.DEFAULT, run_ts: str | None = None,
-              run_id: str | None = None, bad_records: DataFrame | None = None) -> dict:
+              run_id: str | None = None, bad_records: DataFrame | None = None,
+              unseen_only: bool = False) -> dict:
     """Run the job once over the given sources; returns the run summary.
 
     ``bad_records`` are records of the exports that do not fit their header
-    (``sources.exports.csv_bad_records``)."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    run_ts = run_ts or now.strftime("%Y-%m-%d %H:%M:%S")
-    run_id = run_id or "RUN_" + dt.datetime.fromisoformat(run_ts).strftime("%Y%m%d_%H%M%S")
+    (``sources.exports.csv_bad_records``). ``unseen_only`` says that the sources hold
+    nothing but rows no run has loaded: all are taken, whatever the marks."""
+    run_id, run_ts = _named(run_id, run_ts)
     root = root.rstrip("/")
     stage_dir, star_dir = f"{root}/_staging/{run_id}", f"{root}/star/{run_id}"
     wh = warehouse.Warehouse(spark, f"{root}/warehouse")
@@ -101,8 +132,9 @@ def run_batch(spark: SparkSession, studies: DataFrame, images: DataFrame, patien
         with steps.step("extract"):
             wh.initialise()
             marks = state.current()
-            ris = extract.extract_ris(studies, marks["ris"], cfg)
-            pacs = stage_output(extract.extract_pacs(images, marks["pacs"], cfg), f"{stage_dir}/pacs")
+            since = dict.fromkeys(marks, C.INITIAL_WATERMARK) if unseen_only else marks
+            ris = extract.extract_ris(studies, since["ris"], cfg)
+            pacs = stage_output(extract.extract_pacs(images, since["pacs"], cfg), f"{stage_dir}/pacs")
             # No raw id reaches an output that outlives the run: studies are staged with
             # their rule flags and pseudonyms, patients with pseudonyms.
             flagged = stage_output(quality.masked(quality.flag_rules(ris, cfg), cfg), f"{stage_dir}/ris")

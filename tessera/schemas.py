@@ -41,6 +41,7 @@ AUDIT_LOG = _struct(("log_id", S), ("event_time", TS), ("pipeline_step", S), ("a
                     ("notes", S))
 ERROR_TABLE = _struct(("error_id", S), ("study_id", S), ("error_rule", S), ("error_detail", S),
                       ("captured_at", TS))
+FILE_LEDGER = _struct(("source", S), ("path", S), ("length", L), ("modified", T.TimestampType()), ("run_id", S))
 WATERMARK = _struct(("source", S), ("last_extracted", TS), ("run_id", S))
 
 # name -> (schema, primary key)

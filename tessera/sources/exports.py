@@ -13,6 +13,9 @@ from tessera.schemas import EPR_COLUMNS, PACS_COLUMNS, RIS_COLUMNS
 
 
 CORRUPT, FITS = "_corrupt_record", "_fits"
+#: A row's place in its source.
+POSITION = T.StructType([T.StructField("file", T.StringType()), T.StructField("start", T.LongType()),
+                         T.StructField("n", T.LongType())])
 CSV_OPTIONS = {
     "header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
     # a quoted field may hold line ends and doubled quotes
@@ -29,12 +32,12 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
+def csv_header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names of an export; reads the first record only."""
     return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).csv(path).columns
 
 
-def read_records(spark: SparkSession, path: str, position: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str | list[str], position: str) -> DataFrame:
     """Every record of a CSV export with the columns of its header, its position, ``_fits``
     (whether it has as many fields as the header) and ``_corrupt_record`` (its text if not).
 
@@ -55,15 +58,19 @@ def read_records(spark: SparkSession, path: str, position: str) -> DataFrame:
     return df.select(at.alias(position), (~ragged).alias(FITS), *df.columns)
 
 
-def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str], position: str | None = None) -> DataFrame:
+def read_csv_export(spark: SparkSession, path: str | list[str], columns: Sequence[str],
+                    position: str | None = None) -> DataFrame:
     """The named columns of an export as text, in the given order, pandas-style null
     tokens made null. ``position`` names a column for the row's place in its source.
+    ``path`` may be a list of files; an empty list gives no rows.
 
     Columns are found by header name, whatever their order; further columns of the export
     are passed over, a missing one is an error. Records with more or fewer fields than the
     header are left out here and returned by :func:`csv_bad_records`.
     """
     at = position or "_position"
+    if path == []:
+        return spark.createDataFrame([], T.StructType([*([T.StructField(at, POSITION)] if position else []), *text_schema(columns)]))
     df = read_records(spark, path, at)
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -71,9 +78,11 @@ def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str], posi
     return df.where(FITS).select(*([at] if position else []), *[X.null_tokens_to_null(c).alias(c) for c in columns])
 
 
-def csv_bad_records(spark: SparkSession, path: str, position: str = "row_ix") -> DataFrame:
+def csv_bad_records(spark: SparkSession, path: str | list[str], position: str = "row_ix") -> DataFrame:
     """Records that do not fit the header: position, record_sha256, record (the raw text,
     which may hold raw ids: not for a sink that outlives the run)."""
+    if path == []:
+        return spark.createDataFrame([], T.StructType([T.StructField(position, POSITION), *text_schema(["record_sha256", "record"])]))
     df = read_records(spark, path, position).where(~F.col(FITS))
     return df.select(position, F.sha2(F.col(CORRUPT), 256).alias("record_sha256"), F.col(CORRUPT).alias("record"))
 
@@ -106,11 +115,11 @@ def type_epr(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_ris_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_ris_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_csv_export(spark, path, RIS_COLUMNS, "row_ix")
 
 
-def read_pacs_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_pacs_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_csv_export(spark, path, PACS_COLUMNS)
 
 
