@@ -565,12 +565,6 @@ def q_fact_by_file(spark, d):
         *star.with_load_columns(_job(spark, d).dims["fact_radiology"], FIRST_LOAD_TS).columns)
 
 
-def q_loads_by_file(spark, d):
-    """Rows that each run loaded; the run over unchanged exports writes nothing."""
-    log = warehouse.Warehouse(spark, f"{_ran_by_file(spark, d)}/warehouse").table("audit_log")
-    return log.where("pipeline_step = 'LOAD'").groupBy("log_id").agg(F.sum("records_out").alias("loaded"))
-
-
 def _audit_log(j: Job) -> DataFrame:
     ext = extract.access_events(j.ris, j.pacs, j.epr)
     ext_rows = ext.select(
@@ -812,7 +806,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_summary": q_run_summary,
     "stream_fact": q_stream_fact,
     "fact_by_file": q_fact_by_file,
-    "loads_by_file": q_loads_by_file,
     "pacs_from_csv": q_pacs_from_csv,
     "epr_from_csv": q_epr_from_csv,
     "error_table_two_runs": q_error_table_two_runs,

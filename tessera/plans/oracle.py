@@ -407,9 +407,6 @@ def oracle_sql() -> dict[str, str]:
         f"GROUP BY 1, 2 HAVING count(DISTINCT value) > 1"))
     out["stream_fact"] = sql(R, "SELECT * FROM fact")
     out["fact_by_file"] = out["stream_fact"]
-    out["loads_by_file"] = sql(R, (
-        f"SELECT CASE WHEN row_ix <= (SELECT quantile_disc(row_ix, 0.5) FROM studies) THEN '{Q.FIRST_RUN_ID}-001' "
-        f"ELSE '{Q.SECOND_RUN_ID}-001' END AS log_id, count(*) AS loaded FROM valid GROUP BY 1"))
     audit = (
         f"audit AS (SELECT '{Q.FIRST_RUN_ID}-EXTRACT-' || source AS log_id, event_time, "
         f"'EXTRACT' AS pipeline_step, action, record_count AS records_in, record_count AS records_out, "
