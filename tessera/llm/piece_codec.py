@@ -17,8 +17,11 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +31,27 @@ from tessera.llm.common import kept, read
 SPACE = "▁"
 #: Segments whose ids a worker remembers, and the longest one it remembers.
 MEMO_SEGMENTS, MEMO_CHARS = 300_000, 40
-#: Tested pairs that a worker remembers.
+#: Tests of a token after another that a worker remembers.
 MEMO_PAIRS = 400_000
 #: Characters of text in one result batch.
 BATCH_CHARS = 4_000_000
 NEVER = float("inf")
 
 
+class _Memo(dict):
+    """Ids by segment; those of the first short segments are remembered."""
+
+    def __init__(self, encode: Callable[[str], list[int]]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, segment: str) -> list[int]:
+        ids = self.encode(segment)
+        if len(segment) <= MEMO_CHARS and len(self) < MEMO_SEGMENTS:
+            self[segment] = ids
+        return ids
+
+
 class PieceCodec:
     """Encoder and decoder of one merge-type model with byte fallback."""
 
@@ -56,11 +73,13 @@ class PieceCodec:
         times = sorted(self.time[i] for i in plain if len(self.text[i]) > 1)
         self.tied = {a for a, b in zip(times, times[1:]) if a == b}
         self.edges_of: dict[int, tuple | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, list[int]] = {}
+        self.known_pairs = 0
+        self.memo = _Memo(self._segment)
         self.automaton = ahocorasick.Automaton()
+        self.size = {i: len(p) for p, i in self.pieces.items()}
         for p, i in self.pieces.items():
-            self.automaton.add_word(p, (i, len(p)))
+            # With the piece goes what is known of it after other last tokens (-1: none).
+            self.automaton.add_word(p, (i, len(p), {}))
         self.automaton.make_automaton()
         # If no piece goes on after a space mark, no token spans the start of a word.
         cuts = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)
@@ -115,7 +134,7 @@ class PieceCodec:
             self.edges_of[token] = (edge(2), edge(3)) if ok else None
         return self.edges_of[token]
 
-    def _goes_with(self, a: int, b: int) -> bool:
+    def goes_with(self, a: int, b: int) -> bool:
         """Whether the text of the pieces ``a`` and ``b`` is encoded as just these two."""
         left, right = self._edges(a), self._edges(b)
         if left is None or right is None:
@@ -134,56 +153,54 @@ class PieceCodec:
             else:
                 j += 1
 
-    def goes_with(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            known = self._goes_with(a, b)
-            if len(self.pairs) < MEMO_PAIRS:
-                self.pairs[a, b] = known
-        return known
+    def fits(self, before: int, token: int, known: dict[int, bool]) -> bool:
+        """Whether the token can follow the last token ``before``; -1 is the start of the text or an
+        unknown character, where only a piece that encodes to itself stands. Remembered in ``known``."""
+        if before >= 0:
+            fits = self.goes_with(before, token)
+        else:
+            fits = len(self.merges(self.text[token])) == 1 if self._edges(token) is None else True
+        if self.known_pairs < MEMO_PAIRS:
+            known[before] = fits
+            self.known_pairs += 1
+        return fits
 
     def last_tokens(self, text: str) -> list[int]:
         """For each prefix of a normalised text the id of its last token; -1 for a character of no piece."""
-        last, done = [-1] * len(text), -1
-        for end, (token, size) in self.automaton.iter(text):
-            if end == done:
-                continue
-            before = last[end - size] if end >= size else -1
-            if before < 0:
-                # The start of the text or an unknown character: only a piece that encodes to itself stands there.
-                fits = len(self.merges(self.text[token])) == 1 if self._edges(token) is None else True
-            else:
-                fits = self.goes_with(before, token)
-            if fits:
-                last[end], done = token, end
+        return self._prefixes(text)[1:]
+
+    def _prefixes(self, text: str) -> list[int]:
+        """As ``last_tokens``, with -1 for the empty prefix at the front."""
+        last, done, test = [-1] * (len(text) + 1), -1, self.fits
+        for end, (token, size, known) in self.automaton.iter(text):
+            if end != done:
+                before = last[end + 1 - size]
+                fits = known.get(before)
+                if fits is None:
+                    fits = test(before, token, known)
+                if fits:
+                    last[end + 1], done = token, end
         return last
 
     def _segment(self, text: str) -> list[int]:
-        last, ids, at = self.last_tokens(text), [], len(text)
+        last, ids, at, size = self._prefixes(text), [], len(text), self.size
         while at:
-            token = last[at - 1]
+            token = last[at]
             if token < 0:
                 ids += [self.bytes[b] for b in reversed(text[at - 1].encode())]
                 at -= 1
             else:
                 ids.append(token)
-                at -= len(self.text[token])
-        return ids[::-1]
+                at -= size[token]
+        ids.reverse()
+        return ids
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of the whole text; a null text counts as empty."""
         if not text:
             return []
-        out: list[int] = []
-        get = self.memo.get
-        for s in self.segments.findall(self.sp.normalize(text)):
-            ids = get(s)
-            if ids is None:
-                ids = self._segment(s)
-                if len(s) <= MEMO_CHARS and len(self.memo) < MEMO_SEGMENTS:
-                    self.memo[s] = ids
-            out += ids
-        return out
+        found = self.segments.findall(self.sp.normalize(text))
+        return list(chain.from_iterable(map(self.memo.__getitem__, found)))
 
     def decode(self, ids: list[int]) -> str:
         return self.sp.decode(ids)
@@ -209,15 +226,18 @@ def encoded(docs: DataFrame, model_file: str, *, id_col: str = "doc_id", text_co
         for f in frames:
             at = 0
             while at < f.num_rows:
-                ids, texts, chars, start = [], [], 0, at
+                ids, ends, texts, chars, start = array("i"), [0], [], 0, at
                 while at < f.num_rows and chars < BATCH_CHARS:
                     text = f.column(1)[at].as_py() or ""
-                    ids.append(coder.encode(text))
-                    texts.append(coder.decode(ids[-1]))
+                    own = coder.encode(text)
+                    ids.fromlist(own)
+                    ends.append(len(ids))
+                    texts.append(coder.decode(own))
                     chars += len(text)
                     at += 1
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [f.column(0).slice(start, at - start), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())],
+                    [f.column(0).slice(start, at - start), lists, pa.array(texts, pa.string())],
                     ["doc_id", "ids", "decoded"])
 
     return rows.mapInArrow(code, f"doc_id {id_type.simpleString()}, ids array<int>, decoded string")

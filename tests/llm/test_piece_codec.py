@@ -81,3 +81,26 @@ def test_awkward_rows(spark, frame, pair):
 def test_plan_has_no_shuffle(spark):
     plan = piece_codec.op13_piece_codec(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_a_pair_is_tested_once_and_a_segment_encoded_once(monkeypatch):
+    own = piece_codec.PieceCodec(PATH)
+    tested, encoded = [], []
+    plain, segment = own.goes_with, own._segment
+    monkeypatch.setattr(own, "goes_with", lambda a, b: tested.append((a, b)) or plain(a, b))
+    monkeypatch.setattr(own.memo, "encode", lambda s: encoded.append(s) or segment(s))
+    text = "zzqx internationalisations über " * 3
+    long = "zzqxinternationalisations" * 3  # longer than a remembered segment
+    assert own.encode(text + long) == own.encode(text + long) == own.sp.encode(text + long)
+    assert len(tested) == len(set(tested)) > 0
+    assert {encoded.count(s) for s in encoded if len(s) <= piece_codec.MEMO_CHARS} == {1}
+    assert encoded.count("▁" + long) == 2
+
+
+def test_full_memories_change_no_ids(monkeypatch):
+    monkeypatch.setattr(piece_codec, "MEMO_SEGMENTS", 2)
+    monkeypatch.setattr(piece_codec, "MEMO_PAIRS", 3)
+    own = piece_codec.PieceCodec(PATH)
+    for text in ("zzqx internationalisations über x", "other words, zzqx and internationalisations") * 2:
+        assert own.encode(text) == own.sp.encode(text)
+    assert len(own.memo) == 2 and own.known_pairs == 3
