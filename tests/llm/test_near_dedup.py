@@ -7,7 +7,7 @@ from llm_fixtures import *  # noqa: F401,F403
 from conftest import SF_SMALL
 from tessera.llm import near_dedup as op
 from tessera.llm.common import read, words
-from tessera.llm.components import components
+from tessera.llm.components import _round, components
 
 
 def slow_similarity(a, b):
@@ -111,3 +111,23 @@ def test_components(spark):
     got = {x.node: x.root for x in components(spark, spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
     assert components(spark, spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_round_of_components_shuffles_three_times(spark, scratch):
+    links = spark.createDataFrame([(2, 1), (3, 2), (9, 3)], "u long, v long")
+    plan = _round(links)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_repeated_links_loops_and_chains(spark, scratch, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(60)] + [(200 + i, 201 + i) for i in range(30)]
+    edges += edges[:20] + [(b, a) for a, b in edges[20:40]] + [(7, 7), (500, 500)]
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    met = {n for a, b in edges if a != b for n in (a, b)}  # a loop alone is no link
+    got = [tuple(r) for r in components(spark, spark.createDataFrame(edges, "u long, v long")).collect()]
+    assert sorted(got) == sorted((n, root[n]) for n in met)
