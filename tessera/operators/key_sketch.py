@@ -34,12 +34,16 @@ def _block(key: str, size: Column) -> Column:
     return F.xxhash64(F.col(key), F.lit("block")).bitwiseAND(_power(size) - 1)
 
 
-def _masks(key: str) -> list[Column]:
-    """The two bits that the key sets in each word: six hash bits each."""
+def _hashes(key: str) -> list[Column]:
+    """Where the bits of :func:`_masks` come from."""
+    return [F.xxhash64(F.col(key), F.lit(seed)) for seed in ("bits a", "bits b")]
+
+
+def _masks(hashes: list[Column]) -> list[Column]:
+    """The two bits that a key sets in each word: six hash bits each."""
     def bit(h: Column, at: int) -> Column:
         return _power(F.shiftrightunsigned(h, at).bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
 
-    hashes = [F.xxhash64(F.col(key), F.lit(seed)) for seed in ("bits a", "bits b")]
     return [bit(hashes[i // 4], 12 * (i % 4)).bitwiseOR(bit(hashes[i // 4], 12 * (i % 4) + 6)) for i in range(WORDS)]
 
 
@@ -52,18 +56,24 @@ def sketch(rows: DataFrame, key: str, part: str, bits_per_key: int = BITS_PER_KE
         F.least(F.greatest(F.ceil(F.log2(blocks)), F.lit(0)), F.lit(MAX_SIZE)).cast("int").alias("size"))
     sized = keys.join(F.broadcast(sizes.withColumnRenamed("part", "_p")), F.col("part").eqNullSafe(F.col("_p"))).drop("_p")
     bits = sized.select("part", "size", _block("_k", F.col("size")).alias("block"),
-                        *[m.alias(f"w{i}") for i, m in enumerate(_masks("_k"))])
+                        *[m.alias(f"w{i}") for i, m in enumerate(_masks(_hashes("_k")))])
     return bits.groupBy("part", "size", "block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
 def hits(sketches: DataFrame, batch: DataFrame, key: str, sizes: list[int]) -> DataFrame:
     """``(part, key)`` for the batch's keys and the partitions that may hold them: an equal join on
-    size and block, then sixteen bits. ``sizes`` are the filter sizes in use."""
+    size and block, then sixteen bits. ``sizes`` are the filter sizes in use.
+
+    A probe meets a block of every filter of its size, so the work is many times the bytes that
+    are shuffled: keys are hashed before the join, and as a number of partitions is given and no
+    side is broadcast, small ones are not merged into a few tasks."""
+    n = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = batch.select(F.col(key).alias("_k")).distinct()
     probes = keys.select("_k", F.explode(F.array(*[F.lit(s) for s in sizes])).alias("size"))
-    probes = probes.select("_k", "size", _block("_k", F.col("size")).alias("block"))
-    met = probes.join(sketches, ["size", "block"])
-    for i, mask in enumerate(_masks("_k")):
+    probes = probes.select("_k", "size", _block("_k", F.col("size")).alias("block"),
+                           *[h.alias(f"_h{i}") for i, h in enumerate(_hashes("_k"))])
+    met = probes.repartition(n, "size", "block").join(sketches.hint("merge"), ["size", "block"])
+    for i, mask in enumerate(_masks([F.col("_h0"), F.col("_h1")])):
         met = met.where(F.col(f"w{i}").bitwiseAND(mask) == mask)
     return met.select("part", F.col("_k").alias(key))
 

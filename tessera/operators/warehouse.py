@@ -209,6 +209,13 @@ class Warehouse:
         (self.spark.range(1).select(F.lit(version).alias(VERSION_COL)).coalesce(1)
          .write.mode("append").parquet(self.path(f"{name}{PUBLISHED}")))
 
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        """Written to the shared folder and read back. An eager checkpoint would compute ``df`` twice."""
+        from tessera.session import scratch_path
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def fact_keys(self) -> KeySketches:
         return KeySketches(self.spark, f"{self.root}/_fact_keys", "study_id", "partition_key")
 
@@ -220,18 +227,15 @@ class Warehouse:
         The loaded keys are read once, and only in partitions whose key filters
         pass a key of the batch: the batch is left-joined to them
         (keys are unique, the fact's primary key) and that batch-sized result
-        is checkpointed; counts and new rows both come from it. Returns
+        is written to the shared folder; counts and new rows both come from it. Returns
         ``{records_in, inserted, skipped}``, taken before the write (the write
         refreshes every plan that reads the fact folder). ``parts`` keeps the KPI sums
         of the new rows under ``load_id``; a load without new rows adds none."""
-        from tessera.session import shared_dir
-        shared_dir(self.spark)
         fact, keys = self.table("fact_radiology"), self.fact_keys()
         keys.settle(fact)
-        batch = batch.checkpoint(eager=True)  # probed, then joined
+        batch = self._staged(batch, "load-batch")  # probed, then joined
         known = _loaded_keys(keys.may_hold(fact, batch), "study_id")
-        marked = (batch.join(known, F.col("study_id").eqNullSafe(F.col("_lk")), "left")
-                  .checkpoint(eager=True))
+        marked = self._staged(batch.join(known, F.col("study_id").eqNullSafe(F.col("_lk")), "left"), "load-marked")
         counts = marked.agg(F.count(F.lit(1)).alias("records_in"),
                             F.count_if(F.col("_loaded").isNull()).alias("inserted"),
                             F.count_if(F.col("_loaded").isNotNull()).alias("skipped")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tessera.operators import warehouse
+from tessera.operators import key_sketch, warehouse
 from tessera.operators.key_sketch import KeySketches
 from tessera.plans import catalog
 
@@ -96,3 +96,24 @@ def test_no_key_is_missed_and_few_others_pass(spark, scratch):
     assert rows.select("p", "k").exceptAll(found.select(F.col("part").alias("p"), "k")).count() == 0
     strange = rows.select(F.concat(F.lit("T"), "k").alias("k"), "p")
     assert hits(kept, strange, "k", sizes).count() <= 5
+
+
+def test_a_probe_of_few_bytes_runs_in_many_tasks(spark):
+    rows = keyed(spark, [(f"k{i}", f"p{i % 5}") for i in range(2000)])
+    made = key_sketch.sketch(rows, "k", "p")
+    sizes = [r.size for r in made.select("size").distinct().collect()]
+    met = key_sketch.hits(made, rows, "k", sizes)
+    assert {(r.k, r.part) for r in met.collect()} >= {(r.k, r.p) for r in rows.collect()}
+    assert met.select(F.spark_partition_id().alias("i")).distinct().count() > 1
+
+
+def test_a_load_computes_its_batch_once(spark, scratch, fact):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(f.num_rows)
+            yield f
+
+    _, counts = loaded(spark, scratch, fact.mapInArrow(count, fact.schema))
+    assert seen.value == counts[0]["records_in"] == fact.count()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import warehouse
+from tessera.plans import catalog
 from tessera.plans.batch import run_exports
 from tessera.schemas import EPR_COLUMNS, PACS_COLUMNS, RIS_COLUMNS
 from tessera.sources.ledger import FileLedger
@@ -88,3 +89,11 @@ def test_listing_reads_no_content(spark, exports):
     plan = listed(spark, "ris", f"{exports}/ris")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
     assert listed(spark, "ris", f"{exports}/ris").where(F.col("length") > 0).count() == 1
+
+
+@pytest.mark.parametrize("bins", [2, 4096])
+def test_the_middle_of_the_studies_by_counts(spark, bins):
+    for values in ([], [None], [7], [7, 7, 9], [1, 2], [-5, None, 3, 10**6, 4], [-2**63, 0, 2**63 - 1, 2**62]):
+        rows = spark.createDataFrame([(v,) for v in values], "row_ix bigint")
+        exact = rows.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY row_ix)")).first()[0]
+        assert catalog._median(rows, "row_ix", bins) == (None if exact is None else int(exact)), values
