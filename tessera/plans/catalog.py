@@ -530,12 +530,13 @@ def q_stream_fact(spark, d):
     """A3: the studies arrive as files in source order; the streaming job
     loads them micro-batch by micro-batch; the result is the fact table."""
     from tessera.session import scratch_path
-    from tessera.streaming.incremental import start_incremental_load, write_in_order
-    root = scratch_path(spark, "stream_fact")
-    write_in_order(_job(spark, d).studies, f"{root}/inbox", "row_ix", steps=4, files=4)
+    from tessera.streaming.incremental import files_of_step, start_incremental_load, write_in_order
+    root, j = scratch_path(spark, "stream_fact"), _job(spark, d)
+    files = files_of_step(j.events.count(), steps=4, least=4)
+    write_in_order(j.studies, f"{root}/inbox", "row_ix", steps=4, files=files)
     schema = spark.read.parquet(f"{root}/inbox").schema
     q = start_incremental_load(spark, f"{root}/inbox", schema, f"{root}/warehouse",
-                               f"{root}/checkpoint", max_files_per_trigger=4, run_ts=FIRST_LOAD_TS)
+                               f"{root}/checkpoint", max_files_per_trigger=files, run_ts=FIRST_LOAD_TS)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/warehouse/fact_radiology").select(
         *star.with_load_columns(_job(spark, d).dims["fact_radiology"], FIRST_LOAD_TS).columns)

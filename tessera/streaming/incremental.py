@@ -74,6 +74,15 @@ def start_incremental_load(spark: SparkSession, source_dir: str, schema, warehou
     return writer.start()
 
 
+#: Rows of a file, about; a micro-batch's files are read side by side.
+FILE_ROWS = 100_000
+
+
+def files_of_step(rows: int, steps: int, least: int = 1) -> int:
+    """Files for each of so many steps, so that larger tables are not read by the same few tasks."""
+    return max(least, -(-rows // (steps * FILE_ROWS)))
+
+
 def write_in_order(df: DataFrame, target_dir: str, order_col: str, steps: int, files: int = 1) -> None:
     """Write ``df`` in ``steps`` ranges of ``order_col``, one after the other, each as
     ``files`` files in parallel. The file source replays by modification time, so with
