@@ -234,13 +234,15 @@ def q_stream_v06(spark, d):
     are in no order of time, so the bounds span all of it; a closing heartbeat lets orphans out."""
     from tessera.session import scratch_path
     from tessera.streaming import linkage
+    from tessera.streaming.incremental import files_of_step
     root, j = scratch_path(spark, "stream_v06"), _job(spark, d)
-    j.images.repartitionByRange(3, "accession_number").write.parquet(f"{root}/images")
-    j.studies.repartitionByRange(3, "row_ix").write.parquet(f"{root}/studies")
+    files = files_of_step(j.events.count(), steps=3)
+    j.images.repartitionByRange(3 * files, "accession_number").write.parquet(f"{root}/images")
+    j.studies.repartitionByRange(3 * files, "row_ix").write.parquet(f"{root}/studies")
     dirs, schemas = (f"{root}/images", f"{root}/studies"), (j.images.schema, j.studies.schema)
     for last in (False, True):  # the second run goes on from the checkpoint of the first
         linkage.start_linkage(spark, *dirs, f"{root}/out", f"{root}/checkpoint", *schemas,
-                              bound_days=700, delay_days=1500).awaitTermination()
+                              bound_days=700, delay_days=1500, max_files_per_trigger=files).awaitTermination()
         if not last:
             linkage.heartbeat(spark, *dirs, *schemas, "2040-01-01 00:00:00")
     return linkage.outcomes(spark, f"{root}/out")

@@ -25,8 +25,12 @@ from pyspark.sql.types import StructType
 from tessera import config as C
 from tessera.config import JobConfig
 from tessera.operators import extract, quality
+from tessera.session import session_conf
 
 HEARTBEAT = "\x00heartbeat"
+#: Two versions of the waiting rows in memory double the entries that each collection walks over;
+#: a version that is asked for again is read from the checkpoint.
+STATE_CONF = {"spark.sql.streaming.maxBatchesToRetainInMemory": "1"}
 
 
 def linked_stream(images: DataFrame, studies: DataFrame, bound_days: int, delay_days: int,
@@ -67,7 +71,8 @@ def start_linkage(spark: SparkSession, image_dir: str, study_dir: str, root: str
         batch.where(~heard).write.mode("overwrite").parquet(f"{root}/epoch={epoch_id}")
 
     writer = out.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    with session_conf(spark, STATE_CONF):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def outcomes(spark: SparkSession, root: str) -> DataFrame:
