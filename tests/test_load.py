@@ -1,13 +1,17 @@
 """Warehouse and run properties: pass + reject = input, idempotent loads,
 unique fact keys, upsert semantics, stream = batch."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from tessera import session
 from tessera.operators import quality, warehouse
 from tessera.plans import catalog
 from tessera.plans.batch import run_batch
 from tessera.sources import standins
+from tessera.streaming import incremental
 from tessera.streaming.incremental import start_incremental_load, write_in_order
 
 from conftest import SF_SMALL
@@ -264,3 +268,16 @@ def test_job_from_csv_files(spark, scratch):
     out = run_batch(spark, exports.read_ris_csv(spark, f"{scratch}/ris"), exports.read_pacs_csv(spark, f"{scratch}/pacs"),
                     exports.read_epr_csv(spark, f"{scratch}/epr"), f"{scratch}/job", run_ts="2024-02-01 05:00:00")
     assert out["load"]["inserted"] == catalog._job(spark, SF_SMALL).valid.count()
+
+
+def test_a_step_of_many_files_is_one_micro_batch(spark, scratch, monkeypatch):
+    monkeypatch.setattr(incremental, "FILE_ROWS", 25)
+    monkeypatch.setattr(session, "scratch_path", lambda s, name, new=session.scratch_path: f"{scratch}/{name}" if name == "stream_fact" else new(s, name))
+    got = catalog.q_stream_fact(spark, SF_SMALL)
+    want = catalog.Job(spark, SF_SMALL).fact(catalog.FIRST_LOAD_TS).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    rows = standins.read_table(spark, SF_SMALL, "events").count()
+    names = [f for f in os.listdir(f"{scratch}/stream_fact/inbox") if f.endswith(".parquet")]
+    assert len(names) == 4 * incremental.files_of_step(rows, 4) > 16
+    reports = [f for f in os.listdir(f"{scratch}/stream_fact/warehouse/quality_report") if f.startswith("run_id=")]
+    assert len(reports) == 4
