@@ -1,12 +1,15 @@
 """V06 in the stream: images before, with and after their study equal the batch rule."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from tessera import session
 from tessera.operators import extract, quality
 from tessera.plans import catalog
-from tessera.streaming import linkage
+from tessera.streaming import incremental, linkage
 
 STUDY = "study_id string, exam_start_dt timestamp_ntz, exam_end_dt timestamp_ntz, row_ix bigint"
 IMAGE = "pacs_study_id string, accession_number string, acquisition_dt timestamp_ntz"
@@ -88,3 +91,14 @@ def test_the_join_is_a_stream_join_on_the_key(spark, scratch, capsys):
     p = capsys.readouterr().out
     assert "StreamingSymmetricHashJoin" in p and "StreamingDeduplicateWithinWatermark" in p
     assert "CartesianProduct" not in p and "referral_source" not in p
+
+
+def test_a_step_of_many_files_links_as_the_batch(spark, scratch, monkeypatch):
+    monkeypatch.setattr(incremental, "FILE_ROWS", 100)
+    monkeypatch.setattr(session, "scratch_path", lambda s, name: f"{scratch}/{name}")
+    got = catalog.q_stream_v06(spark, SF_SMALL)
+    j = catalog.Job(spark, SF_SMALL)
+    want = j.pacs_linked.withColumnRenamed("_v06_linked", "linked").select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    names = [f for f in os.listdir(f"{scratch}/stream_v06/images") if f.endswith(".parquet")]
+    assert len(names) > 3 * 2 and spark.conf.get("spark.sql.streaming.maxBatchesToRetainInMemory") == "2"
