@@ -18,10 +18,6 @@ import numpy as np
 F32 = np.float32
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return F32(0.5) + F32(0.5) * np.tanh(F32(0.5) * x)
-
-
 class Layout:
     """Which class each word code belongs to. Codes follow falling counts: 0 is the most
     frequent word; ``n_words`` stands for any word beyond the counted ones (rare)."""
@@ -63,6 +59,19 @@ class Layout:
         return out
 
 
+def _sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray, short: int = 8) -> np.ndarray:
+    """Sum of each group of rows; ``order`` has the groups one after the other, ``first`` where each starts."""
+    size = np.diff(first, append=len(order))
+    out = rows.take(order[first], axis=0)
+    for k in range(1, short):
+        more = np.flatnonzero(size > k)
+        out[more] += rows.take(order[first[more] + k], axis=0)
+    for i in np.flatnonzero(size > short):
+        rest = rows.take(order[first[i] + short:first[i] + size[i]], axis=0)
+        out[i] += np.ones(len(rest), rows.dtype) @ rest
+    return out
+
+
 NAMES = ("wx", "u", "bg", "wc", "bc", "ww", "bw")
 
 
@@ -106,167 +115,195 @@ class Gru:
         self.hidden = weights["u"].shape[0]
 
     # -- forward ---------------------------------------------------------
-    def _steps(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
-        """States after each step of (steps, lanes) input ids, and a tape for the way back; a start
-        id clears the state first."""
-        k, w, start = self.hidden, self.w, self.layout.start
-        x = w["wx"][ids] + w["bg"]
-        out = np.empty((*ids.shape, k), F32)
-        tape = []
-        for t in range(len(ids)):
-            fresh = ids[t] == start
-            if fresh.any():
-                h = np.where(fresh[:, None], F32(0), h)
-            g = h @ w["u"]
-            zr = _sigmoid(x[t, :, :2 * k] + g[:, :2 * k])
-            z, r = zr[:, :k], zr[:, k:]
-            n = np.tanh(x[t, :, 2 * k:] + r * g[:, 2 * k:])
-            tape.append((h, z, r, n, g[:, 2 * k:], fresh))
-            h = n + z * (h - n)
-            out[t] = h
-        return h, out, tape
-
-    def _states(self, h: np.ndarray, ids: np.ndarray, wx: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """As ``_steps`` without a tape, in place; ``wx`` and ``u`` are those of ``_halved``."""
-        k, one, half = self.hidden, F32(1), F32(0.5)
-        fresh = ids == self.layout.start
-        any_fresh = fresh.any(axis=1)
-        x = wx[ids]
-        out = np.empty((*ids.shape, k), F32)
-        for t in range(len(ids)):
+    def _inputs(self, wx: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Rows of the input table as (steps, gate, lanes, hidden): each gate of a step is a plane of its own."""
+        return wx.reshape(-1, self.hidden).take(ids[:, None] * 3 + np.arange(3)[:, None], axis=0)
+
+    def _planes(self, u: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(u.reshape(self.hidden, 3, self.hidden).transpose(1, 0, 2))
+
+    def _run(self, h: np.ndarray, x: np.ndarray, u: np.ndarray, fresh: np.ndarray, g: np.ndarray, n: np.ndarray):
+        """Last state and the states after each step; ``x`` and ``u`` as in ``_halved``. ``g`` and ``n`` take
+        what each step made of its gates, or the last step if they hold one."""
+        one, half, any_fresh = F32(1), F32(0.5), fresh.any(axis=1)
+        out = np.empty((*fresh.shape, self.hidden), x.dtype)
+        for t in range(len(x)):
             if any_fresh[t]:
                 h = np.where(fresh[t][:, None], F32(0), h)
-            g, zr = h @ u, x[t, :, :2 * k]
-            zr += g[:, :2 * k]
+            gt, nt, new = g[t % len(g)], n[t % len(n)], out[t]
+            np.matmul(h, u, out=gt)
+            zr = gt[:2]
+            zr += x[t, :2]
             np.tanh(zr, out=zr)
             zr += one
             zr *= half
-            n = g[:, 2 * k:]
-            n *= zr[:, k:]
-            n += x[t, :, 2 * k:]
-            np.tanh(n, out=n)
-            new = out[t]
-            np.subtract(h, n, out=new)
-            new *= zr[:, :k]
-            new += n
+            np.multiply(gt[2], zr[1], out=nt)
+            nt += x[t, 2]
+            np.tanh(nt, out=nt)
+            np.subtract(h, nt, out=new)
+            new *= zr[0]
+            new += nt
             h = new
         return h, out
 
+    def _steps(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """States after each step of (steps, lanes) input ids, and a tape for the way back; a start
+        id clears the state first."""
+        k, w, scale, fresh = self.hidden, self.w, self._scale(), ids == self.layout.start
+        x = self._inputs(w["wx"], ids)
+        x += w["bg"].reshape(3, 1, k)
+        x *= scale.reshape(3, 1, k)
+        g, n = np.empty(x.shape, x.dtype), np.empty((*ids.shape, k), x.dtype)
+        last, out = self._run(h, x, self._planes(w["u"] * scale), fresh, g, n)
+        before = np.concatenate((h[None], out[:-1]))
+        before[fresh] = 0
+        return last, out, (before, g, n, fresh)
+
+    def _states(self, h: np.ndarray, ids: np.ndarray, wx: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_steps`` without a tape; ``wx`` and ``u`` are those of ``_halved``."""
+        x = self._inputs(wx, ids)
+        return self._run(h, x, self._planes(u), ids == self.layout.start, np.empty_like(x[:1]), np.empty_like(x[:1, 0]))
+
+    def _scale(self) -> np.ndarray:
+        return np.repeat(np.array([0.5, 0.5, 1.0], F32), self.hidden)
+
     def _halved(self) -> tuple[np.ndarray, np.ndarray]:
         """Input table and recurrent weights with the gates' halves of sigmoid(x) = (1 + tanh(x / 2)) / 2 in them."""
-        scale = np.repeat(np.array([0.5, 0.5, 1.0], F32), self.hidden)
+        scale = self._scale()
         return (self.w["wx"] + self.w["bg"]) * scale, self.w["u"] * scale
 
     def _bounded(self) -> bool:
         """Whether no logit can overflow exp: states lie in [-1, 1], so absolute weights bound them."""
-        w = self.w
-        top = max((np.abs(w["wc"]).sum(0) + w["bc"]).max(initial=0), (np.abs(w["ww"]).sum(2) + w["bw"]).max(initial=0))
+        w, ones = self.w, np.ones(self.hidden, F32)
+        top = max((ones @ np.abs(w["wc"]) + w["bc"]).max(initial=0), (np.abs(w["ww"]) @ ones + w["bw"]).max(initial=0))
         return bool(top < 60)
 
     def _outputs(self, h: np.ndarray, codes: np.ndarray, grad: bool, bounded: bool = False):
-        """Log-probability of each code given its state; with ``grad`` also the gradients of their sum."""
+        """Log-probability of each code given its state; with ``grad`` also the gradients of their sum.
+
+        Tokens are taken by class, so that each class is a slice: one product for the logits of its
+        words, two for the gradients. All else is done for all tokens at once.
+        """
         lay, w = self.layout, self.w
-        cls = lay.classes(codes)
-        rows = np.arange(len(codes))
-        p = h @ w["wc"]
-        p += w["bc"]
-        if not bounded:
-            p -= p.max(1, keepdims=True)
-        out = p[rows, cls].astype(np.float64)
-        np.exp(p, out=p)
-        total = p @ np.ones(p.shape[1], p.dtype)
-        out -= np.log(total)
-        tail = codes >= lay.n_soft
-        out[tail] += lay.inner[codes[tail] - lay.n_soft]
-        if grad:
-            d = -p / total[:, None]
-            d[rows, cls] += 1
-            dh = d @ w["wc"].T
-            g = {"wc": h.T @ d, "bc": d.sum(0), "ww": np.zeros_like(w["ww"]), "bw": np.zeros_like(w["bw"])}
-        order = np.argsort(cls.astype(np.int16), kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(lay.soft_classes + 1))
-        by_class, ones = h[order], np.ones(lay.class_size, p.dtype)
-        word = codes[order] % lay.class_size
-        for c in range(lay.soft_classes):
-            a, b = edges[c], edges[c + 1]
-            if a == b:
-                continue
-            hi, i = by_class[a:b], order[a:b]
-            s = hi @ w["ww"][c].T
-            s += w["bw"][c]
+        cls = lay.classes(codes).astype(np.int16)
+        order = np.argsort(cls, kind="stable")
+        ones = np.ones((len(codes), 1), h.dtype)  # a last input of 1, for the biases
+        h, codes, cls = np.concatenate((h.take(order, axis=0), ones), axis=1), codes[order], cls[order]
+        wc = np.concatenate((w["wc"], w["bc"][None]))
+        ww = np.concatenate((w["ww"], w["bw"][..., None]), axis=2)
+        edges = np.searchsorted(cls, np.arange(lay.soft_classes + 1))
+        soft = int(edges[-1])  # the tail's tokens come last
+        used = [(c, slice(edges[c], edges[c + 1])) for c in np.flatnonzero(np.diff(edges))]
+
+        def softmax(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
+            """Log-probabilities of the entries ``own``; ``logits`` become their gradients."""
             if not bounded:
-                s -= s.max(1, keepdims=True)
-            r, at = rows[:b - a], word[a:b]
-            own = s[r, at]
-            np.exp(s, out=s)
-            t = s @ ones
-            out[i] += own - np.log(t)
+                logits -= logits.max(1, keepdims=True)
+            at = np.arange(0, logits.size, logits.shape[1]) + own
+            lp = logits.ravel().take(at).astype(np.float64)
+            np.exp(logits, out=logits)
+            total = logits @ np.ones(logits.shape[1], logits.dtype)
+            lp -= np.log(total)
             if grad:
-                ds = -s / t[:, None]
-                ds[r, at] += 1
-                dh[i] += ds @ w["ww"][c]
-                g["ww"][c] = ds.T @ hi
-                g["bw"][c] = ds.sum(0)
-        return (out, dh, g) if grad else out
-
-    def score(self, docs: list[np.ndarray], width: int = 256, steps: int = 32) -> np.ndarray:
+                logits *= (-1 / total)[:, None]
+                logits.ravel()[at] += 1
+            return lp
+
+        p = h @ wc
+        lp = softmax(p, cls)
+        lp[soft:] += lay.inner[codes[soft:] - lay.n_soft]
+        s = np.empty((soft, lay.class_size), h.dtype)
+        for c, own in used:
+            np.matmul(h[own], ww[c].T, out=s[own])
+        lp[:soft] += softmax(s, codes[:soft] % lay.class_size)
+        out = np.empty(len(lp))
+        out[order] = lp
+        if not grad:
+            return out
+        gc, gw = h.T @ p, np.zeros_like(ww)
+        dh, inside = p @ w["wc"].T, np.empty((soft, self.hidden), h.dtype)
+        for c, own in used:
+            np.matmul(s[own], w["ww"][c], out=inside[own])
+            np.matmul(s[own].T, h[own], out=gw[c])
+        g = {"wc": gc[:-1], "bc": gc[-1], "ww": gw[..., :-1], "bw": gw[..., -1]}
+        dh[:soft] += inside
+        back = np.empty_like(dh)
+        back[order] = dh
+        return out, back, g
+
+    def _windows(self, docs: list[np.ndarray], width: int, steps: int):
+        """Windows (steps, lanes) over the documents' lanes: input ids, codes, document numbers and which
+        places are real. Lanes end one after the other, the last ones first."""
+        if not docs:
+            return
+        dealt = lanes(docs, width)
+        order = [i for lane in dealt for i in lane]
+        text = np.concatenate([docs[i] for i in order])
+        length = np.array([len(docs[i]) for i in order])
+        inputs, owner = np.empty_like(text), np.repeat(order, length)
+        inputs[1:] = self.layout.inputs(text[:-1])
+        inputs[np.cumsum(length) - length] = self.layout.start
+        size = np.array([sum(len(docs[i]) for i in lane) for lane in dealt])
+        start = np.cumsum(size) - size
+        for at in range(0, int(size[0]), steps):
+            live = int(np.searchsorted(-size, -at, "left"))  # lanes are by falling length
+            step = np.arange(at, min(at + steps, int(size[0])))[:, None]
+            real = step < size[:live]
+            place = start[:live] + np.minimum(step, size[:live] - 1)
+            yield inputs[place], text[place], owner[place], real
+
+    def score(self, docs: list[np.ndarray], width: int = 256, steps: int = 16) -> np.ndarray:
         """Log-probability (natural) of each document, a code array that ends with the end code.
 
         The state is carried through the windows of a document to its end.
         """
         out = np.zeros(len(docs))
-        if not docs:
-            return out
-        dealt = lanes(docs, width)
-        text = [np.concatenate([docs[i] for i in lane]) for lane in dealt]
-        ids = [np.concatenate([np.concatenate(([self.layout.start], self.layout.inputs(docs[i][:-1]))) for i in lane])
-               for lane in dealt]
-        owner = [np.repeat(lane, [len(docs[i]) for i in lane]) for lane in dealt]
-        size = np.array([len(t) for t in text])
-        h = np.zeros((len(text), self.hidden), F32)
+        h = np.zeros((min(width, len(docs)), self.hidden), F32)
         (wx, u), bounded = self._halved(), self._bounded()
-        for at in range(0, int(size[0]), steps):
-            live = int(np.searchsorted(-size, -at, "left"))  # lanes are by falling length
-            end = min(at + steps, int(size[0]))
-            step_ids = np.zeros((end - at, live), np.int64)
-            for k in range(live):
-                part = ids[k][at:end]
-                step_ids[:len(part), k] = part
-            h, states = self._states(h[:live], step_ids, wx, u)
-            real = (np.arange(at, end)[:, None] < size[None, :live])
-            codes = np.concatenate([text[k][at:end] for k in range(live)])
-            who = np.concatenate([owner[k][at:end] for k in range(live)])
-            flat = states.transpose(1, 0, 2)[real.T]
-            out += np.bincount(who, self._outputs(flat, codes, False, bounded), len(docs))
+        for ids, codes, who, real in self._windows(docs, width, steps):
+            h, states = self._states(h[:ids.shape[1]], ids, wx, u)
+            out += np.bincount(who[real], self._outputs(states[real], codes[real], False, bounded), len(docs))
         return out
 
     # -- training --------------------------------------------------------
     def gradients(self, h: np.ndarray, ids: np.ndarray, codes: np.ndarray, real: np.ndarray):
         """Last state, summed log-probability and its gradients over one window (steps, lanes)."""
-        k, w = self.hidden, self.w
-        last, states, tape = self._steps(h, ids)
-        lp, dflat, g = self._outputs(states[real], codes[real], True)
+        k, w, any_fresh = self.hidden, self.w, (ids == self.layout.start).any(axis=1)
+        last, states, (before, gates, n, fresh) = self._steps(h, ids)
+        lp, dflat, g = self._outputs(states[real], codes[real], True, self._bounded())
         dstates = np.zeros_like(states)
         dstates[real] = dflat
-        dx = np.empty((*ids.shape, 3 * k), F32)
-        du, dh = np.zeros_like(w["u"]), np.zeros_like(h)
+        # What a state's gradient is multiplied by on its way into z, r and the recurrent part of n.
+        z, r, gn = gates[:, 0], gates[:, 1], gates[:, 2]
+        rest, into_n = 1 - z, 1 - n * n
+        into_n *= rest
+        by = np.empty((3, *ids.shape, k), gates.dtype)
+        np.subtract(before, n, out=by[0])
+        by[0] *= z
+        by[0] *= rest
+        np.multiply(into_n, r, out=by[2])
+        np.subtract(1, r, out=by[1])
+        by[1] *= gn
+        by[1] *= by[2]
+        ut, dh = self._planes(w["u"]).transpose(0, 2, 1), np.zeros_like(h)
         for t in range(len(ids) - 1, -1, -1):
-            hp, z, r, n, gn, fresh = tape[t]
-            dh = dh + dstates[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (hp - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dx[t, :, :k], dx[t, :, k:2 * k], dx[t, :, 2 * k:] = dz, dr, dn
-            dg = np.concatenate((dz, dr, dn * r), axis=1)
-            du += hp.T @ dg
-            dh = dh * z + dg @ w["u"].T
-            dh[fresh] = 0
-        flat = dx.reshape(-1, 3 * k)
-        g["u"], g["bg"] = du, flat.sum(0)
-        seen, at = np.unique(ids.ravel(), return_inverse=True)
-        order = np.argsort(at.ravel(), kind="stable")
-        g["wx"] = np.add.reduceat(flat[order], np.searchsorted(at.ravel()[order], np.arange(len(seen))), axis=0)
-        return last, float(lp.sum()), g, seen
+            d, step = dstates[t], by[:, t]
+            d += dh
+            step *= d
+            dh = (step @ ut).sum(0)
+            dh += d * z[t]
+            if any_fresh[t]:
+                dh[fresh[t]] = 0
+        flat, before = by.reshape(3, -1, k), before.reshape(-1, k)
+        g["u"] = (before.T @ flat).transpose(1, 0, 2).reshape(k, 3 * k)
+        np.multiply(dstates, into_n, out=by[2])  # into the input's part of n
+        ids = ids.ravel().astype(np.int16 if self.layout.n_inputs < 1 << 15 else np.int32)
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.diff(ids, prepend=-1))
+        g["wx"] = _sums(flat.transpose(1, 0, 2).reshape(-1, 3 * k), order, first)
+        g["bg"] = np.ones(len(first), flat.dtype) @ g["wx"]
+        return last, float(lp.sum()), g, ids[first]
 
     def train(self, docs: list[np.ndarray], past: dict[str, np.ndarray], rate: float = 0.05,
               width: int = 64, steps: int = 20) -> None:
@@ -279,27 +316,16 @@ class Gru:
             return
         most = max(256, -(-sum(map(len, docs)) // width))
         docs = [d[at:at + most] for d in docs for at in range(0, len(d), most)]
-        dealt = lanes(docs, width)
-        text = [np.concatenate([docs[i] for i in lane]) for lane in dealt]
-        ids = [np.concatenate([np.concatenate(([self.layout.start], self.layout.inputs(docs[i][:-1]))) for i in lane])
-               for lane in dealt]
-        longest = len(text[0])
-        h = np.zeros((len(text), self.hidden), F32)
-        for at in range(0, longest, steps):
-            live = sum(len(t) > at for t in text)
-            end = min(at + steps, longest)
-            x, y = np.zeros((end - at, live), np.int64), np.full((end - at, live), -1, np.int64)
-            for k in range(live):
-                part = text[k][at:end]
-                x[:len(part), k], y[:len(part), k] = ids[k][at:end], part
-            real = y >= 0
-            h, _, g, seen = self.gradients(h[:live], x, y, real)
-            n = F32(width * steps)  # of a full window, so that the last lanes do not outweigh it
+        h = np.zeros((min(width, len(docs)), self.hidden), F32)
+        n = F32(width * steps)  # of a full window, so that the last lanes do not outweigh it
+        for ids, codes, _, real in self._windows(docs, width, steps):
+            h, _, g, seen = self.gradients(h[:ids.shape[1]], ids, codes, real)
             for name in NAMES:
-                d = g[name] / n
-                if name == "wx":
-                    past[name][seen] += d * d
-                    self.w[name][seen] += F32(rate) * d / np.sqrt(past[name][seen])
-                else:
-                    past[name] += d * d
-                    self.w[name] += F32(rate) * d / np.sqrt(past[name])
+                d, rows = g[name] / n, seen if name == "wx" else ...
+                sums = past[name][rows]
+                sums += d * d
+                if name == "wx":  # a copy of its rows
+                    past[name][rows] = sums
+                d /= np.sqrt(sums)
+                d *= F32(rate)
+                self.w[name][rows] += d

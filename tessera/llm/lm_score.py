@@ -18,11 +18,11 @@ other words are joined to the documents that use them.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +33,13 @@ from tessera.session import scratch_path
 #: Bound of the words whose counts are broadcast.
 FREQUENT = 1 << 17
 HIDDEN = 32
-LEARNING_RATE = 0.1
-#: Tokens that one training or scoring step of a task holds.
-TRAIN_TOKENS, SCORE_TOKENS = 200_000, 500_000
-#: Distinct words that a task counts before it hands them on.
-COUNTER_WORDS = 150_000
+#: Training: texts side by side and tokens of each between two updates.
+LANES, STEPS = 384, 8
+LEARNING_RATE = 0.18
+#: Tokens that one training step of a task holds.
+TRAIN_TOKENS = 500_000
+#: Bytes of text that a task counts, codes or scores at once, about; rows count as a few more.
+COUNT_BYTES, CODE_BYTES, SCORE_BYTES, ROW_BYTES = 24_000_000, 8_000_000, 3_000_000, 8
 #: Training tokens of one replica in one round, about.
 TURN_TOKENS = 2_000_000
 #: Floats of a block when replicas are averaged.
@@ -50,20 +52,37 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def _count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def batch(c: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())],
-                                          ["word", "n"])
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``tokens`` of all texts, one after the other, and the number of each text's."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = split.flatten().cast(pa.binary())
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).fill_null(0).to_numpy())
+    full = pc.greater(pc.binary_length(words), 0)  # white space at the ends gives empty words
+    return words.filter(full), np.bincount(owner[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
+
 
-    c: Counter = Counter()
+def pieces(frames: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text; a longer text is a batch with what came before it."""
+    held, n = [], 0
     for f in frames:
-        for text in f.column("text").to_pylist():
-            c.update(tokens(text))
-            c[END] += 1
-            if len(c) > COUNTER_WORDS:
-                yield batch(c)
-                c = Counter()
-    yield batch(c)
+        ends = np.cumsum(pc.binary_length(f.column("text")).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES)
+        at, past = 0, 0
+        while at < f.num_rows:
+            to = min(int(np.searchsorted(ends, past + size - n)) + 1, f.num_rows)
+            held.append(f.slice(at, to - at))
+            n, at, past = n + int(ends[to - 1]) - past, to, int(ends[to - 1])
+            if n >= size:
+                yield pa.concat_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for f in pieces(frames, COUNT_BYTES):
+        found = split_words(f.column("text"))[0].value_counts()
+        yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([f.num_rows], pa.int64())], ["word", "n"])
 
 
 class Tables:
@@ -84,25 +103,23 @@ class Coder:
     """Words to codes by falling count; one past the last for every other word."""
 
     def __init__(self, t: Tables):
-        self.code = {w: i for i, w in enumerate(t.words)}
-        self.other = len(t.words)
-        self.end = self.code[END] if END in self.code else self.other
-
-    def document(self, w: list[bytes]) -> np.ndarray:
-        get, other = self.code.get, self.other
-        out = np.fromiter((get(x, other) for x in w), np.int64, len(w)) if w else np.zeros(0, np.int64)
-        return np.append(out, self.end)
-
-
-_CODERS: dict[tuple, Coder] = {}
-
-
-def _coder(t: Tables) -> Coder:
-    key = (t.total, t.types, len(t.words), t.rare_mass)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(t)
-    return _CODERS[key]
+        self.words, self.other = pa.array(t.words, pa.binary()), len(t.words)
+        self.end = t.words.index(END) if END in t.words else self.other
+
+    def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Codes of all texts, each with its end; where each text's codes start, and the last one's end; the
+        words with the code of other words, ends too, in the same order."""
+        words, n = split_words(texts)
+        inner = pc.index_in(words, value_set=self.words).fill_null(self.other).to_numpy()
+        starts = np.concatenate(([0], np.cumsum(n + 1)))
+        codes, end = np.full(starts[-1], self.end, np.int32), np.zeros(starts[-1], bool)
+        end[starts[1:] - 1] = True
+        codes[~end] = inner
+        others = words.filter(pa.array(inner == self.other))
+        if self.end == self.other:
+            at = np.where(end, len(words), np.cumsum(~end) - 1)[codes == self.other]
+            others = pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(at))
+        return codes, starts, others
 
 
 def corpus_tables(counts: DataFrame, frequent: int = FREQUENT) -> tuple[Tables, int]:
@@ -134,11 +151,13 @@ def schedule(total: int, turn_tokens: int) -> tuple[int, int]:
 def coded_turns(spark: SparkSession, rows: DataFrame, tables, rounds: int, replicas: int) -> DataFrame:
     """Every row of ``rows`` (doc_id, text) once, staged by round: replica, place, codes."""
     def code(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(tables.value)
-        for f in frames:
-            codes = [coder.document(tokens(t)).astype(np.int32).tobytes() for t in f.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([f.column("round"), f.column("replica"), f.column("place"),
-                                              pa.array(codes, pa.binary())], ["round", "replica", "place", "codes"])
+        coder = Coder(tables.value)
+        for f in pieces(frames, CODE_BYTES):
+            codes, starts, _ = coder.documents(f.column("text"))
+            offsets = pa.array(starts * codes.itemsize, pa.int32())
+            packed = pa.Array.from_buffers(pa.binary(), f.num_rows, [None, offsets.buffers()[1], pa.py_buffer(codes)])
+            yield pa.RecordBatch.from_arrays([f.column("round"), f.column("replica"), f.column("place"), packed],
+                                             ["round", "replica", "place", "codes"])
 
     turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds * replicas))
     dealt = rows.select("text", F.xxhash64("text", "doc_id").alias("place"), (turn % rounds).cast("int").alias("round"),
@@ -177,7 +196,7 @@ def train_model(turns: DataFrame, tables, rounds: int, replicas: int, hidden: in
 
             def step() -> None:
                 nonlocal held, size, seen
-                model.train(held, past, LEARNING_RATE)
+                model.train(held, past, LEARNING_RATE, LANES, STEPS)
                 held, size, seen = [], 0, seen + size
 
             for f in frames:
@@ -193,7 +212,7 @@ def train_model(turns: DataFrame, tables, rounds: int, replicas: int, hidden: in
                         else:
                             w, past = (gru.unpack(v, layout, hidden) for v in np.split(shared.value, 2))
                         own, model, seen = k, gru.Gru(layout, w), 0
-                    held.append(np.frombuffer(codes, np.int32).astype(np.int64))
+                    held.append(np.frombuffer(codes, np.int32))
                     size += len(held[-1])
                     if size >= TRAIN_TOKENS:
                         step()
@@ -241,39 +260,28 @@ def lm_scores(docs: DataFrame, learn, *, id_col: str = "doc_id", text_col: str =
 
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tables.value
-        coder = _coder(t)
+        coder = Coder(t)
         start = gru.initial(t.layout, hidden) if weights.value is None else gru.unpack(weights.value, t.layout, hidden)
         model = gru.Gru(t.layout, start)
         known = np.append(t.base(t.counts), 0.0)
-
-        def done(held: list) -> pa.RecordBatch:
-            lp = model.score([h[3] for h in held]) / math.log(10)
-            return pa.RecordBatch.from_arrays([
-                pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], id_kind[0]),
-                pa.array([h[2] for h in held], pa.bool_()), pa.array([len(h[3]) for h in held], pa.int64()),
-                pa.array([int((h[3] < coder.other).sum()) for h in held], pa.int64()),
-                pa.array([float(known[h[3]].sum()) for h in held], pa.float64()), pa.array(lp, pa.float64()),
-                pa.array([[{"word": w, "n": n} for w, n in h[4].items()] for h in held],
-                         pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+        for f in pieces(frames, SCORE_BYTES):
+            codes, starts, others = coder.documents(f.column("text"))
+            n = np.diff(starts)
+            owner = np.repeat(np.arange(len(n)), n)
+            lp = model.score(np.split(codes, starts[1:-1])) / math.log(10)
+            # The other words of each document with their numbers.
+            found = others.dictionary_encode()
+            pair, times = np.unique(owner[codes == coder.other] * len(others) + found.indices.to_numpy(), return_counts=True)
+            whose, which = np.divmod(pair, max(1, len(others)))
+            rare = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(whose, np.arange(len(n) + 1)), pa.int32()),
+                pa.StructArray.from_arrays([found.dictionary.take(pa.array(which)), pa.array(times, pa.int64())], ["word", "n"]))
+            yield pa.RecordBatch.from_arrays([
+                f.column("k"), f.column("doc_id"), f.column("learnt"), pa.array(n, pa.int64()),
+                pa.array(np.bincount(owner[codes < coder.other], minlength=len(n)), pa.int64()),
+                pa.array(np.bincount(owner, known[codes], len(n)), pa.float64()), pa.array(lp, pa.float64()), rare],
                 ["k", "doc_id", "learnt", "n_tokens", "known", "base", "lp", "rare"])
 
-        held, size, id_kind = [], 0, [pa.int64()]
-        for f in frames:
-            id_kind[0] = f.column("doc_id").type
-            for k, doc_id, learnt, text in zip(*(f.column(c).to_pylist() for c in ("k", "doc_id", "learnt", "text"))):
-                w = tokens(text)
-                d = coder.document(w)
-                rare = Counter(w[i] for i in np.flatnonzero(d[:-1] == coder.other))
-                if d[-1] == coder.other:
-                    rare[END] += 1
-                held.append((k, doc_id, learnt, d, rare))
-                size += len(d)
-                if size >= SCORE_TOKENS:
-                    yield done(held)
-                    held, size = [], 0
-        if held:
-            yield done(held)
-
     scored = stage(spark, rows.withColumn("k", F.monotonically_increasing_id()).mapInArrow(
         score, f"k long, doc_id {kind}, learnt boolean, n_tokens long, known long, base double, lp double, "
                "rare array<struct<word:binary, n:long>>"), "lm-scored")
