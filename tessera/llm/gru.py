@@ -66,7 +66,7 @@ def _sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray, short: int = 8
     for k in range(1, short):
         more = np.flatnonzero(size > k)
         out[more] += rows.take(order[first[more] + k], axis=0)
-    for i in np.flatnonzero(size > short):
+    for i in np.flatnonzero(size > short).tolist():
         rest = rows.take(order[first[i] + short:first[i] + size[i]], axis=0)
         out[i] += np.ones(len(rest), rows.dtype) @ rest
     return out
@@ -111,8 +111,17 @@ def lanes(docs: list[np.ndarray], width: int) -> list[list[int]]:
 
 class Gru:
     def __init__(self, layout: Layout, weights: dict[str, np.ndarray]):
-        self.layout, self.w = layout, weights
-        self.hidden = weights["u"].shape[0]
+        self.layout, self.hidden = layout, weights["u"].shape[0]
+        # Classes and words take a state with a last entry of 1: biases lie beside the weights.
+        wc = np.concatenate((weights["wc"], weights["bc"][None]))
+        ww = np.concatenate((weights["ww"], weights["bw"][..., None]), axis=2)
+        self.joint = {"wx": weights["wx"].copy(), "u": weights["u"].copy(), "bg": weights["bg"].copy(), "wc": wc, "ww": ww}
+        self.w = self._apart(self.joint)
+
+    @staticmethod
+    def _apart(joint: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """Views by the names of ``NAMES``."""
+        return {**joint, "wc": joint["wc"][:-1], "bc": joint["wc"][-1], "ww": joint["ww"][..., :-1], "bw": joint["ww"][..., -1]}
 
     # -- forward ---------------------------------------------------------
     def _inputs(self, wx: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -187,13 +196,13 @@ class Gru:
         lay, w = self.layout, self.w
         cls = lay.classes(codes).astype(np.int16)
         order = np.argsort(cls, kind="stable")
-        ones = np.ones((len(codes), 1), h.dtype)  # a last input of 1, for the biases
+        ones = np.ones((len(codes), 1), h.dtype)
         h, codes, cls = np.concatenate((h.take(order, axis=0), ones), axis=1), codes[order], cls[order]
-        wc = np.concatenate((w["wc"], w["bc"][None]))
-        ww = np.concatenate((w["ww"], w["bw"][..., None]), axis=2)
+        wc, ww = self.joint["wc"], self.joint["ww"]
         edges = np.searchsorted(cls, np.arange(lay.soft_classes + 1))
         soft = int(edges[-1])  # the tail's tokens come last
-        used = [(c, slice(edges[c], edges[c + 1])) for c in np.flatnonzero(np.diff(edges))]
+        edges = edges.tolist()
+        used = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
         def softmax(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
             """Log-probabilities of the entries ``own``; ``logits`` become their gradients."""
@@ -220,12 +229,11 @@ class Gru:
         out[order] = lp
         if not grad:
             return out
-        gc, gw = h.T @ p, np.zeros_like(ww)
+        g = {"wc": h.T @ p, "ww": np.zeros_like(ww)}
         dh, inside = p @ w["wc"].T, np.empty((soft, self.hidden), h.dtype)
         for c, own in used:
             np.matmul(s[own], w["ww"][c], out=inside[own])
-            np.matmul(s[own].T, h[own], out=gw[c])
-        g = {"wc": gc[:-1], "bc": gc[-1], "ww": gw[..., :-1], "bw": gw[..., -1]}
+            np.matmul(s[own].T, h[own], out=g["ww"][c])
         dh[:soft] += inside
         back = np.empty_like(dh)
         back[order] = dh
@@ -268,11 +276,20 @@ class Gru:
     # -- training --------------------------------------------------------
     def gradients(self, h: np.ndarray, ids: np.ndarray, codes: np.ndarray, real: np.ndarray):
         """Last state, summed log-probability and its gradients over one window (steps, lanes)."""
+        last, lp, g, seen = self._backward(h, ids, codes, real)
+        return last, lp, self._apart(g), seen
+
+    def _backward(self, h: np.ndarray, ids: np.ndarray, codes: np.ndarray, real: np.ndarray):
+        """As ``gradients``, by the names of ``joint``."""
         k, w, any_fresh = self.hidden, self.w, (ids == self.layout.start).any(axis=1)
         last, states, (before, gates, n, fresh) = self._steps(h, ids)
-        lp, dflat, g = self._outputs(states[real], codes[real], True, self._bounded())
-        dstates = np.zeros_like(states)
-        dstates[real] = dflat
+        if real.all():
+            lp, dstates, g = self._outputs(states.reshape(-1, k), codes.ravel(), True, self._bounded())
+            dstates = dstates.reshape(states.shape)
+        else:
+            lp, dflat, g = self._outputs(states[real], codes[real], True, self._bounded())
+            dstates = np.zeros_like(states)
+            dstates[real] = dflat
         # What a state's gradient is multiplied by on its way into z, r and the recurrent part of n.
         z, r, gn = gates[:, 0], gates[:, 1], gates[:, 2]
         rest, into_n = 1 - z, 1 - n * n
@@ -294,15 +311,15 @@ class Gru:
             dh += d * z[t]
             if any_fresh[t]:
                 dh[fresh[t]] = 0
-        flat, before = by.reshape(3, -1, k), before.reshape(-1, k)
-        g["u"] = (before.T @ flat).transpose(1, 0, 2).reshape(k, 3 * k)
-        np.multiply(dstates, into_n, out=by[2])  # into the input's part of n
+        rows = by.transpose(1, 2, 0, 3).reshape(-1, 3 * k)
+        g["u"] = before.reshape(-1, k).T @ rows
+        np.multiply(dstates.reshape(-1, k), into_n.reshape(-1, k), out=rows[:, 2 * k:])  # into the input's part of n
         ids = ids.ravel().astype(np.int16 if self.layout.n_inputs < 1 << 15 else np.int32)
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
         first = np.flatnonzero(np.diff(ids, prepend=-1))
-        g["wx"] = _sums(flat.transpose(1, 0, 2).reshape(-1, 3 * k), order, first)
-        g["bg"] = np.ones(len(first), flat.dtype) @ g["wx"]
+        g["wx"] = _sums(rows, order, first)
+        g["bg"] = np.ones(len(first), rows.dtype) @ g["wx"]
         return last, float(lp.sum()), g, ids[first]
 
     def train(self, docs: list[np.ndarray], past: dict[str, np.ndarray], rate: float = 0.05,
@@ -318,14 +335,20 @@ class Gru:
         docs = [d[at:at + most] for d in docs for at in range(0, len(d), most)]
         h = np.zeros((min(width, len(docs)), self.hidden), F32)
         n = F32(width * steps)  # of a full window, so that the last lanes do not outweigh it
+        # Sums of squares of the gradients as they come, n times those of ``past``.
+        sums = {"wx": past["wx"], "u": past["u"], "bg": past["bg"], "wc": np.concatenate((past["wc"], past["bc"][None])),
+                "ww": np.concatenate((past["ww"], past["bw"][..., None]), axis=2)}
+        sums = {name: v * (n * n) for name, v in sums.items()}
         for ids, codes, _, real in self._windows(docs, width, steps):
-            h, _, g, seen = self.gradients(h[:ids.shape[1]], ids, codes, real)
-            for name in NAMES:
-                d, rows = g[name] / n, seen if name == "wx" else ...
-                sums = past[name][rows]
-                sums += d * d
+            h, _, g, seen = self._backward(h[:ids.shape[1]], ids, codes, real)
+            for name, d in g.items():
+                rows = seen if name == "wx" else ...
+                total = sums[name][rows]
+                total += d * d
                 if name == "wx":  # a copy of its rows
-                    past[name][rows] = sums
-                d /= np.sqrt(sums)
+                    sums[name][rows] = total
+                d /= np.sqrt(total)
                 d *= F32(rate)
-                self.w[name][rows] += d
+                self.joint[name][rows] += d
+        for name, v in self._apart(sums).items():
+            past[name][...] = v / (n * n)

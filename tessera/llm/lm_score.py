@@ -31,15 +31,15 @@ from tessera.llm.common import fold, read, stage
 from tessera.session import scratch_path
 
 #: Bound of the words whose counts are broadcast.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 18
 HIDDEN = 32
 #: Training: texts side by side and tokens of each between two updates.
-LANES, STEPS = 384, 8
-LEARNING_RATE = 0.18
+LANES, STEPS = 512, 8
+LEARNING_RATE = 0.2
 #: Tokens that one training step of a task holds.
 TRAIN_TOKENS = 500_000
 #: Bytes of text that a task counts, codes or scores at once, about; rows count as a few more.
-COUNT_BYTES, CODE_BYTES, SCORE_BYTES, ROW_BYTES = 24_000_000, 8_000_000, 3_000_000, 8
+COUNT_BYTES, CODE_BYTES, SCORE_BYTES, ROW_BYTES = 24_000_000, 8_000_000, 10_000_000, 8
 #: Training tokens of one replica in one round, about.
 TURN_TOKENS = 2_000_000
 #: Floats of a block when replicas are averaged.

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +140,59 @@ def test_nulls_repeats_and_empty_tables(spark, frame):
     untaught = op.lm_scores(frame(rows), lambda c: F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in untaught)
     assert op.lm_scores(frame([]), op.learnable).count() == 0
+
+
+TEXTS = ["  a B\x0b\x0cc\r\n d ", "", " ", "É\x1cÀ\x85x\x00y z", "x x q", "end  a", "  ", "q"]
+
+
+@pytest.mark.parametrize("known", [[b"", b"a", b"x"], [b"a", b"x"], []])
+def test_batches_are_coded_as_their_texts_one_by_one(known):
+    coder = op.Coder(op.Tables(known, [3] * len(known), 10, 5, 2.0))
+    codes, starts, others = coder.documents(pa.array(TEXTS))
+    words = [[*op.tokens(t), op.END] for t in TEXTS]
+    code = lambda w: known.index(w) if w in known else len(known)
+    assert [codes[a:b].tolist() for a, b in zip(starts, starts[1:])] == [[code(w) for w in ws] for ws in words]
+    assert others.to_pylist() == [w for ws in words for w in ws if w not in known]
+
+
+@pytest.mark.parametrize("size", [1, 25, 10_000])
+def test_pieces_keep_all_rows_in_order(size):
+    f = pa.RecordBatch.from_arrays([pa.array(TEXTS), pa.array(range(8))], ["text", "k"])
+    got = list(op.pieces(iter([f, f.slice(3, 0), f.slice(2)]), size))
+    assert [k for b in got for k in b.column("k").to_pylist()] == [*range(8), *range(2, 8)]
+    assert len(got) == {1: 14, 25: 6, 10_000: 1}[size]
+
+
+def test_a_window_makes_few_products(model, monkeypatch):
+    """A class that a window uses costs one product forward and two back, however many tokens it has."""
+    m, r = model
+    calls = Counter()
+    monkeypatch.setattr(np, "matmul", lambda *a, real=np.matmul, **k: (calls.update(n=1), real(*a, **k))[1])
+    for n in (200, 2000):
+        calls.clear()
+        m._outputs(r.standard_normal((n, 5)) * 0.5, r.integers(0, 24, n), True)
+        assert 0 < calls["n"] <= 3 * m.layout.soft_classes
+
+
+def test_sums_of_groups_by_brute_force():
+    r = np.random.default_rng(3)
+    ids, rows = np.sort(r.integers(0, 12, 300) ** 2 // 12), r.standard_normal((300, 4))
+    first = np.flatnonzero(np.diff(ids, prepend=-1))
+    mixed = r.permutation(300)
+    back = np.empty_like(mixed)
+    back[mixed] = np.arange(300)
+    want = [rows[ids == i].sum(0) for i in np.unique(ids)]
+    assert np.allclose(gru._sums(rows[mixed], back, first), want)
+
+
+def test_training_goes_on_from_the_sums_of_squares_it_leaves():
+    r = np.random.default_rng(2)
+    docs = [r.integers(0, 21, n) for n in (40, 9, 300, 1)]
+    lay = gru.Layout(np.arange(20, 0, -1.0), 0.5, n_soft=16, class_size=4, n_tail=2)
+    m = gru.Gru(lay, gru.initial(lay, 4))
+    past = {k: np.full(v.shape, 1e-6, np.float32) for k, v in m.w.items()}
+    m.train(docs, past, 0.1)
+    assert all((past[k] > 1e-6).any() and (past[k] >= 0.99e-6).all() and np.isfinite(m.w[k]).all() for k in gru.NAMES)
+    before = {k: v.copy() for k, v in past.items()}
+    m.train(docs, past, 0.1)
+    assert all((past[k] >= before[k] * 0.999).all() for k in gru.NAMES)
