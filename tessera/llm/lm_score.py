@@ -33,8 +33,11 @@ from tessera.session import scratch_path
 #: Bound of the words whose counts are broadcast.
 FREQUENT = 1 << 18
 HIDDEN = 32
-#: Training: texts side by side and tokens of each between two updates.
-LANES, STEPS = 512, 8
+#: Texts side by side, at least and at most, and tokens of each between two updates.
+LEAST_LANES, LANES, STEPS = 64, 512, 8
+#: Training tokens of a replica for each lane: a smaller share has fewer lanes, not fewer updates.
+LANE_TOKENS = 3500
+#: With the most lanes; it falls with the root of their number.
 LEARNING_RATE = 0.2
 #: Tokens that one training step of a task holds.
 TRAIN_TOKENS = 500_000
@@ -148,6 +151,12 @@ def schedule(total: int, turn_tokens: int) -> tuple[int, int]:
     return rounds, -(-turns // rounds)
 
 
+def updates(share: int) -> tuple[int, float]:
+    """(lanes, learning rate) of a replica that learns from about so many tokens."""
+    width = min(LANES, max(LEAST_LANES, share // LANE_TOKENS))
+    return width, LEARNING_RATE * math.sqrt(width / LANES)
+
+
 def coded_turns(spark: SparkSession, rows: DataFrame, tables, rounds: int, replicas: int) -> DataFrame:
     """Every row of ``rows`` (doc_id, text) once, staged by round: replica, place, codes."""
     def code(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +181,7 @@ def train_model(turns: DataFrame, tables, rounds: int, replicas: int, hidden: in
     """(weights after all rounds, tokens learnt from); None without tokens."""
     spark = turns.sparkSession
     state, learnt = None, 0
+    width, rate = updates(tables.value.total // (rounds * replicas))
 
     def blocks(replica: int, model: gru.Gru, past: dict, seen: int) -> pa.RecordBatch:
         flat = np.concatenate((gru.pack(model.w), gru.pack(past)))
@@ -196,7 +206,7 @@ def train_model(turns: DataFrame, tables, rounds: int, replicas: int, hidden: in
 
             def step() -> None:
                 nonlocal held, size, seen
-                model.train(held, past, LEARNING_RATE, LANES, STEPS)
+                model.train(held, past, rate, width, STEPS)
                 held, size, seen = [], 0, seen + size
 
             for f in frames:

@@ -196,3 +196,10 @@ def test_training_goes_on_from_the_sums_of_squares_it_leaves():
     before = {k: v.copy() for k, v in past.items()}
     m.train(docs, past, 0.1)
     assert all((past[k] >= before[k] * 0.999).all() for k in gru.NAMES)
+
+
+def test_small_shares_keep_their_updates():
+    for share in (250_000, 1_000_000, 2_000_000):
+        width, rate = op.updates(share)
+        assert share / (width * op.STEPS) > 400 and rate == pytest.approx(op.LEARNING_RATE * (width / op.LANES) ** 0.5)
+    assert op.updates(10)[0] == op.LEAST_LANES and op.updates(1 << 40)[0] == op.LANES
